@@ -20,7 +20,11 @@ def json_text(text: Column) -> Column:
 
 
 def long_rows(df: DataFrame, document: str, metadata: str, stamp: Column) -> DataFrame:
-    """One row per document and key."""
-    return df.select(F.col(document).alias("document_id"), F.explode(metadata).alias("key", "meta")).select(
+    """One row per document and key; documents without metadata give none.
+
+    The outer form keeps Spark from testing the map, and so building it, twice.
+    """
+    pairs = df.select(F.col(document).alias("document_id"), F.explode_outer(metadata).alias("key", "meta"))
+    return pairs.where(F.col("key").isNotNull()).select(
         stable_id("document_id", "key").alias("id"), "document_id", "key", "meta", stamp.alias("created_at")
     )

@@ -21,16 +21,16 @@ def summary(results: DataFrame, group: str, sequence: str, item: str) -> DataFra
             F.count(F.lit(1)).alias("total"),
             F.count_if(failed).alias("failed"),
             F.count_if(~failed).alias("ok"),
-            F.min(F.when(failed, F.struct(sequence, "error"))).alias("_first"),
-            F.max(F.when(~failed, F.struct(sequence, item))).alias("_last"),
+            F.min(F.when(failed, F.struct(F.col(sequence).alias("at"), F.col("error").alias("value")))).alias("_first"),
+            F.max(F.when(~failed, F.struct(F.col(sequence).alias("at"), F.col(item).alias("value")))).alias("_last"),
         )
         .select(
             group,
             "total",
             "failed",
             "ok",
-            F.col("_first.error").alias("first_error"),
-            F.col(f"_last.{item}").alias("last_ok"),
+            F.col("_first.value").alias("first_error"),
+            F.col("_last.value").alias("last_ok"),
             outcome.alias("outcome"),
         )
     )

@@ -11,17 +11,32 @@ from pyspark.sql import functions as F
 from corpusflow import fixed
 from corpusflow.functions import text, times
 from corpusflow.functions.markdown import html_to_markdown
+from corpusflow.operators.barrier import computed_once
 from corpusflow.operators.metadata import json_text, present
 
 DATE_KEYS = {"published_at": "date_gmt", "modified_at": "modified_gmt"}
 
 
+_END = "end of body"
+
+
 def parsed(body: Column) -> Column:
-    """The body as a variant if it is a JSON object, else null."""
-    value = F.try_parse_json(body)
+    """The body as a variant if it is one JSON object and nothing after it, else null.
+
+    The parser stops behind the first value, so the body is read as the first of two
+    list entries: text behind the object breaks the list.
+    """
+    pair = F.try_parse_json(F.concat(F.lit("["), body, F.lit(f',"{_END}"]')))
+    whole = F.try_variant_get(pair, "$[1]", "string") == _END
+    value = F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
     return F.when(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), value)
 
 
+def with_parsed(df: DataFrame, body: Column, name: str = "_post") -> DataFrame:
+    """Add the parsed body, parsed once per row however often it is read."""
+    return computed_once(df, {name: parsed(body)})
+
+
 def has_key(post: Column, key: str) -> Column:
     """A key counts when present, even with a null value."""
     return F.try_variant_get(post, f"$.{key}", "variant").isNotNull()
@@ -118,7 +133,7 @@ def transform(downloads: DataFrame, body: str = "body", quote_strings: bool = Fa
 
     Rows with an error keep null content; nothing is dropped.
     """
-    staged = downloads.withColumn("_post", parsed(F.col(body)))
+    staged = with_parsed(downloads, F.col(body))
     staged = staged.withColumn("error", post_error(F.col("_post")))
     good = F.col("error").isNull()
     post = F.col("_post")

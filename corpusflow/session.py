@@ -15,6 +15,8 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Repeated keys in a JSON object: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

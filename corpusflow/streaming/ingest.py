@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusflow.operators.upsert import newest_per_key, retain_newest, upsert
+from corpusflow.operators.upsert import newest_per_key, retain_newest
 from corpusflow.sources.snapshots import read_snapshot, write_snapshot
 
 
@@ -21,11 +21,15 @@ def without_repeats(stream: DataFrame, keys: list[str], event_time: str, delay:
 def merge_downloads(current: DataFrame, batch: DataFrame, keep: int) -> DataFrame:
     """Downloads after a batch: newest per id, then the newest few per source.
 
-    The batch is cut to the rows that can stay before it meets the table.
+    Only sources the batch touches are worked on. The batch is cut to the rows that
+    can stay before it meets the table; rows of other sources pass through.
     """
     order = [F.col("downloaded_at").desc_nulls_last()]
     newest = retain_newest(newest_per_key(batch, ["id"], order), keep)
-    return retain_newest(upsert(current, newest, ["id"], order), keep)
+    touched = newest.select("source_id").distinct()
+    affected = current.join(touched, "source_id", "left_semi").unionByName(newest.select(*current.columns))
+    merged = retain_newest(newest_per_key(affected, ["id"], order), keep)
+    return current.join(touched, "source_id", "left_anti").select(*current.columns).unionByName(merged)
 
 
 def ingest(
