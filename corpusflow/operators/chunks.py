@@ -79,16 +79,19 @@ def empty_texts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def broken_links(chunks: DataFrame) -> DataFrame:
-    """Chunks whose left or right neighbour is missing or does not point back."""
-    c, n = chunks.alias("c"), chunks.select("id", "left_chunk_id", "right_chunk_id").alias("n")
-    right = c.join(n, F.col("c.right_chunk_id") == F.col("n.id"), "left").where(
-        F.col("c.right_chunk_id").isNotNull()
-        & ~F.col("n.left_chunk_id").eqNullSafe(F.col("c.id"))
+    """Chunks whose left or right neighbour is missing or does not point back.
+
+    A pair of neighbours is named twice: by the left one as its right, by the right
+    one as its left. Pairs named once are broken.
+    """
+    rightward = chunks.where(F.col("right_chunk_id").isNotNull()).select(
+        F.col("id").alias("a"), F.col("right_chunk_id").alias("b"), F.lit(True).alias("by_left")
     )
-    left = c.join(n, F.col("c.left_chunk_id") == F.col("n.id"), "left").where(
-        F.col("c.left_chunk_id").isNotNull()
-        & ~F.col("n.right_chunk_id").eqNullSafe(F.col("c.id"))
+    leftward = chunks.where(F.col("left_chunk_id").isNotNull()).select(
+        F.col("left_chunk_id").alias("a"), F.col("id").alias("b"), F.lit(True).alias("by_right")
     )
-    return right.select("c.id", F.lit("right").alias("side")).unionByName(
-        left.select("c.id", F.lit("left").alias("side"))
+    pairs = rightward.join(leftward, ["a", "b"], "full_outer")
+    return pairs.where(F.col("by_left").isNull() | F.col("by_right").isNull()).select(
+        F.when(F.col("by_left"), F.col("a")).otherwise(F.col("b")).alias("id"),
+        F.when(F.col("by_left"), "right").otherwise("left").alias("side"),
     )

@@ -26,15 +26,22 @@ def parsed(body: Column) -> Column:
     The parser stops behind the first value, so the body is read as the first of two
     list entries: text behind the object breaks the list.
     """
-    pair = F.try_parse_json(F.concat(F.lit("["), body, F.lit(f',"{_END}"]')))
+    return _object_in(_pair(body))
+
+
+def _pair(body: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(f',"{_END}"]')))
+
+
+def _object_in(pair: Column) -> Column:
     whole = F.try_variant_get(pair, "$[1]", "string") == _END
-    value = F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
-    return F.when(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), value)
+    return F.when(whole & (kind(pair, "$[0]") == "OBJECT"), F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def with_parsed(df: DataFrame, body: Column, name: str = "_post") -> DataFrame:
     """Add the parsed body, parsed once per row however often it is read."""
-    return computed_once(df, {name: parsed(body)})
+    read = computed_once(df, {"_pair": _pair(body)})
+    return computed_once(read, {name: _object_in(F.col("_pair"))}).drop("_pair")
 
 
 def has_key(post: Column, key: str) -> Column:

@@ -96,7 +96,16 @@ def lookup(base: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, Dat
     return found, missing.withColumn("error", F.lit("ErrNotFound"))
 
 
-def retain_newest(downloads: DataFrame, n: int = 3) -> DataFrame:
-    """The newest ``n`` downloads of each source; undated ones count as oldest."""
+def retained_ids(downloads: DataFrame, n: int) -> DataFrame:
+    """Id and source of the newest ``n`` downloads of each source; undated ones count as oldest.
+
+    Ranks keys only, so bodies are neither read nor sorted.
+    """
     order = [F.col("downloaded_at").desc_nulls_last(), F.col("id").desc()]
-    return newest_per_key(downloads, ["source_id"], order, n)
+    keys = downloads.select("id", "source_id", "downloaded_at")
+    return newest_per_key(keys, ["source_id"], order, n).select("id", "source_id")
+
+
+def retain_newest(downloads: DataFrame, n: int = 3) -> DataFrame:
+    """The newest ``n`` downloads of each source, bodies included."""
+    return downloads.join(retained_ids(downloads, n).select("id"), "id", "left_semi")

@@ -14,6 +14,8 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Where one side of a join is narrow, hash it instead of sorting the bodies of the other.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Repeated keys in a JSON object: the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",

@@ -12,6 +12,7 @@ from corpusflow.functions import urls
 from corpusflow.functions.ids import stable_id
 from corpusflow.operators import posts
 from corpusflow.operators.upsert import newest_per_key
+from corpusflow.session import materialize
 
 
 class Imported(NamedTuple):
@@ -108,8 +109,8 @@ def import_items(items: DataFrame, responses: DataFrame, stamp: Column) -> Impor
 
     Each item counts once even if several pages list it.
     """
-    fetched = fetched_items(items, responses)
-    good = fetched.where(F.col("error").isNull()).dropDuplicates(["item_url"])
+    fetched = materialize(fetched_items(items.dropDuplicates(["item_url"]), responses), "fetched")
+    good = fetched.where(F.col("error").isNull())
     return Imported(
         source_rows(good, "item_url", F.lit("json"), stamp),
         download_rows(good, "item_url", F.to_json("headers"), stamp),

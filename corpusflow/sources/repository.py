@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusflow import fixed
 from corpusflow.functions import paths
 from corpusflow.options import FileOptions
+from corpusflow.session import materialize
 from corpusflow.sources.landing import Imported, download_rows, source_rows
 
 TREE_SCHEMA = "struct<tree:array<struct<path:string,mode:string,type:string,sha:string,size:bigint,url:string>>>"
@@ -97,7 +98,7 @@ def import_files(
     items: DataFrame, contents: DataFrame, stamp: Column, options: FileOptions | None = None
 ) -> Imported:
     """Source and download rows of all wanted files; downloads carry their encoding."""
-    fetched = fetched_files(items, contents, options)
+    fetched = materialize(fetched_files(items, contents, options), "fetched")
     good = fetched.where(F.col("error").isNull())
     kind = paths.stored_format(paths.extension(F.col("path")))
     decoded = good.withColumn(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusflow.operators.upsert import newest_per_key, retain_newest
+from corpusflow.session import materialize
 from corpusflow.sources.snapshots import read_snapshot, write_snapshot
 
 
@@ -49,7 +50,8 @@ def ingest(
 
     def fold(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        downloads = to_downloads(batch)
+        # The batch is read several times below; its state must not be evaluated again.
+        downloads = materialize(to_downloads(batch), "batch")
         current = read_snapshot(spark, root, "downloads", before=number)
         write_snapshot(merge_downloads(current, downloads, keep), root, "downloads", number)
         if process:
