@@ -12,8 +12,7 @@ from corpusflow.functions.ids import stable_id
 from corpusflow.operators import updates
 from corpusflow.operators.chunks import token_chunks
 from corpusflow.session import materialize, work_dir
-from corpusflow.sources.snapshots import read_snapshot
-from corpusflow.sources.tables import read_table, spread
+from corpusflow.sources.tables import read_table
 from corpusflow.streaming import ingest as streaming
 
 # The newly landed state: documents judged toxic are gone, those of poor quality
@@ -104,7 +103,7 @@ def stream_ingest(spark, folder):
     root = work_dir(spark, "stream")
     fresh = streaming.without_repeats(stream, ["event_id"], "ts", "2 days")
     streaming.ingest(fresh, to_downloads, f"{root}/tables", f"{root}/checkpoint").awaitTermination()
-    done = read_snapshot(spark, f"{root}/tables", "downloads")
+    done = streaming.current_downloads(spark, f"{root}/tables")
     return done.select(
         "id", "source_id", "body", F.date_format("downloaded_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("downloaded_at")
     )

@@ -11,6 +11,7 @@ from corpusflow import fixed
 from corpusflow.functions import urls
 from corpusflow.functions.ids import stable_id
 from corpusflow.operators import posts
+from corpusflow.operators.barrier import computed_once
 from corpusflow.operators.upsert import newest_per_key
 from corpusflow.session import materialize
 
@@ -37,22 +38,29 @@ def listing_ids(pages: DataFrame, max_pages: int | None = fixed.MAX_PAGES) -> Li
     status, or without a JSON array, is a reject and the pages after it still count.
     """
     status = F.col("status_code")
-    read = pages.withColumn("_elements", _elements(F.col("body")))
     if max_pages is not None:
-        read = read.where(F.col("page") <= max_pages)
-    empty = (status == 200) & (F.size("_elements") == 0)
-    ends = read.groupBy("base_url").agg(F.min(F.when((status == 400) | empty, F.col("page"))).alias("_end"))
-    live = read.join(ends, "base_url").where(F.col("_end").isNull() | (F.col("page") < F.col("_end")))
-    error = F.when(status != 200, "ErrUnexpectedStatusCode").when(F.col("_elements").isNull(), "ErrDecode")
-    live = live.withColumn("error", error)
+        pages = pages.where(F.col("page") <= max_pages)
 
     def item_id(element: Column) -> Column:
         return posts.whole_number_at(element, "$.id")
 
-    ids = F.filter(F.transform("_elements", item_id), lambda value: value.isNotNull())
+    # The bodies are parsed once; what follows reads page numbers and ids only.
+    parsed = computed_once(pages, {"_elements": _elements(F.col("body"))})
+    read = materialize(
+        parsed.select(
+            "base_url", "page", "status_code", F.size("_elements").alias("listed"),
+            F.filter(F.transform("_elements", item_id), lambda value: value.isNotNull()).alias("ids"),
+        ),
+        "listing",
+    )
+    empty = (status == 200) & (F.col("listed") == 0)
+    ends = read.groupBy("base_url").agg(F.min(F.when((status == 400) | empty, F.col("page"))).alias("_end"))
+    live = read.join(ends, "base_url").where(F.col("_end").isNull() | (F.col("page") < F.col("_end")))
+    error = F.when(status != 200, "ErrUnexpectedStatusCode").when(F.col("ids").isNull(), "ErrDecode")
+    live = live.withColumn("error", error)
     items = (
         live.where(F.col("error").isNull())
-        .select("base_url", "page", F.posexplode(ids).alias("pos", "item_id"))
+        .select("base_url", "page", F.posexplode("ids").alias("pos", "item_id"))
         .withColumn("item_url", F.concat_ws("/", "base_url", F.col("item_id").cast("string")))
     )
     rejects = live.where(F.col("error").isNotNull()).select("base_url", "page", "status_code", "error")
@@ -91,25 +99,38 @@ def download_rows(df: DataFrame, url: str, headers: Column, stamp: Column) -> Da
     )
 
 
-def fetched_items(items: DataFrame, responses: DataFrame) -> DataFrame:
-    """Listed items with their newest response and the reason a response is not usable."""
+def fetched_items(items: DataFrame, responses: DataFrame, json_type_only: bool = False) -> DataFrame:
+    """Listed items with their newest response and the reason a response is not usable.
+
+    ``json_type_only`` also refuses a body that is not declared as JSON.
+    """
     order = [F.col("attempted_at").desc_nulls_last(), F.xxhash64("status_code", "body")]
     newest = newest_per_key(responses, ["url"], order)
     status = F.col("status_code")
     error = (
         F.when(status.isNull(), "ErrNoResponse")
         .when(status != 200, "ErrUnexpectedPostStatusCode")
+        .when(F.lit(json_type_only) & ~_declared_json(F.col("headers")), "ErrContentType")
         .when(posts.parsed(F.col("body")).isNull(), "ErrDecode")
     )
     return items.join(newest, items["item_url"] == newest["url"], "left").drop("url").withColumn("error", error)
 
 
-def import_items(items: DataFrame, responses: DataFrame, stamp: Column) -> Imported:
+def _declared_json(headers: Column) -> Column:
+    """Whether any content type names JSON; header names in any case."""
+    types = F.map_filter(headers, lambda name, _: F.lower(name) == "content-type")
+    named = F.exists(F.flatten(F.map_values(types)), lambda value: F.contains(F.lower(value), F.lit("json")))
+    return F.coalesce(named, F.lit(False))
+
+
+def import_items(
+    items: DataFrame, responses: DataFrame, stamp: Column, json_type_only: bool = False
+) -> Imported:
     """Source and download rows of all good responses; everything else is a reject.
 
     Each item counts once even if several pages list it.
     """
-    fetched = materialize(fetched_items(items.dropDuplicates(["item_url"]), responses), "fetched")
+    fetched = materialize(fetched_items(items.dropDuplicates(["item_url"]), responses, json_type_only), "fetched")
     good = fetched.where(F.col("error").isNull())
     return Imported(
         source_rows(good, "item_url", F.lit("json"), stamp),

@@ -37,5 +37,11 @@ def read_snapshot(
     return spark.read.schema(schema or SCHEMAS[table]).parquet(f"{_folder(root, table)}/snapshot={done[-1]}")
 
 
+def read_parts(spark: SparkSession, root: str, table: str, numbers: list[int], schema_of: str) -> DataFrame:
+    """Several numbered folders of one table together."""
+    folders = [f"{_folder(root, table)}/snapshot={n}" for n in numbers]
+    return spark.read.schema(SCHEMAS[schema_of]).parquet(*folders)
+
+
 def write_snapshot(df: DataFrame, root: str, table: str, number: int) -> None:
     df.write.mode("overwrite").parquet(f"{_folder(root, table)}/snapshot={number}")

@@ -1,4 +1,9 @@
-"""Landed responses as a stream into the sources and downloads tables."""
+"""Landed responses as a stream into the downloads table.
+
+A micro-batch only appends its own rows, so its cost follows the batch and not the
+table. ``current_downloads`` reads table and appended rows as one; ``compact`` folds
+the appended rows into the table, as often as the reader's share of the work asks.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusflow.operators.upsert import newest_per_key, retain_newest
 from corpusflow.session import materialize
-from corpusflow.sources.snapshots import read_snapshot, write_snapshot
+from corpusflow.sources.snapshots import complete_snapshots, read_parts, read_snapshot, write_snapshot
+
+TABLE, LOG = "downloads", "downloads_log"
 
 
 def without_repeats(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
@@ -19,47 +26,55 @@ def without_repeats(stream: DataFrame, keys: list[str], event_time: str, delay:
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def merge_downloads(current: DataFrame, batch: DataFrame, keep: int) -> DataFrame:
-    """Downloads after a batch: newest per id, then the newest few per source.
-
-    Only sources the batch touches are worked on. The batch is cut to the rows that
-    can stay before it meets the table; rows of other sources pass through.
-    """
-    order = [F.col("downloaded_at").desc_nulls_last()]
-    newest = retain_newest(newest_per_key(batch, ["id"], order), keep)
-    touched = newest.select("source_id").distinct()
-    affected = current.join(touched, "source_id", "left_semi").unionByName(newest.select(*current.columns))
-    merged = retain_newest(newest_per_key(affected, ["id"], order), keep)
-    return current.join(touched, "source_id", "left_anti").select(*current.columns).unionByName(merged)
-
-
 def ingest(
     stream: DataFrame,
     to_downloads: Callable[[DataFrame], DataFrame],
     root: str,
     checkpoint: str,
-    keep: int = 3,
     process: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Fold a stream of responses into ``root/downloads``; ends when the input is used up.
+    """Append a stream of responses to ``root``; ends when the input is used up.
 
-    Each micro-batch writes the snapshot of its own number from the one before, so a
-    batch that runs again writes the same table. ``process`` gets each batch's
-    downloads, for the transforms that follow.
+    A micro-batch that runs again writes the same folder again. ``process`` gets the
+    written rows of each batch, for the transforms that follow.
     """
 
-    def fold(batch: DataFrame, number: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        # The batch is read several times below; its state must not be evaluated again.
-        downloads = materialize(to_downloads(batch), "batch")
-        current = read_snapshot(spark, root, "downloads", before=number)
-        write_snapshot(merge_downloads(current, downloads, keep), root, "downloads", number)
+    def append(batch: DataFrame, number: int) -> None:
+        write_snapshot(to_downloads(batch), root, LOG, number)
         if process:
-            process(downloads, number)
+            process(read_parts(batch.sparkSession, root, LOG, [number], TABLE), number)
 
     return (
-        stream.writeStream.foreachBatch(fold)
+        stream.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def merge_downloads(current: DataFrame, arrived: DataFrame, keep: int = 3) -> DataFrame:
+    """Downloads after new ones: newest per id, then the newest few per source.
+
+    Only sources that got something are worked on; the rows of others pass through.
+    """
+    order = [F.col("downloaded_at").desc_nulls_last()]
+    newest = retain_newest(materialize(newest_per_key(arrived, ["id"], order), "arrived"), keep)
+    touched = newest.select("source_id").distinct()
+    affected = current.join(touched, "source_id", "left_semi").unionByName(newest.select(*current.columns))
+    merged = retain_newest(materialize(newest_per_key(affected, ["id"], order), "affected"), keep)
+    return current.join(touched, "source_id", "left_anti").select(*current.columns).unionByName(merged)
+
+
+def current_downloads(spark: SparkSession, root: str, keep: int = 3) -> DataFrame:
+    """The table with everything appended since its last compaction."""
+    done = complete_snapshots(spark, root, TABLE)
+    pending = [n for n in complete_snapshots(spark, root, LOG) if not done or n > done[-1]]
+    table = read_snapshot(spark, root, TABLE)
+    return merge_downloads(table, read_parts(spark, root, LOG, pending, TABLE), keep) if pending else table
+
+
+def compact(spark: SparkSession, root: str, keep: int = 3) -> None:
+    """Fold all appended rows into a new snapshot, numbered by the last batch it holds."""
+    batches = complete_snapshots(spark, root, LOG)
+    if batches:
+        write_snapshot(current_downloads(spark, root, keep), root, TABLE, batches[-1])
