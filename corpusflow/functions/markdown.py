@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusflow.workers import ship_by_value
+
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)"
@@ -51,7 +53,7 @@ class _Writer:
             self.parts.append(html.unescape(raw))
             return
         collapsed = _SPACE.sub(" ", html.unescape(raw))
-        if not self.parts or self.parts[-1].endswith((" ", "\n")):
+        if next((part for part in reversed(self.parts) if part), " ").endswith((" ", "\n")):
             collapsed = collapsed.lstrip(" ")
         if collapsed:
             self.parts.append(collapsed)
@@ -189,3 +191,6 @@ def html_to_markdown(column: Column) -> Column:
         return batch.map(convert, na_action="ignore")
 
     return to_markdown(column)
+
+
+ship_by_value(__name__)

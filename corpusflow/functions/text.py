@@ -43,5 +43,7 @@ def fenced(body: Column, label: Column) -> Column:
 
 
 def decoded_base64(body: Column) -> Column:
-    """Base64 text as UTF-8, null when it does not decode."""
-    return F.try_to_binary(body, F.lit("base64")).cast("string")
+    """Padded base64, line ends allowed, as UTF-8; null when the text is anything else."""
+    packed = F.translate(body, "\r\n", "")
+    valid = F.rlike(packed, F.lit("^[A-Za-z0-9+/]*={0,2}$")) & (F.length(packed) % 4 == 0)
+    return F.when(valid, F.try_to_binary(packed, F.lit("base64")).cast("string"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from corpusflow import fixed
 from corpusflow.functions import text, vectors
 from corpusflow.functions.ids import stable_id
+from corpusflow.workers import ship_by_value
 
 Vectors = list[list[float]]
 
@@ -50,7 +50,6 @@ def with_model(df: DataFrame, model: str = "model") -> DataFrame:
     )
 
 
-@lru_cache(maxsize=1 << 16)
 def _word_hash(word: str) -> int:
     return int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16)
 
@@ -64,8 +63,10 @@ def hashing_embedder(model: str = "hashing-64", dimension: int = 64, max_tokens:
 
     def embed_fn(texts: list[str]) -> Vectors:
         out = np.zeros((len(texts), dimension), dtype=np.float32)
-        for row, content in enumerate(texts):
-            hashes = np.fromiter((_word_hash(w) for w in content.split(" ")), dtype=np.int64)
+        words = [content.split(" ") for content in texts]
+        known = {word: _word_hash(word) for word in set().union(*words)}
+        for row, content in enumerate(words):
+            hashes = np.fromiter((known[word] for word in content), dtype=np.int64)
             signs = np.where(hashes >> 31, -1.0, 1.0)
             out[row] = np.bincount(hashes % dimension, weights=signs, minlength=dimension)
         return list(out)
@@ -163,3 +164,6 @@ def token_limit_error(token_count: Column, max_tokens: Column) -> Column:
 def tokens_by_model(chunks: DataFrame, model: str = "model") -> DataFrame:
     """Token usage per model."""
     return chunks.groupBy(model).agg(F.count(F.lit(1)).alias("inputs"), F.sum("token_count").alias("tokens"))
+
+
+ship_by_value(__name__)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpusflow.options import ListingOptions
+from corpusflow.workers import ship_by_value
 
 FetchFn = Callable[[str], tuple[int, dict, str]]
 PAGE_SCHEMA = "base_url string, page int, status_code int, body string"
@@ -107,3 +108,6 @@ def fetch_items(items: DataFrame, fetch_fn: FetchFn, concurrency: int, url: str
         F.from_json("headers", "map<string,array<string>>").alias("headers"),
         "body",
     )
+
+
+ship_by_value(__name__)

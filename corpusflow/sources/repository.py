@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow import fixed
-from corpusflow.functions import paths
+from corpusflow.functions import paths, text
 from corpusflow.options import FileOptions
 from corpusflow.session import materialize
 from corpusflow.sources.landing import Imported, download_rows, source_rows
 
-TREE_SCHEMA = "struct<tree:array<struct<path:string,mode:string,type:string,sha:string,size:bigint,url:string>>>"
+TREE_SCHEMA = "tree array<struct<path:string,mode:string,type:string,sha:string,size:bigint,url:string>>"
 CONTENTS_SCHEMA = (
-    "struct<name:string,path:string,sha:string,size:bigint,url:string,html_url:string,git_url:string,"
-    "download_url:string,type:string,content:string,encoding:string>"
+    "name string, path string, sha string, size bigint, url string, html_url string, git_url string, "
+    "download_url string, type string, content string, encoding string"
 )
 
 
@@ -24,14 +24,12 @@ def tree_items(responses: DataFrame, body: str = "body", keep: tuple[str, ...] =
 
 
 def read_tree(spark: SparkSession, location: str) -> DataFrame:
-    schema = TREE_SCHEMA.removeprefix("struct<").removesuffix(">")
-    return spark.read.schema(schema).json(location, multiLine=True).select(F.inline("tree"))
+    return spark.read.schema(TREE_SCHEMA).json(location, multiLine=True).select(F.inline("tree"))
 
 
 def read_contents(spark: SparkSession, location: str) -> DataFrame:
     """Landed file-content responses; content and encoding stay as delivered."""
-    schema = CONTENTS_SCHEMA.removeprefix("struct<").removesuffix(">")
-    return spark.read.schema(schema).json(location, multiLine=True)
+    return spark.read.schema(CONTENTS_SCHEMA).json(location, multiLine=True)
 
 
 def read_checkout(spark: SparkSession, root: str) -> DataFrame:
@@ -44,7 +42,7 @@ def read_checkout(spark: SparkSession, root: str) -> DataFrame:
         F.lit("blob").alias("type"),
         F.sha1(blob).alias("sha"),
         F.col("length").alias("size"),
-        F.decode("content", F.lit("UTF-8")).alias("content"),
+        F.decode("content", "UTF-8").alias("content"),
         F.lit("utf-8").alias("encoding"),
     )
 
@@ -105,7 +103,7 @@ def import_files(
         "body",
         F.when(
             F.col("encoding") == "base64",
-            F.coalesce(F.try_to_binary("body", F.lit("base64")).cast("string"), F.col("body")),
+            F.coalesce(text.decoded_base64(F.col("body")), F.col("body")),
         ).otherwise(F.col("body")),
     )
     return Imported(

@@ -1,0 +1,205 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusflow import fixed
+from corpusflow.functions.ids import stable_id
+from corpusflow.operators import embed as embedding
+from corpusflow.operators.integrity import integrity_report
+from corpusflow.options import ChunkOptions, IngestOptions
+from corpusflow.plans import ingest, parts
+from corpusflow.session import work_dir
+from corpusflow.streaming import ingest as streaming
+
+
+def stamp():
+    return F.lit("2024-01-01 00:00:00").cast("timestamp")
+
+
+def post(number, **changes):
+    body = {
+        "id": number, "title": {"rendered": f"T{number}"}, "content": {"rendered": "<p>the quick brown fox</p>" * 20},
+        "date_gmt": "2023-01-01T10:30:00", "modified_gmt": "2023-01-01T10:30:00", "link": f"https://a.org/{number}",
+    }
+    return json.dumps({**body, **changes})
+
+
+@pytest.fixture
+def landed(spark):
+    base = "https://a.org/wp-json/wp/v2/posts"
+    pages = spark.createDataFrame(
+        [(base, 1, 200, json.dumps([{"id": n} for n in (1, 2, 3)])), (base, 2, 400, "{}")],
+        "base_url string, page int, status_code int, body string",
+    )
+    items = spark.createDataFrame(
+        [(f"{base}/1", None, 200, {}, post(1)), (f"{base}/2", None, 500, {}, ""), (f"{base}/3", None, 200, {}, post(3, content="x"))],
+        "url string, attempted_at timestamp, status_code int, headers map<string,array<string>>, body string",
+    )
+    trees = spark.createDataFrame(
+        [("o", "r", "main", "src/a.py", "blob", "s1", 10), ("o", "r", "main", "b.md", "blob", "s2", 10)],
+        "owner string, repo string, ref string, path string, type string, sha string, size bigint",
+    )
+    contents = spark.createDataFrame(
+        [("o", "r", "main", "src/a.py", 200, None, "eCA9IDE=", "base64"), ("o", "r", "main", "b.md", 200, None, "", "utf-8")],
+        "owner string, repo string, ref string, path string, status_code int, attempted_at timestamp, content string, encoding string",
+    )
+    return ingest.Landed(pages, items, trees, contents)
+
+
+OPTIONS = IngestOptions(chunks=ChunkOptions(max_tokens=10))
+DIMS = {64: "embedding_64"}
+
+
+def test_process_sources(spark, landed):
+    tables = ingest.process_sources(landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS)
+    assert tables.sources.count() == 4 and tables.documents.count() == 2
+    assert sorted((r.stage, r.error) for r in tables.rejects.collect()) == [
+        ("fetch", "ErrUnexpectedPostStatusCode"), ("transform", "ErrContentEmpty"), ("transform", "ErrContentFieldNotObject"),
+    ]
+    assert tables.embeddings.count() == tables.chunks.count() > 5
+    code = tables.chunks.where("code_lang = 'python'").first()
+    assert code.body == "```python\nx = 1\n```" and code.natural_lang is None
+    report = integrity_report(
+        {
+            "sources": tables.sources, "downloads": tables.downloads, "documents": tables.documents,
+            "chunks": tables.chunks, "document_meta": tables.document_meta, "embeddings": tables.embeddings,
+        }
+    )
+    assert report.collect() == []
+    verdicts = {r.outcome for r in ingest.run_summary(tables).collect()}
+    assert verdicts == {"ok", "failed"}
+
+
+def test_rerun_gives_the_same(spark, landed):
+    runs = [ingest.process_sources(landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS) for _ in range(2)]
+    for name in ("sources", "downloads", "documents", "chunks", "embeddings"):
+        first, second = getattr(runs[0], name), getattr(runs[1], name)
+        assert first.exceptAll(second).count() == 0 and second.exceptAll(first).count() == 0
+
+
+def test_missing_and_unknown_sources(spark):
+    downloads = spark.createDataFrame(
+        [("d1", "gone", "{}", post(1)), ("d2", "nohost", "{}", post(2))], "id string, source_id string, headers string, body string"
+    ).withColumn("downloaded_at", stamp())
+    sources = spark.createDataFrame([("nohost", None, None)], "id string, raw_url string, host string")
+    staged = ingest.stage_documents(downloads, sources, OPTIONS)
+    assert {r.download_id: r.error for r in staged.collect()} == {
+        "d1": "ErrSourceNotFound", "d2": "ErrCannotDetermineSourceType",
+    }
+
+
+def chunk_frame(spark, bodies):
+    return spark.createDataFrame([(f"c{i}", b) for i, b in enumerate(bodies)], "id string, body string")
+
+
+def test_embed_errors_stay_in_their_row(spark):
+    def picky(batch):
+        if any("bad" in text for text in batch):
+            raise RuntimeError("refused")
+        return [[float(len(text)), 0.0] if text != "short" else [1.0] for text in batch]
+
+    embedder = embedding.Embedder("m", 2, 10, picky, batch_size=3)
+    got = embedding.embed(chunk_frame(spark, ["aa", "bad", "", None, "short", " \n"]), embedder)
+    assert {r.id: (r.vector, r.error) for r in got.collect()} == {
+        "c0": ([2.0, 0.0], None), "c1": (None, "ErrEmbedding: RuntimeError"), "c2": (None, "ErrContentEmpty"),
+        "c4": ([1.0], "ErrUnsupportedEmbeddingDim"), "c5": ([0.0, 0.0], None),
+    }
+
+
+def test_embedding_rows(spark):
+    wide = embedding.Embedder("m", 999, 10, lambda batch: [[0.0] * 999 for _ in batch])
+    rows = embedding.embedding_rows(embedding.embed(chunk_frame(spark, ["a"]), wide), stamp()).collect()
+    assert rows[0].error == "ErrUnsupportedEmbeddingDim"
+    small = embedding.registered("togethercomputer/m2-bert-80M-8k-retrieval", lambda batch: [[0.5] * 768 for _ in batch])
+    row = embedding.embedding_rows(embedding.embed(chunk_frame(spark, ["a"]), small), stamp()).first()
+    assert len(row.embedding_768) == 768 and row.embedding_1536 is None and row.object_type == "chunk"
+
+
+def test_models(spark):
+    assert embedding.model_table(spark).count() == len(fixed.EMBEDDING_MODELS) == 5
+    with pytest.raises(ValueError, match="ErrUnsupportedModel"):
+        embedding.registered("other", lambda batch: [])
+    df = spark.createDataFrame([("text-embedding-3-large",), ("other",)], "model string")
+    assert {r.model: (r.dimension, r.model_error) for r in embedding.with_model(df).collect()} == {
+        "text-embedding-3-large": (3072, None), "other": (None, "ErrUnsupportedModel"),
+    }
+
+
+def test_payload_and_response(values):
+    def payload(model):
+        return lambda c: embedding.request_payload(c, F.lit(model))
+
+    assert values([" a\nb "], payload("text-embedding-3-small")) == [
+        '{"input":"a b","model":"text-embedding-3-small","encoding_format":"float"}'
+    ]
+    assert values(["a"], payload("togethercomputer/x")) == ['{"input":"a","model":"togethercomputer/x"}']
+    answers = ['{"data":[{"embedding":[1.0,2.0]},{"embedding":[3.0]}]}', '{"data":[]}', "{}", "<html>"]
+    assert [(r.vector, r.error) for r in values(answers, embedding.parse_response)] == [
+        ([1.0, 2.0], None), (None, "ErrNoEmbeddingData"), (None, "ErrNoEmbeddingData"), (None, "ErrDecode"),
+    ]
+
+
+def test_own_parts(spark, landed):
+    feeds = parts.Importer("feed", lambda url: F.endswith(url, F.lit(".rss")))
+    df = spark.createDataFrame([("https://a.org/x.rss",), ("https://github.com/o/r",)], "u string")
+    kinds = df.select(parts.source_type(F.col("u"), [feeds, *parts.IMPORTERS]).alias("k")).collect()
+    assert [r.k for r in kinds] == ["feed", "github"]
+    chunker = parts.token_chunker(ChunkOptions(max_tokens=1), "id", "body")
+    assert chunk_frame(spark, ["a b"]).transform(chunker.chunk).count() == 2
+    downloads = ingest.import_all(landed, stamp()).downloads
+    accepted = {t.source_type: downloads.where(t.accepts(downloads)).count() for t in parts.TRANSFORMERS}
+    assert accepted == {"github": 2, "wp-json": 2}
+
+
+def deliveries(spark, rows):
+    df = spark.createDataFrame(rows, "n int, source string, body string, t string")
+    return df.withColumn("ts", F.col("t").cast("timestamp"))
+
+
+def to_downloads(batch):
+    return batch.select(
+        stable_id("source", F.sha2("body", 256)).alias("id"), F.col("source").alias("source_id"),
+        F.col("ts").alias("attempted_at"), F.col("ts").alias("downloaded_at"), F.lit(200).alias("status_code"),
+        F.lit("{}").alias("headers"), "body",
+    )
+
+
+def test_stream_equals_batch(spark):
+    root = work_dir(spark, "stream-test")
+    files = [
+        [(1, "a", "x", "2024-01-01"), (1, "a", "x", "2024-01-01"), (2, "b", "y", "2024-01-01")],
+        [(3, "a", "z", "2024-01-02"), (4, "a", "x", "2024-01-03"), (5, "a", "w", "2024-01-02 01:00:00")],
+        [(6, "a", "v", "2024-01-04"), (1, "a", "x", "2024-01-01"), (7, "c", "q", "2024-01-04")],
+    ]
+    for rows in files:
+        deliveries(spark, rows).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    schema = deliveries(spark, files[0]).schema
+    seen = []
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+        fresh = streaming.without_repeats(stream, ["n"], "ts", "10 days")
+        streaming.ingest(
+            fresh, to_downloads, f"{root}/t", f"{root}/cp", process=lambda df, n: seen.append((n, df.count()))
+        ).awaitTermination()
+
+    run()
+    assert sum(count for _, count in seen) == 7
+    everything = deliveries(spark, [row for rows in files for row in rows])
+    from corpusflow.operators.upsert import newest_per_key, retain_newest
+
+    expected = retain_newest(newest_per_key(to_downloads(everything), ["id"], [F.col("downloaded_at").desc()]), 3)
+    want = sorted((r.source_id, r.body, r.downloaded_at) for r in expected.collect())
+
+    def state():
+        return sorted((r.source_id, r.body, r.downloaded_at) for r in streaming.current_downloads(spark, f"{root}/t").collect())
+
+    assert state() == want
+    streaming.compact(spark, f"{root}/t")
+    assert state() == want
+    deliveries(spark, [(8, "b", "new", "2024-01-05")]).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    run()
+    assert len(state()) == len(want) + 1
+    streaming.compact(spark, f"{root}/t")
+    assert len(state()) == len(want) + 1
