@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow.session import materialize
+
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows of each key in the given order.
@@ -51,10 +53,12 @@ def insert_checked(
     valid = distinct.where(F.col("error").isNull()).select(*columns)
     winners = newest_per_key(valid, [key], [*order, fingerprint]).select(key, fingerprint.alias("_winner"))
     seen = base.select(F.col(key), F.lit(True).alias("_seen"))
+    # Both are one narrow row per key; joined to each other first, they leave the rows
+    # a single join, which Spark may split where a key is hot.
+    marks = winners.join(seen, key, "full_outer")
     judged = (
         distinct.withColumn("_fingerprint", fingerprint)
-        .join(winners, key, "left")
-        .join(seen, key, "left")
+        .join(marks, key, "left")
         .withColumn("_taken", F.col("error").isNull() & F.col("_seen").isNull()
                     & F.col("_fingerprint").eqNullSafe(F.col("_winner")))
     )
@@ -109,3 +113,16 @@ def retained_ids(downloads: DataFrame, n: int) -> DataFrame:
 def retain_newest(downloads: DataFrame, n: int = 3) -> DataFrame:
     """The newest ``n`` downloads of each source, bodies included."""
     return downloads.join(retained_ids(downloads, n).select("id"), "id", "left_semi")
+
+
+def merge_downloads(current: DataFrame, arrived: DataFrame, keep: int = 3) -> DataFrame:
+    """Downloads after new ones: newest per id, then the newest few per source.
+
+    Only sources that got something are worked on; the rows of others pass through.
+    """
+    order = [F.col("downloaded_at").desc_nulls_last()]
+    newest = retain_newest(materialize(newest_per_key(arrived, ["id"], order), "arrived"), keep)
+    touched = newest.select("source_id").distinct()
+    affected = current.join(touched, "source_id", "left_semi").unionByName(newest.select(*current.columns))
+    merged = retain_newest(materialize(newest_per_key(affected, ["id"], order), "affected"), keep)
+    return current.join(touched, "source_id", "left_anti").select(*current.columns).unionByName(merged)

@@ -17,6 +17,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from corpusflow.options import ListingOptions
 from corpusflow.workers import ship_by_value
 
+# Bodies are large: hand them on in small frames.
+_ROWS_AT_ONCE = 32
 FetchFn = Callable[[str], tuple[int, dict, str]]
 PAGE_SCHEMA = "base_url string, page int, status_code int, body string"
 RESPONSE_SCHEMA = "url string, attempted_at timestamp, status_code int, headers map<string,array<string>>, body string"
@@ -89,8 +91,9 @@ def fetch_items(items: DataFrame, fetch_fn: FetchFn, concurrency: int, url: str
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            rows = [_fetch_one(address) for address in frame["url"]]
-            yield pd.DataFrame(rows, columns=["url", "status_code", "headers", "body"])
+            for start in range(0, len(frame), _ROWS_AT_ONCE):
+                rows = [_fetch_one(address) for address in frame["url"].iloc[start : start + _ROWS_AT_ONCE]]
+                yield pd.DataFrame(rows, columns=["url", "status_code", "headers", "body"])
 
     def _fetch_one(address: str) -> tuple:
         try:

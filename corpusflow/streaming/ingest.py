@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusflow.operators.upsert import newest_per_key, retain_newest
-from corpusflow.session import materialize
+from corpusflow.operators.upsert import merge_downloads
 from corpusflow.sources.snapshots import complete_snapshots, read_parts, read_snapshot, write_snapshot
 
 TABLE, LOG = "downloads", "downloads_log"
@@ -52,19 +51,6 @@ def ingest(
     )
 
 
-def merge_downloads(current: DataFrame, arrived: DataFrame, keep: int = 3) -> DataFrame:
-    """Downloads after new ones: newest per id, then the newest few per source.
-
-    Only sources that got something are worked on; the rows of others pass through.
-    """
-    order = [F.col("downloaded_at").desc_nulls_last()]
-    newest = retain_newest(materialize(newest_per_key(arrived, ["id"], order), "arrived"), keep)
-    touched = newest.select("source_id").distinct()
-    affected = current.join(touched, "source_id", "left_semi").unionByName(newest.select(*current.columns))
-    merged = retain_newest(materialize(newest_per_key(affected, ["id"], order), "affected"), keep)
-    return current.join(touched, "source_id", "left_anti").select(*current.columns).unionByName(merged)
-
-
 def current_downloads(spark: SparkSession, root: str, keep: int = 3) -> DataFrame:
     """The table with everything appended since its last compaction."""
     done = complete_snapshots(spark, root, TABLE)

@@ -8,8 +8,9 @@ from corpusflow.functions.ids import stable_id
 from corpusflow.operators import embed as embedding
 from corpusflow.operators.integrity import integrity_report
 from corpusflow.options import ChunkOptions, IngestOptions
-from corpusflow.plans import ingest, parts
+from corpusflow.plans import ingest, parts, store
 from corpusflow.session import work_dir
+from corpusflow.sources.snapshots import complete_snapshots, read_snapshot
 from corpusflow.streaming import ingest as streaming
 
 
@@ -78,6 +79,38 @@ def test_rerun_gives_the_same(spark, landed):
         assert first.exceptAll(second).count() == 0 and second.exceptAll(first).count() == 0
 
 
+def test_saving(spark, landed):
+    root = work_dir(spark, "saved")
+    names = ("sources", "downloads", "documents", "document_meta", "chunks")
+
+    def state():
+        got = {name: sorted(r.id for r in read_snapshot(spark, root, name).collect()) for name in names}
+        last = complete_snapshots(spark, root, "embeddings")[-1]
+        vectors = spark.read.parquet(f"{root}/embeddings/snapshot={last}")
+        return got, sorted(r.object_id for r in vectors.collect())
+
+    run = ingest.process_sources(landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS)
+    store.save(run, root, 1)
+    first = state()
+    assert first[1] == first[0]["chunks"] != []
+    store.save(run, root, 2)
+    assert state() == first
+    # The post gets shorter: its further chunks and their vectors go, its old download stays.
+    url = "https://a.org/wp-json/wp/v2/posts/1"
+    short = spark.createDataFrame(
+        [(url, None, 200, {}, post(1, content={"rendered": "new"}))],
+        "url string, attempted_at timestamp, status_code int, headers map<string,array<string>>, body string",
+    )
+    later = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    again = ingest.process_sources(ingest.Landed(landed.pages, short), embedding.hashing_embedder(), later, OPTIONS, dims=DIMS)
+    store.save(again, root, 3)
+    tables, vectors = state()
+    assert vectors == tables["chunks"] and len(tables["chunks"]) == 2
+    assert len(tables["downloads"]) == len(first[0]["downloads"]) + 1
+    assert tables["documents"] == first[0]["documents"]
+    assert integrity_report({n: read_snapshot(spark, root, n) for n in names}).count() == 0
+
+
 def test_missing_and_unknown_sources(spark):
     downloads = spark.createDataFrame(
         [("d1", "gone", "{}", post(1)), ("d2", "nohost", "{}", post(2))], "id string, source_id string, headers string, body string"
