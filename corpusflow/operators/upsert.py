@@ -27,7 +27,8 @@ def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int =
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Rows of ``updates`` replace those of ``base`` with the same key; the first in order wins."""
     latest = newest_per_key(updates, keys, order)
-    return base.join(latest.select(*keys), keys, "left_anti").unionByName(latest.select(*base.columns))
+    replaced = updates.select(*keys).distinct()
+    return base.join(replaced, keys, "left_anti").unionByName(latest.select(*base.columns))
 
 
 def insert_absent(base: DataFrame, new: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

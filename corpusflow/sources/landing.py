@@ -105,15 +105,17 @@ def fetched_items(items: DataFrame, responses: DataFrame, json_type_only: bool =
     ``json_type_only`` also refuses a body that is not declared as JSON.
     """
     order = [F.col("attempted_at").desc_nulls_last(), F.xxhash64("status_code", "body")]
-    newest = newest_per_key(responses, ["url"], order)
     status = F.col("status_code")
-    error = (
+    # Judged before any shuffle, so that bodies travel only where they are asked for.
+    refusal = (
         F.when(status.isNull(), "ErrNoResponse")
         .when(status != 200, "ErrUnexpectedPostStatusCode")
         .when(F.lit(json_type_only) & ~_declared_json(F.col("headers")), "ErrContentType")
         .when(posts.parsed(F.col("body")).isNull(), "ErrDecode")
     )
-    return items.join(newest, items["item_url"] == newest["url"], "left").drop("url").withColumn("error", error)
+    newest = newest_per_key(responses.withColumn("error", refusal), ["url"], order)
+    met = items.join(newest, items["item_url"] == newest["url"], "left")
+    return met.withColumn("error", F.when(F.col("url").isNull(), "ErrNoResponse").otherwise(F.col("error"))).drop("url")
 
 
 def _declared_json(headers: Column) -> Column:
