@@ -86,22 +86,46 @@ def fetch_listing(
     return spark.read.format("paged").options(**settings).load()
 
 
+def fetch_pages(endpoints: DataFrame, fetch_fn: FetchFn, options: ListingOptions | None = None) -> DataFrame:
+    """Listing pages of many endpoints (column base_url), in page ranges spread over the tasks.
+
+    The ranges of one endpoint are fetched independently, each up to its own end.
+    """
+    opts = options or ListingOptions()
+    width = -(-opts.max_pages // opts.concurrency)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for base_url, first in zip(frame["base_url"], frame["first"]):
+                for page in range(first, min(first + width - 1, opts.max_pages) + 1):
+                    _, status, _, body = _fetch_one(fetch_fn, f"{base_url}?page={page}&per_page={opts.per_page}")
+                    row = (base_url, page, status, body)
+                    yield pd.DataFrame([row], columns=["base_url", "page", "status_code", "body"])
+                    if status is None or status == 400 or (status == 200 and body.strip() == "[]"):
+                        break
+
+    starts = F.explode(F.sequence(F.lit(1), F.lit(opts.max_pages), F.lit(width))).alias("first")
+    ranges = endpoints.select("base_url").distinct().select("base_url", starts).repartition(opts.concurrency)
+    return ranges.mapInPandas(run, PAGE_SCHEMA)
+
+
+def _fetch_one(fetch_fn: FetchFn, address: str) -> tuple:
+    try:
+        status, headers, body = fetch_fn(address)
+        return address, status, json.dumps(headers), body
+    except Exception:
+        return address, None, None, None
+
+
 def fetch_items(items: DataFrame, fetch_fn: FetchFn, concurrency: int, url: str = "item_url") -> DataFrame:
     """One response per item URL; a failing request is a response without status."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for start in range(0, len(frame), _ROWS_AT_ONCE):
-                rows = [_fetch_one(address) for address in frame["url"].iloc[start : start + _ROWS_AT_ONCE]]
+                rows = [_fetch_one(fetch_fn, address) for address in frame["url"].iloc[start : start + _ROWS_AT_ONCE]]
                 yield pd.DataFrame(rows, columns=["url", "status_code", "headers", "body"])
 
-    def _fetch_one(address: str) -> tuple:
-        try:
-            status, headers, body = fetch_fn(address)
-            return address, status, json.dumps(headers), body
-        except Exception:
-            return address, None, None, None
-
     requests = items.select(F.col(url).alias("url")).distinct().repartition(concurrency)
     got = requests.mapInPandas(run, "url string, status_code int, headers string, body string")
     return got.select(

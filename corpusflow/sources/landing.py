@@ -56,7 +56,11 @@ def listing_ids(pages: DataFrame, max_pages: int | None = fixed.MAX_PAGES) -> Li
     empty = (status == 200) & (F.col("listed") == 0)
     ends = read.groupBy("base_url").agg(F.min(F.when((status == 400) | empty, F.col("page"))).alias("_end"))
     live = read.join(ends, "base_url").where(F.col("_end").isNull() | (F.col("page") < F.col("_end")))
-    error = F.when(status != 200, "ErrUnexpectedStatusCode").when(F.col("ids").isNull(), "ErrDecode")
+    error = (
+        F.when(status.isNull(), "ErrNoResponse")
+        .when(status != 200, "ErrUnexpectedStatusCode")
+        .when(F.col("ids").isNull(), "ErrDecode")
+    )
     live = live.withColumn("error", error)
     items = (
         live.where(F.col("error").isNull())

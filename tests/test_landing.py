@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from corpusflow.options import FileOptions, ListingOptions
+from corpusflow.plans import ingest, live
 from corpusflow.sources import fetch, landing, repository
 from corpusflow.workers import ship_by_value
 
@@ -173,3 +174,34 @@ def test_live_listing_and_items(spark):
     got = landing.import_items(listing.items, answered, stamp())
     assert got.downloads.count() == 4
     assert sorted(r.error for r in got.rejects.collect()) == ["ErrNoResponse", "ErrUnexpectedPostStatusCode"]
+
+
+def world(url):
+    """Two posts sites and two repositories, one of them missing."""
+    if "/git/trees/" in url:
+        return (200, {}, json.dumps(TREE)) if "/o/r/" in url else (404, {}, "")
+    if "/contents/" in url:
+        name = url.split("/contents/")[1].split("?")[0]
+        if name == "src/main.py":
+            return 403, {}, ""
+        return 200, {}, json.dumps({"path": name, "content": "aGk=\n", "encoding": "base64"})
+    return site(url)
+
+
+def test_land_from_urls(spark):
+    addresses = [
+        "https://a.org/wp-json/posts", "https://b.org/wp-json/posts", "https://github.com/o/r",
+        "https://github.com/o/gone/tree/v1", "https://c.org/other",
+    ]
+    df = spark.createDataFrame([(a,) for a in addresses], "raw_url string")
+    fetched = live.land(df, world, ListingOptions(max_pages=9, concurrency=3))
+    assert sorted((r.raw_url, r.error) for r in fetched.rejects.collect()) == [
+        ("https://c.org/other", "ErrNoImporterCanHandle"),
+        ("https://github.com/o/gone/tree/v1", "ErrGitHubAPIRequestFailed"),
+    ]
+    got = ingest.import_all(fetched.landed, stamp())
+    assert got.sources.count() == 2 * 4 + 2
+    assert sorted(r.error for r in got.rejects.collect()) == ["ErrGitHubAPIRequestFailed"] + ["ErrNoResponse"] * 2 + [
+        "ErrUnexpectedPostStatusCode"
+    ] * 2
+    assert got.downloads.where("body = 'hi'").count() == 2
