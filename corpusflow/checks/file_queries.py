@@ -9,6 +9,7 @@ from corpusflow.checks.registry import query
 from corpusflow.functions import language
 from corpusflow.operators import files
 from corpusflow.sources import repository
+from corpusflow.sources.tables import read_table
 
 _DIRS = ["src", "node_modules/x", "rebuild", ".github", "docs", "lib/distance"]
 _EXTS = [".md", ".PY", ".png", ".yaml", "", ".Rst", ".exe"]
@@ -30,7 +31,7 @@ select doc_id, path, size,
 from entries""",
 )
 def file_filter(spark, folder):
-    docs = inputs.read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents")
     i = F.col("doc_id")
     path = F.concat(inputs._pick(_DIRS, i % 6), F.lit("/f"), i.cast("string"), inputs._pick(_EXTS, i % 7))
     blob = F.struct(path.alias("path"), F.lit("blob").alias("type"), (F.col("n_chars") * 500).alias("size"))

@@ -147,11 +147,11 @@ def import_summary(spark, folder):
 _REPO = """
 repo as (
   select doc_id, text, source as repo, 'docs/d' || doc_id || case doc_id % 5 when 0 then '.md' when 1 then '.yaml'
-    when 2 then '.png' when 3 then '.py' else '.TXT' end as path, doc_id % 5 as c, doc_id % 7 as d,
+    when 2 then '.png' when 3 then '.py' else '.TXT' end as path, doc_id % 5 as c, lang,
     n_chars as size, md5(text) as sha from documents),
 kept as (
   select *, 'https://github.com/acme/' || repo || '/blob/main/' || path as file_url,
-    case d when 5 then 'ErrNoResponse' when 6 then 'ErrGitHubAPIRequestFailed' end as error
+    case lang when 'es' then 'ErrNoResponse' when 'de' then 'ErrGitHubAPIRequestFailed' end as error
   from repo where c <> 2 and size <= 20000)"""
 
 
@@ -162,16 +162,16 @@ def repository_files(spark, folder):
     path = F.concat(F.lit("docs/d"), i.cast("string"), inputs._pick([".md", ".yaml", ".png", ".py", ".TXT"], i % 5))
     base = docs.select(
         "doc_id", F.lit("acme").alias("owner"), F.col("source").alias("repo"), F.lit("main").alias("ref"),
-        path.alias("path"), "text", "n_chars",
+        path.alias("path"), "text", "n_chars", "lang",
     )
     trees = base.select(
         "owner", "repo", "ref", "path", F.lit("blob").alias("type"), F.md5("text").alias("sha"),
         F.col("n_chars").alias("size"),
     )
     plain = i % 3 == 0
-    contents = base.where(i % 7 != 5).select(
+    contents = base.where("lang <> 'es'").select(
         "owner", "repo", "ref", "path",
-        F.when(i % 7 == 6, 404).otherwise(200).alias("status_code"),
+        F.when(F.col("lang") == "de", 404).otherwise(200).alias("status_code"),
         F.lit(None).cast("timestamp").alias("attempted_at"),
         F.when(plain, F.col("text")).otherwise(F.base64(F.col("text").cast("binary"))).alias("content"),
         F.when(plain, "utf-8").otherwise("base64").alias("encoding"),

@@ -7,12 +7,14 @@ the work is linear in the text however many chunks a document gives.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.ids import stable_id
 from corpusflow.functions.text import byte_size
-from corpusflow.functions.tokens import tokens
+from corpusflow.functions.tokens import resolve_tokenizer, tokens
 from corpusflow.options import ChunkOptions
 
 
@@ -29,9 +31,12 @@ def token_chunks(
     text: str,
     options: ChunkOptions | None = None,
     keep: list[str] | None = None,
+    tokenize: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """Chunk rows of every non-empty text, linked to their neighbours.
 
+    ``tokenize`` gives the text as an array of pieces that join to it again; another
+    tokenizer comes in there, as column expressions or as a pandas UDF.
     Output: ``keep`` columns, document_id, pos, id, parent/left/right ids, body,
     byte_size, tokenizer, token_count.
     """
@@ -39,7 +44,7 @@ def token_chunks(
     size, step = opts.max_tokens, opts.max_tokens - opts.overlap
     cut = (
         df.where(F.col(text).isNotNull() & (F.col(text) != ""))
-        .select(*(keep or []), F.col(key).alias("document_id"), tokens(F.col(text)).alias("_tokens"))
+        .select(*(keep or []), F.col(key).alias("document_id"), tokenize(F.col(text)).alias("_tokens"))
         .withColumn("_total", chunk_total(F.size("_tokens"), size, opts.overlap))
     )
 
@@ -66,7 +71,7 @@ def token_chunks(
         F.when(~F.col("last"), stable_id(document, pos + 1)).alias("right_chunk_id"),
         "body",
         byte_size(F.col("body")).alias("byte_size"),
-        F.lit(opts.tokenizer).alias("tokenizer"),
+        F.lit(resolve_tokenizer(opts.tokenizer)).alias("tokenizer"),
         "token_count",
     )
 

@@ -31,6 +31,14 @@ def test_single_chunk_is_the_text(spark):
     assert row.body == "Hello" and row.token_count == 1 and row.byte_size == 5
 
 
+def test_other_tokenizer(spark):
+    df = spark.createDataFrame([(1, "abcde")], "doc int, text string")
+    made = token_chunks(df, "doc", "text", ChunkOptions(2, tokenizer="R50K_base"), tokenize=lambda c: F.split(c, ""))
+    assert [(r.body, r.tokenizer) for r in made.orderBy("pos").collect()] == [
+        ("ab", "r50k_base"), ("cd", "r50k_base"), ("e", "r50k_base"),
+    ]
+
+
 def test_bad_options():
     for bad in (dict(max_tokens=0), dict(max_tokens=-1), dict(max_tokens=5, overlap=5), dict(max_tokens=5, overlap=-1)):
         with pytest.raises(ValueError):

@@ -111,6 +111,23 @@ def test_saving(spark, landed):
     assert integrity_report({n: read_snapshot(spark, root, n) for n in names}).count() == 0
 
 
+def test_only_changes_are_processed(spark, landed):
+    got = ingest.import_all(landed, stamp())
+    embedder = embedding.hashing_embedder()
+    idle = ingest.process_updates(got.downloads, got.downloads, got.sources, embedder, stamp(), OPTIONS, DIMS)
+    assert idle.documents.count() == idle.chunks.count() == idle.rejects.count() == 0
+    touched = got.downloads.where("status_code = 200 and body like '%T1%'")
+    incoming = got.downloads.withColumn("body", F.replace("body", F.lit("T1"), F.lit("T9")))
+    run = ingest.process_updates(got.downloads, incoming, got.sources, embedder, stamp(), OPTIONS, DIMS)
+    assert [r.source_id for r in run.documents.collect()] == [r.source_id for r in touched.collect()]
+
+
+def test_chunks_must_fit_the_model(spark, landed):
+    with pytest.raises(ValueError, match="ErrTooManyTokens"):
+        small = embedding.hashing_embedder(max_tokens=5)
+        ingest.process_sources(landed, small, stamp(), OPTIONS, dims=DIMS)
+
+
 def test_missing_and_unknown_sources(spark):
     downloads = spark.createDataFrame(
         [("d1", "gone", "{}", post(1)), ("d2", "nohost", "{}", post(2))], "id string, source_id string, headers string, body string"
