@@ -116,8 +116,8 @@ def test_only_changes_are_processed(spark, landed):
     embedder = embedding.hashing_embedder()
     idle = ingest.process_updates(got.downloads, got.downloads, got.sources, embedder, stamp(), OPTIONS, DIMS)
     assert idle.documents.count() == idle.chunks.count() == idle.rejects.count() == 0
-    touched = got.downloads.where("status_code = 200 and body like '%T1%'")
-    incoming = got.downloads.withColumn("body", F.replace("body", F.lit("T1"), F.lit("T9")))
+    touched = got.downloads.where("status_code = 200 and body like '%brown%'")
+    incoming = got.downloads.withColumn("body", F.replace("body", F.lit("brown"), F.lit("green")))
     run = ingest.process_updates(got.downloads, incoming, got.sources, embedder, stamp(), OPTIONS, DIMS)
     assert [r.source_id for r in run.documents.collect()] == [r.source_id for r in touched.collect()]
 
