@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corpusflow.workers import ship_by_value
 
 _PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|(?P<cut>\Z))|<(?P<raw>script|style|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|(?P<open>\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)"
     r"(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>"
     r"|<[!?][^>]*>|(?P<text>[^<]+|<)",
@@ -164,7 +164,12 @@ def convert(source: str) -> str:
     """Markdown of one HTML text."""
     writer = _Writer()
     in_head = False
-    for piece in _PIECE.finditer(source):
+    # No tag ends behind the last ">", so nothing is looked for there.
+    end = source.rfind(">") + 1
+    rest = source[end:].partition("<!--")[0]
+    for piece in _PIECE.finditer(source, 0, end):
+        if piece["cut"] is not None or piece["open"] is not None:
+            rest = ""
         tag = piece["tag"]
         if tag:
             tag = tag.lower()
@@ -180,6 +185,8 @@ def convert(source: str) -> str:
                 writer.start(tag, piece["attrs"])
         elif piece["text"] and not in_head:
             writer.text(piece["text"])
+    if rest and not in_head:
+        writer.text(rest)
     return writer.result()
 
 

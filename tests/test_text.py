@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,12 +27,24 @@ from corpusflow.functions.markdown import convert, html_to_markdown
         ("<img alt='A' src='a.png'>", "![A](a.png)"),
         ("<a name='x'>t</a> 1 < 2", "t 1 < 2"),
         ("", ""),
+        ("<p>a</p>b <i", "a\n\nb <i"),
+        ("<p>a</p>b <!-- c", "a\n\nb"),
+        ("a<!-- <p>b</p> c", "a"),
+        ("a<script>'</p>' b", "a"),
     ],
 )
 def test_markdown(source, expected):
     assert convert(source) == expected
 
 
+@pytest.mark.parametrize("piece", ['<a "', "<a '", "<", "<!-- ", "<b>", "<script>", "&", "<li>x", "</b>", '<a href="x>'])
+def test_markdown_takes_linear_time(piece):
+    begin = time.perf_counter()
+    convert(piece * 20000)
+    convert(piece * 20000 + ">")
+    assert time.perf_counter() - begin < 5
+
+
 def test_markdown_column(values):
     assert values(["<p>a</p>", None, ""], html_to_markdown) == ["a", None, ""]
 
