@@ -17,14 +17,14 @@ OVERLAPPING = ChunkOptions(max_tokens=100, overlap=20)
 FIXED = ChunkOptions(max_tokens=100)
 WHOLE_MODEL = ChunkOptions(max_tokens=fixed.MODEL_MAX_TOKENS)
 
-_COLUMNS = "document_id, pos, id, left_chunk_id, right_chunk_id, body, strlen(body) as byte_size, token_count"
+_COLUMNS = "document_id, pos, id, left_chunk_id, right_chunk_id, body, strlen(body)::int as byte_size, token_count"
 
 
 def document_chunks(spark, folder, options):
     return token_chunks(inputs.documents(spark, folder), "doc_id", "text", options)
 
 
-@query("token_count", f"select doc_id, len({tokens_sql('text')}) as tokens from documents")
+@query("token_count", f"select doc_id, len({tokens_sql('text')})::int as tokens from documents")
 def token_count(spark, folder):
     return inputs.documents(spark, folder).select("doc_id", tokens.token_count(F.col("text")).alias("tokens"))
 
@@ -43,7 +43,7 @@ def chunk_overlap(spark, folder):
     "chunk_to_model_limit",
     f"""
 with {chunks_sql('documents', 'doc_id', 'text', fixed.MODEL_MAX_TOKENS)}
-select document_id, pos, id, md5(body) as body_md5, strlen(body) as byte_size, token_count,
+select document_id, pos, id, md5(body) as body_md5, strlen(body)::int as byte_size, token_count,
   'cl100k_base' as tokenizer, case when {inputs.french_sql('text')} >= 3 then 'fr' else 'en' end as natural_lang
 from chunks join documents on doc_id = document_id""",
 )
@@ -86,7 +86,7 @@ def chunk_links(spark, folder):
 @query(
     "chunk_reassembly",
     """
-select doc_id as document_id, md5(text) as text_md5, strlen(text) as bytes from documents where text <> ''""",
+select doc_id as document_id, md5(text) as text_md5, strlen(text)::int as bytes from documents where text <> ''""",
 )
 def chunk_reassembly(spark, folder):
     """Bodies without their overlap, joined in order, are the document again."""

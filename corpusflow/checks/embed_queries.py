@@ -35,7 +35,7 @@ hashed as (
 
 @query(
     "embed_input",
-    f"with {CHUNKS} select id, md5({_INPUT}) as input_md5, strlen({_INPUT}) as bytes, body <> '' as embeddable from chunks",
+    f"with {CHUNKS} select id, md5({_INPUT}) as input_md5, strlen({_INPUT})::int as bytes, body <> '' as embeddable from chunks",
 )
 def embed_input(spark, folder):
     cleaned = document_chunks(spark, folder, OVERLAPPING).select(
@@ -61,7 +61,7 @@ with {CHUNKS}, models as ({_MODELS}),
 used as (
   select {_MODEL_NAMES}[(document_id % 6 + 1)::int] as model, token_count from chunks)
 select model, dimension, max_tokens, case when dimension is null then 'ErrUnsupportedModel' end as model_error,
-  count(*) as inputs, sum(token_count) as tokens
+  count(*) as inputs, sum(token_count)::bigint as tokens
 from used left join models using (model) group by all""",
 )
 def tokens_by_model(spark, folder):
@@ -112,7 +112,7 @@ def embed_requests(spark, folder):
     "embed_responses",
     """
 select vec_id, case vec_id % 10 when 3 then 'ErrNoEmbeddingData' when 7 then 'ErrDecode' end as error,
-  case when vec_id % 10 not in (3, 7) then len(embedding) end as dimension,
+  case when vec_id % 10 not in (3, 7) then len(embedding)::int end as dimension,
   case when vec_id % 10 not in (3, 7) then true end as same
 from embeddings""",
 )
@@ -162,7 +162,7 @@ def embedding_routing(spark, folder):
 
 @query(
     "embedding_codec",
-    "select vec_id, len(embedding) as dimension, true as json_same, true as bracket_same from embeddings",
+    "select vec_id, len(embedding)::int as dimension, true as json_same, true as bracket_same from embeddings",
 )
 def embedding_codec(spark, folder):
     vector = F.col("embedding")

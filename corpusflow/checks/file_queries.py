@@ -122,7 +122,7 @@ scores as (
 best as (
   select doc_id, language, score from scores
   qualify row_number() over (partition by doc_id order by score desc, language desc) = 1)
-select d.doc_id, d.lang, b.language as detected, coalesce(b.score, 0) as score
+select d.doc_id, d.lang, b.language as detected, coalesce(b.score, 0)::int as score
 from documents d left join best b using (doc_id)""",
 )
 def language_profile(spark, folder):

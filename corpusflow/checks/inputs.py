@@ -229,14 +229,14 @@ chunk_tokens as (
 chunk_totals as (
   select *, case when len(tok) <= {size} then 1 else ceil((len(tok) - {size}) / {step}.0)::int + 1 end as k
   from chunk_tokens),
-chunk_positions as (select *, unnest(range(k)) as pos from chunk_totals),
+chunk_positions as (select *, unnest(range(k))::int as pos from chunk_totals),
 chunks as (
   select {extra}document_id, pos,
     sha256(document_id || chr(31) || pos) as id,
     case when pos > 0 then sha256(document_id || chr(31) || (pos - 1)) end as left_chunk_id,
     case when pos < k - 1 then sha256(document_id || chr(31) || (pos + 1)) end as right_chunk_id,
     array_to_string(tok[pos * {step} + 1 : pos * {step} + {size}], '') as body,
-    least({size}, len(tok) - pos * {step}) as token_count
+    least({size}, len(tok) - pos * {step})::int as token_count
   from chunk_positions)"""
 
 

@@ -97,7 +97,7 @@ def post_terms(spark, folder):
     "link_count",
     r"""
 select page_id, len(regexp_extract_all(
-  regexp_replace(html, '<a href="([^"]*)">([^<]*)</a>', '[\2](\1)', 'g'), '\[([^\]]*)\]\([^\)]*\)')) as links
+  regexp_replace(html, '<a href="([^"]*)">([^<]*)</a>', '[\2](\1)', 'g'), '\[([^\]]*)\]\([^\)]*\)'))::int as links
 from pages""",
 )
 def link_count(spark, folder):
@@ -136,8 +136,8 @@ joined as (
     "html_to_markdown",
     f"""
 with {_MARKDOWN}
-select page_id, markdown, len(regexp_extract_all(markdown, '\\[([^\\]]*)\\]\\([^\\)]*\\)')) as links,
-  strlen(markdown) as bytes from joined""",
+select page_id, markdown, len(regexp_extract_all(markdown, '\\[([^\\]]*)\\]\\([^\\)]*\\)'))::int as links,
+  strlen(markdown)::int as bytes from joined""",
 )
 def html_markdown(spark, folder):
     pages = spread(read_table(spark, folder, "pages"))
