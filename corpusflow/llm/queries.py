@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.checks.registry import Query
-from corpusflow.llm import byte_bpe, chat, lines
+from corpusflow.llm import byte_bpe, chat, decontamination, lines, near_duplicates, token_counts
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +67,21 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", utf8_sha256("text").alias("kept_sha256"))
 
 
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document by the byte-level BPE file."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    counts = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its group of near copies, on shingles of four words."""
+    out = near_duplicates.near_duplicates(read(spark, folder, "documents"), shingle=4, percent=80)
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document to token ids and back to bytes."""
@@ -123,3 +138,30 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         utf8_sha256(loss).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+_WORDS = (
+    "list_filter(regexp_split_to_array(" + ASCII_LOWER.format("text") + ", '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+)
+
+
+@query(
+    "op10_decontamination",
+    f"""
+    with texts as (
+        select 'd' as kind, doc_id as id, {_WORDS} as words from documents where text is not null
+        union all select 'i', item_id, {_WORDS} from benchmark where text is not null
+    ), shingles as (
+        select distinct kind, id,
+               unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' ')))
+                   as shingle
+        from texts where len(words) > 0
+    ), items as (select id, count(*) as n from shingles where kind = 'i' group by id)
+    select d.id as doc_id, i.id as item_id, count(*) as n_common, any_value(n) as n_item
+    from shingles d join shingles i on d.shingle = i.shingle join items on items.id = i.id
+    where d.kind = 'd' and i.kind = 'i' group by d.id, i.id having 100 * count(*) >= 80 * any_value(n)
+    """,
+)
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the share of it in shingles."""
+    return decontamination.contained_items(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
