@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.checks.registry import Query
-from corpusflow.llm import byte_bpe, chat, decontamination, lines, near_duplicates, token_counts
+from corpusflow.llm import byte_bpe, chat, decontamination, language_cnn, lines, near_duplicates, token_counts, toxicity
+from corpusflow.llm.training import held_out
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +41,15 @@ ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrs
 SQL_SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+@query("op2_language")
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
+    model = language_cnn.learn(docs.where("not held_out"))
+    out = language_cnn.identify(docs.select("doc_id", "held_out", "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query(
     "op3_line_dedup",
     f"""
@@ -140,6 +150,15 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learned from labels of those that are not held out."""
+    docs = read(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
+    labels = read(spark, folder, "labels").where(~held_out(F.col("doc_id")))
+    out = toxicity.score(docs, toxicity.learn(docs.where("not held_out"), labels))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 _WORDS = (
     "list_filter(regexp_split_to_array(" + ASCII_LOWER.format("text") + ", '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
 )
