@@ -6,7 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.checks.registry import Query
-from corpusflow.llm import byte_bpe, chat, decontamination, language_cnn, lines, near_duplicates, token_counts, toxicity
+from corpusflow.llm import (
+    byte_bpe,
+    chat,
+    decontamination,
+    language_cnn,
+    lines,
+    main_text,
+    maxscore,
+    near_duplicates,
+    token_counts,
+    toxicity,
+)
 from corpusflow.llm.training import held_out
 
 QUERIES: dict[str, Query] = {}
@@ -41,6 +52,31 @@ ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrs
 SQL_SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+@query(
+    "op1_top_k_search",
+    """
+    with clean as (
+        select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+        where vec_id is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+        select q.vec_id as query_id, c.vec_id as vec_id,
+               list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+        from clean q join clean c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+    )
+    select query_id, rank, vec_id, score from (
+        select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+    ) where rank <= 20
+    """,
+)
+def op1_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one, by whole-number inner product."""
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding").where(maxscore.finite(F.col("embedding")))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double")))
+    candidates = vectors.select("vec_id", whole.alias("vector"))
+    return maxscore.top_k(candidates, candidates.where(F.col("vec_id") % 20 == 0), 20)
+
+
 @query("op2_language")
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
@@ -92,6 +128,14 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query("op6_main_text")
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The article of every page."""
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    out = main_text.extract(pages, main_text.learn(pages))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document to token ids and back to bytes."""
