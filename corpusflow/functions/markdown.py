@@ -28,6 +28,8 @@ _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 _ASCII_SPACE = " \t\n\r\f\v"
 
 _INLINE = {"b": "**", "strong": "**", "i": "_", "em": "_", "code": "`", "a": ""}
+#: Columns of indentation at most: deeper lists and quotes are written at that depth.
+_DEEPEST = 60
 _HEADINGS = {f"h{n}": "#" * n + " " for n in range(1, 7)}
 _BLOCKS = set(
     "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form header "
@@ -42,23 +44,33 @@ class _Writer:
         self.blocks: list[tuple[bool, str]] = []
         self.parts: list[str] = []
         self.open: list[tuple[str, str, int]] = []
+        #: Inline tags opened again inside themselves: they add no marks, and their ends close nothing.
+        self.nested: dict[str, int] = {}
+        #: The last character written to the block; a new block starts as after a space.
+        self.last = " "
         self.lists: list[list] = []
+        self.width = 0
         self.marker = ""
         self.quotes = 0
         self.heading = ""
         self.verbatim = False
 
+    def put(self, part: str) -> None:
+        if part:
+            self.parts.append(part)
+            self.last = part[-1]
+
     def text(self, raw: str) -> None:
         if self.verbatim:
-            self.parts.append(html.unescape(raw))
+            self.put(html.unescape(raw))
             return
         collapsed = _SPACE.sub(" ", html.unescape(raw))
-        if next((part for part in reversed(self.parts) if part), " ").endswith((" ", "\n")):
-            collapsed = collapsed.lstrip(" ")
-        if collapsed:
-            self.parts.append(collapsed)
+        self.put(collapsed.lstrip(" ") if self.last in " \n" else collapsed)
 
     def open_inline(self, tag: str, href: str) -> None:
+        if any(entry[0] == tag for entry in self.open):
+            self.nested[tag] = self.nested.get(tag, 0) + 1
+            return
         self.open.append((tag, href, len(self.parts)))
         self.parts.append("")
 
@@ -73,12 +85,15 @@ class _Writer:
             core = f"[{core}]({href})" if tag == "a" and href else mark + core + mark
             inner = lead + core + tail
         self.parts[start:] = [inner]
+        self.last = inner[-1] if inner else self.last
 
     def flush(self) -> None:
         while self.open:
             self.close_inline()
+        self.nested.clear()
         body = "".join(self.parts)
         self.parts = []
+        self.last = " "
         if self.verbatim:
             body = "```\n" + body.strip("\n") + "\n```" if body.strip(_ASCII_SPACE) else ""
         else:
@@ -87,11 +102,12 @@ class _Writer:
             return
         body = self.heading + body
         if self.lists:
-            width = sum(len(level[2]) for level in self.lists)
+            width = max(len(self.marker), min(self.width, _DEEPEST))
             lead = " " * (width - len(self.marker)) + self.marker if self.marker else " " * width
             body = lead + body.replace("\n", "\n" + " " * width)
         if self.quotes:
-            body = "\n".join("> " * self.quotes + line for line in body.split("\n"))
+            bars = "> " * min(self.quotes, _DEEPEST // 2)
+            body = "\n".join(bars + line for line in body.split("\n"))
         self.blocks.append((bool(self.marker), body))
         self.marker = ""
 
@@ -108,23 +124,27 @@ class _Writer:
                 self.lists.append([False, 0, ""])
             level = self.lists[-1]
             level[1] += 1
+            self.width -= len(level[2])
             level[2] = self.marker = f"{level[1]}. " if level[0] else "* "
+            self.width += len(level[2])
         elif tag == "blockquote":
             self.quotes += 1
         elif tag == "pre":
             self.verbatim = True
         elif tag == "br":
-            self.parts.append("\n" if self.verbatim else "  \n")
+            self.put("\n" if self.verbatim else "  \n")
         elif tag == "hr":
             self.blocks.append((False, "* * *"))
         elif tag == "img":
-            self.parts.append(f"![{_attribute(attrs, 'alt')}]({_attribute(attrs, 'src').strip()})")
+            self.put(f"![{_attribute(attrs, 'alt')}]({_attribute(attrs, 'src').strip()})")
         elif tag in ("td", "th"):
             self.text(" ")
 
     def end(self, tag: str) -> None:
         if tag in _INLINE:
-            if any(entry[0] == tag for entry in self.open):
+            if self.nested.get(tag):
+                self.nested[tag] -= 1
+            elif any(entry[0] == tag for entry in self.open):
                 while self.open[-1][0] != tag:
                     self.close_inline()
                 self.close_inline()
@@ -134,7 +154,7 @@ class _Writer:
         self.flush()
         self.heading = ""
         if tag in ("ul", "ol") and self.lists:
-            self.lists.pop()
+            self.width -= len(self.lists.pop()[2])
             self.marker = ""
         elif tag == "blockquote" and self.quotes:
             self.quotes -= 1

@@ -31,15 +31,15 @@ def without(*keys, **changes):
 
 def test_post_predicate(values):
     bodies = [json.dumps(FULL), *[without(k) for k in ("content", "title", "date_gmt", "modified_gmt")]]
-    bodies += [without(title=None), None, "", "{bad", "[1]", json.dumps(FULL) + ",", json.dumps(FULL) + " {}"]
+    bodies += [without(title=None), None, "", "{bad", "[1]", json.dumps(FULL) + ",", json.dumps(FULL) + " {}", json.dumps(FULL) + ',"end of body"] junk']
     got = values(bodies, lambda c: posts.is_post(posts.parsed(c)))
-    assert got == [True] + [False] * 4 + [True] + [False] * 6
+    assert got == [True] + [False] * 4 + [True] + [False] * 7
 
 
 def test_content_errors(values):
     bodies = [
-        without("content"), without(content="x"), without(content={"protected": False}),
-        without(content={"rendered": 12345}), without(),
+        without("content"), without(content=["body"]), without(content={"raw": "none"}),
+        without(content={"rendered": [7.5]}), without(),
     ]
     assert values(bodies, lambda c: posts.content_error(posts.parsed(c))) == [
         "ErrNoContentField", "ErrContentFieldNotObject", "ErrNoRenderedContent", "ErrRenderedContentNotString", None,
@@ -47,7 +47,7 @@ def test_content_errors(values):
 
 
 def test_dates(values):
-    bodies = [without(), without(date_gmt="invalid-date"), without(date_gmt=5), without(modified_gmt=None)]
+    bodies = [without(), without(date_gmt="31 May, noon"), without(date_gmt=5), without(modified_gmt=None)]
     assert values(bodies, lambda c: posts.date_error(posts.parsed(c))) == [None, "ErrParseDate", None, None]
     assert values(bodies[:1], lambda c: times.format_utc(posts.dates(posts.parsed(c))["published_at"])) == [
         "2023-01-01T10:30:00Z"
@@ -103,9 +103,9 @@ def test_file_content(spark):
         ("a.py", "x"): fence("python", "x"),
         ("a.cpp", "x"): fence("cpp", "x"),
         ("a.yaml", "a: 1"): fence("yaml", "a: 1"),
-        ("a.txt", "SGVsbG8gV29ybGQ="): fence("", "SGVsbG8gV29ybGQ="),
+        ("a.txt", "RsO8bmYgRsO8w59l"): fence("", "RsO8bmYgRsO8w59l"),
         ("a.xyz", "x"): "x",
-        ("a.html", "<h1>Title</h1>\n<p>This is <strong>bold</strong> text.</p>"): "# Title\n\nThis is **bold** text.",
+        ("a.html", "<h2>Rain</h2>\n<p>It <em>fell</em> all night.</p>"): "## Rain\n\nIt _fell_ all night.",
         ("a.rst", "x"): "x",
     }
     for (name, body), expected in cases.items():
