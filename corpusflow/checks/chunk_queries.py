@@ -9,7 +9,7 @@ from corpusflow.checks import inputs
 from corpusflow.checks.inputs import chunks_sql, tokens_sql
 from corpusflow.checks.registry import query
 from corpusflow.functions import language, tokens
-from corpusflow.operators.chunks import broken_links, token_chunks
+from corpusflow.operators.chunks import broken_links, cut, token_chunks
 from corpusflow.options import ChunkOptions
 from corpusflow.session import materialize
 
@@ -42,13 +42,13 @@ def chunk_overlap(spark, folder):
 @query(
     "chunk_to_model_limit",
     f"""
-with {chunks_sql('documents', 'doc_id', 'text', fixed.MODEL_MAX_TOKENS)}
+with {inputs.LONG_SQL}, {chunks_sql('long_documents', 'doc_id', 'text', fixed.MODEL_MAX_TOKENS)}
 select document_id, pos, id, md5(body) as body_md5, strlen(body)::int as byte_size, token_count,
   'cl100k_base' as tokenizer, case when {inputs.french_sql('text')} >= 3 then 'fr' else 'en' end as natural_lang
-from chunks join documents on doc_id = document_id""",
+from chunks join long_documents on doc_id = document_id""",
 )
 def chunk_to_model_limit(spark, folder):
-    docs = inputs.documents(spark, folder).withColumn("natural_lang", language.heuristic(F.col("text")))
+    docs = inputs.long_documents(spark, folder).withColumn("natural_lang", language.heuristic(F.col("text")))
     made = token_chunks(docs, "doc_id", "text", WHOLE_MODEL, keep=["natural_lang"])
     return made.select(
         "document_id", "pos", "id", F.md5("body").alias("body_md5"), "byte_size", "token_count", "tokenizer",
@@ -98,3 +98,52 @@ def chunk_reassembly(spark, folder):
     joined = pieces.groupBy("document_id").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
     text = F.array_join(F.transform("pieces", lambda piece: piece["own"]), "")
     return joined.select("document_id", F.md5(text).alias("text_md5"), F.octet_length(text).alias("bytes"))
+
+
+_MARK = "chr(10) || '## '"
+
+
+@query(
+    "chunk_heading",
+    f"""
+with split as (
+  select doc_id, string_split(replace(text, chr(10), {_MARK}), {_MARK}) as parts from documents where text <> ''),
+placed as (select *, unnest(range(len(parts))) as s from split),
+sections as (
+  select doc_id, s, {tokens_sql("case when s > 0 then '## ' else '' end || parts[s + 1] || case when s < len(parts) - 1 then chr(10) else '' end")} as tok
+  from placed),
+cuts as (select doc_id, s, tok, unnest(range(ceil(len(tok) / 100.0)::bigint)) as c from sections),
+made as (
+  select doc_id, tok[c * 100 + 1 : c * 100 + 100] as own,
+    (row_number() over (partition by doc_id order by s, c) - 1)::int as pos, count(*) over (partition by doc_id) as k
+  from cuts)
+select doc_id as document_id, pos, sha256(doc_id || chr(31) || pos) as id, md5(array_to_string(own, '')) as body_md5,
+  len(own)::int as token_count, case when pos < k - 1 then sha256(doc_id || chr(31) || (pos + 1)) end as right_chunk_id
+from made""",
+)
+def chunk_heading(spark, folder):
+    """Documents whose lines are headings, one chunk or more for each."""
+    docs = inputs.documents(spark, folder).select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n## ")).alias("text"))
+    made = cut(docs, "doc_id", "text", ChunkOptions(max_tokens=100, strategy="heading"))
+    return made.select("document_id", "pos", "id", F.md5("body").alias("body_md5"), "token_count", "right_chunk_id")
+
+
+@query(
+    "chunk_recursive",
+    """
+select doc_id as document_id, md5(text) as text_md5, 0::bigint as too_long, 0::bigint as miscounted
+from documents where text <> ''""",
+)
+def chunk_recursive(spark, folder):
+    """Packed paragraphs and sentences join to the document again; none is beyond the limit."""
+    docs = inputs.documents(spark, folder)
+    made = cut(docs, "doc_id", "text", ChunkOptions(max_tokens=60, strategy="recursive"))
+    pieces = made.select(
+        "document_id", F.struct("pos", "body").alias("piece"), (F.col("token_count") > 60).alias("long"),
+        (F.octet_length("body") != F.col("byte_size")).alias("wrong"),
+    )
+    joined = pieces.groupBy("document_id").agg(
+        F.array_sort(F.collect_list("piece")).alias("pieces"), F.count_if("long").alias("too_long"), F.count_if("wrong").alias("miscounted")
+    )
+    text = F.array_join(F.transform("pieces", lambda piece: piece["body"]), "")
+    return joined.select("document_id", F.md5(text).alias("text_md5"), "too_long", "miscounted")

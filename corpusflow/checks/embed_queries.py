@@ -74,13 +74,13 @@ def tokens_by_model(spark, folder):
 @query(
     "token_limits",
     f"""
-with counted as (select doc_id, len({inputs.tokens_sql('text')}) as tokens from documents),
+with {inputs.LONG_SQL}, counted as (select doc_id, len({inputs.tokens_sql('text')}) as tokens from long_documents),
 models as ({_MODELS})
 select doc_id, model, case when tokens > max_tokens then 'ErrTooManyTokens' end as error
 from counted join models on model = {_MODEL_NAMES[:5]}[(doc_id % 5 + 1)::int]""",
 )
 def token_limits(spark, folder):
-    counted = inputs.documents(spark, folder).select(
+    counted = inputs.long_documents(spark, folder).select(
         "doc_id", inputs._pick(_MODEL_NAMES[:5], F.col("doc_id") % 5).alias("model"),
         token_count(F.col("text")).alias("tokens"),
     )

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusflow import fixed
 from corpusflow.checks import inputs
 from corpusflow.checks.registry import query
 from corpusflow.functions import language
 from corpusflow.operators import files
+from corpusflow.options import FileOptions
 from corpusflow.sources import repository
 from corpusflow.sources.tables import read_table
 
+_SMALL = FileOptions(max_size=fixed.MAX_FILE_SIZE)
 _DIRS = ["src", "node_modules/x", "rebuild", ".github", "docs", "lib/distance"]
 _EXTS = [".md", ".PY", ".png", ".yaml", "", ".Rst", ".exe"]
 
@@ -24,9 +27,8 @@ with t as (
 entries as (
   select doc_id, path, 'blob' as type, size from t union all select doc_id, 'd' || doc_id || '.md', 'tree', 0 from t)
 select doc_id, path, size,
-  exists(select 1 from (select unnest(['.git', 'node_modules', '.next', '.nuxt', 'dist', 'build', '.vscode', '.idea',
-    '__pycache__', '.pytest_cache', '.coverage', '.DS_Store']) as w) where contains(path, w)) as excluded,
-  list_contains(['src', 'docs'], string_split(path, '/')[1]) and type = 'blob' and size <= 1048576
+  exists(select 1 from (select unnest({fixed.EXCLUDED_SUBSTRINGS}) as w) where contains(path, w)) as excluded,
+  list_contains(['src', 'docs'], string_split(path, '/')[1]) and type = 'blob' and size <= {fixed.MAX_FILE_SIZE}
     and lower(regexp_extract(path, '(\\.[^./]*)$', 1)) in ('.md', '.py', '.yaml', '.rst') as wanted
 from entries""",
 )
@@ -43,7 +45,7 @@ def file_filter(spark, folder):
     items = repository.tree_items(responses, keep=("doc_id",))
     return items.select(
         "doc_id", "path", "size", repository.paths.is_excluded(F.col("path")).alias("excluded"),
-        repository.is_wanted().alias("wanted"),
+        (repository.is_wanted() & ~repository.is_too_large(_SMALL)).alias("wanted"),
     )
 
 

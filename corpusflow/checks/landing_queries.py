@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from corpusflow.checks import inputs
 from corpusflow.checks.registry import query
 from corpusflow.operators import outcome
-from corpusflow.options import FileOptions
 from corpusflow.sources import landing, repository
 from corpusflow.sources.tables import read_table
 
@@ -16,7 +15,7 @@ from corpusflow.sources.tables import read_table
 _PAGES = """
 listed as (
   select event_id, user_id, 'https://s' || user_id || '.org/wp-json/wp/v2/posts' as base_url,
-    (event_id // 1000 + 1)::int as page, event_type from events),
+    ((event_id // 1000 + 1) * case when user_id % 2 = 0 then 150 else 1 end)::int as page, event_type from events),
 pages as (
   select base_url, page, user_id, case
     when user_id % 10 = 3 and page >= 8 then 400 when user_id % 10 = 5 and page = 4 then 500 else 200 end as status_code,
@@ -30,7 +29,8 @@ live as (
 
 def listing_pages(spark, folder):
     events = read_table(spark, folder, "events")
-    page = (F.floor(F.col("event_id") / 1000) + 1).cast("int")
+    # Some listings go on beyond page 1000.
+    page = ((F.floor(F.col("event_id") / 1000) + 1) * F.when(F.col("user_id") % 2 == 0, 150).otherwise(1)).cast("int")
     entry = F.when(
         F.col("event_type") == "error", F.concat(F.lit('{"id":"x'), F.col("event_id").cast("string"), F.lit('"}'))
     ).otherwise(F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"title":{"rendered":"t"}}')))
@@ -152,7 +152,7 @@ repo as (
 kept as (
   select *, 'https://github.com/acme/' || repo || '/blob/main/' || path as file_url,
     case lang when 'es' then 'ErrNoResponse' when 'de' then 'ErrGitHubAPIRequestFailed' end as error
-  from repo where c <> 2 and size <= 20000)"""
+  from repo where c <> 2)"""
 
 
 def repository_files(spark, folder):
@@ -193,7 +193,7 @@ select 'reject', repo || '/' || path, error from kept where error is not null"""
 )
 def repository_import(spark, folder):
     trees, contents = repository_files(spark, folder)
-    got = repository.import_files(trees, contents, inputs.stamp(), FileOptions(max_size=20000))
+    got = repository.import_files(trees, contents, inputs.stamp())
     return (
         got.sources.select(F.lit("source").alias("kind"), "id", F.concat_ws(" ", "raw_url", "format").alias("detail"))
         .unionByName(

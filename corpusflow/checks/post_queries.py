@@ -10,7 +10,7 @@ from corpusflow.functions import text, times
 from corpusflow.functions.ids import stable_id
 from corpusflow.functions.markdown import html_to_markdown
 from corpusflow.operators import metadata, posts
-from corpusflow.sources.tables import read_table, spread
+from corpusflow.sources.tables import read_table
 
 
 @query(
@@ -101,7 +101,7 @@ select page_id, len(regexp_extract_all(
 from pages""",
 )
 def link_count(spark, folder):
-    pages = spread(read_table(spark, folder, "pages"))
+    pages = inputs.dealt(read_table(spark, folder, "pages"))
     marked = F.regexp_replace("html", '<a href="([^"]*)">([^<]*)</a>', "[$2]($1)")
     return pages.select("page_id", text.link_count(marked).alias("links"))
 
@@ -140,7 +140,7 @@ select page_id, markdown, len(regexp_extract_all(markdown, '\\[([^\\]]*)\\]\\([^
   strlen(markdown)::int as bytes from joined""",
 )
 def html_markdown(spark, folder):
-    pages = spread(read_table(spark, folder, "pages"))
+    pages = inputs.dealt(read_table(spark, folder, "pages"))
     converted = pages.select("page_id", html_to_markdown(F.col("html")).alias("markdown"))
     return converted.withColumns(
         {"links": text.link_count(F.col("markdown")), "bytes": text.byte_size(F.col("markdown"))}

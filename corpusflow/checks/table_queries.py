@@ -153,11 +153,14 @@ def source_update(spark, folder):
 
 @query(
     "source_delete",
-    "select c_custkey as id, c_name as host from customer where c_custkey not in (select o_custkey from orders)",
+    """
+select c_custkey as id, c_name as host from customer
+where c_custkey not in (select o_custkey from orders where o_custkey % 3 = 0)""",
 )
 def source_delete(spark, folder):
+    """Every third customer with an order goes; the others stay."""
     base = read_table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("host"))
-    doomed = read_table(spark, folder, "orders").select(F.col("o_custkey").alias("id"))
+    doomed = read_table(spark, folder, "orders").where(F.col("o_custkey") % 3 == 0).select(F.col("o_custkey").alias("id"))
     return upsert.delete(base, doomed, ["id"])
 
 
@@ -322,7 +325,10 @@ def sources_of_hosts(spark, folder):
     return listing.of_hosts(_stored_sources(spark, folder), ["h3.org", "h7.org"]).select("id", "host")
 
 
-_TABLE_NAMES = ["documents", "pages", "events", "orders", "lineitem", "customer"]
+_TABLE_NAMES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
 
 
 @query(

@@ -82,12 +82,13 @@ select id, source_id::varchar as source_id, body, strftime(downloaded_at, '%Y-%m
 from deliveries qualify row_number() over (partition by source_id order by downloaded_at desc, id desc) <= 3""",
 )
 def stream_ingest(spark, folder):
-    """The events file as a stream of deliveries: repeats dropped, newest three per source kept."""
+    """Events delivered in several files, a third of them again later: repeats meet, newest three per source kept."""
     events = read_table(spark, folder, "events")
-    stream = (
-        spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1)
-        .parquet(folder)
-    )
+    root = work_dir(spark, "stream")
+    again = events.where(F.col("event_id") % 3 == 0).repartition(2, "event_id")
+    for rows in (events.repartition(4, F.xxhash64("event_id")), again):
+        rows.write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
 
     def to_downloads(batch):
         return batch.select(
@@ -100,9 +101,8 @@ def stream_ingest(spark, folder):
             F.col("props").alias("body"),
         )
 
-    root = work_dir(spark, "stream")
-    fresh = streaming.without_repeats(stream, ["event_id"], "ts", "2 days")
-    streaming.ingest(fresh, to_downloads, f"{root}/tables", f"{root}/checkpoint").awaitTermination()
+    streaming.ingest(stream, to_downloads, f"{root}/tables", f"{root}/checkpoint").awaitTermination()
+    streaming.compact(spark, f"{root}/tables")
     done = streaming.current_downloads(spark, f"{root}/tables")
     return done.select(
         "id", "source_id", "body", F.date_format("downloaded_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("downloaded_at")

@@ -76,6 +76,103 @@ def token_chunks(
     )
 
 
+def _packed(pieces: Column, size: int) -> Column:
+    """Chunks from consecutive pieces, each with a token count: as many pieces together as fit.
+
+    A piece beyond the size stands alone. The accumulator holds for each chunk the places of its
+    pieces and their tokens, so texts are joined once, after packing.
+    """
+    kind = "struct<first:int,last:int,tokens:int>"
+    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("now"), F.lit(0).alias("at"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        now, count, at = acc["now"], piece["token_count"], acc["at"]
+        fits = now.isNotNull() & (now["tokens"] + count <= size)
+        alone = F.struct(at.alias("first"), at.alias("last"), count.alias("tokens"))
+        grown = F.struct(now["first"].alias("first"), at.alias("last"), (now["tokens"] + count).alias("tokens"))
+        return F.struct(
+            F.when(fits | now.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(now))).alias("done"),
+            F.when(fits, grown).otherwise(alone).alias("now"),
+            (at + 1).alias("at"),
+        )
+
+    return F.aggregate(pieces, start, step, lambda acc: F.concat(acc["done"], F.array(acc["now"])))
+
+
+#: Where a text may be parted, coarse to fine: behind an empty line, behind a sentence.
+HEADING = r"(?m)(?=^#{1,6} )"
+PARAGRAPH, SENTENCE = r"(?<=\n\n)(?!\n)", r"(?<=[.!?][ \n])(?=\S)"
+
+
+def _parts(text: Column, pattern: str) -> Column:
+    return F.filter(F.split(text, pattern, -1), lambda part: part != "")
+
+
+def _token_pieces(text: Column, size: int, tokenize: Callable[[Column], Column]) -> Column:
+    """A text cut to at most so many tokens a piece, with the token count of each."""
+    found = tokenize(text)
+    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(found) - 1) / F.lit(size)).cast("int")))
+
+    def piece(at: Column) -> Column:
+        part = F.slice(found, at * size + 1, F.lit(size))
+        return F.struct(F.array_join(part, "").alias("body"), F.size(part).alias("token_count"))
+
+    return F.transform(places, piece)
+
+
+def section_chunks(
+    df: DataFrame,
+    key: str,
+    text: str,
+    options: ChunkOptions,
+    keep: list[str] | None = None,
+    tokenize: Callable[[Column], Column] = tokens,
+) -> DataFrame:
+    """Chunks that follow the text's own structure; joined they are the text again.
+
+    ``heading``: a chunk for each Markdown heading with what follows it, cut by tokens where
+    it is too long. ``recursive``: paragraphs, of those too long the sentences, of those
+    too long the tokens, packed in order into chunks of at most max_tokens. Texts are tokenized
+    piece by piece. Same columns as token_chunks; chunks do not overlap.
+    """
+    size = options.max_tokens
+    cut_up = df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(
+        *(keep or []), F.col(key).alias("document_id"), F.col(text).alias("_text")
+    )
+    if options.strategy == "heading":
+        pieces = F.flatten(F.transform(_parts(F.col("_text"), HEADING), lambda p: _token_pieces(p, size, tokenize)))
+        made = cut_up.select(*(keep or []), "document_id", F.posexplode(pieces).alias("pos", "_chunk"), F.size(pieces).alias("_total"))
+        body, count = F.col("_chunk.body"), F.col("_chunk.token_count")
+    else:
+        sentences = F.flatten(F.transform(_parts(F.col("_text"), PARAGRAPH), lambda p: F.when(F.size(tokenize(p)) <= size, F.array(p)).otherwise(_parts(p, SENTENCE))))
+        pieces = F.flatten(F.transform(sentences, lambda p: _token_pieces(p, size, tokenize)))
+        cut_up = cut_up.select(*(keep or []), "document_id", pieces.alias("_pieces"))
+        cut_up = cut_up.withColumn("_chunks", _packed(F.col("_pieces"), size))
+        made = cut_up.select(*(keep or []), "document_id", "_pieces", F.posexplode("_chunks").alias("pos", "_chunk"), F.size("_chunks").alias("_total"))
+        own = F.slice(F.col("_pieces"), F.col("_chunk.first") + 1, F.col("_chunk.last") - F.col("_chunk.first") + 1)
+        body, count = F.array_join(F.transform(own, lambda p: p["body"]), ""), F.col("_chunk.tokens")
+    document, pos = F.col("document_id"), F.col("pos")
+    return made.select(
+        *(keep or []),
+        "document_id",
+        "pos",
+        stable_id(document, pos).alias("id"),
+        F.lit(None).cast("string").alias("parent_chunk_id"),
+        F.when(pos > 0, stable_id(document, pos - 1)).alias("left_chunk_id"),
+        F.when(pos + 1 < F.col("_total"), stable_id(document, pos + 1)).alias("right_chunk_id"),
+        body.alias("body"),
+        byte_size(body).alias("byte_size"),
+        F.lit(resolve_tokenizer(options.tokenizer)).alias("tokenizer"),
+        count.alias("token_count"),
+    )
+
+
+def cut(df: DataFrame, key: str, text: str, options: ChunkOptions, keep: list[str] | None = None) -> DataFrame:
+    """Chunks by the strategy of the options."""
+    make = token_chunks if options.strategy == "token" else section_chunks
+    return make(df, key, text, options, keep)
+
+
 def empty_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """The rows chunking leaves out, with the reason."""
     return df.where(F.col(text).isNull() | (F.col(text) == "")).select(

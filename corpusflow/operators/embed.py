@@ -77,16 +77,20 @@ def hashing_embedder(model: str = "hashing-64", dimension: int = 64, max_tokens:
 def embed(chunks: DataFrame, embedder: Embedder, key: str = "id", body: str = "body") -> DataFrame:
     """One row per chunk with a body: id, model, dimension, vector, error.
 
-    Rows are cleaned before Python sees them. A failing batch is tried row by row,
-    so one bad text costs its own row only. Chunks without a body get no row.
+    Rows are cleaned before Python sees them. A batch that fails, or gives another
+    number of vectors than texts, is tried row by row, so one bad text costs its own
+    row only. Chunks without a body get no row.
     """
     def guarded(batch: list[str]) -> list[tuple]:
         try:
-            return [(v, None) for v in embedder.embed_fn(batch)]
+            found, reason = list(embedder.embed_fn(batch)), "ErrEmbeddingCount"
         except Exception as failure:
-            if len(batch) == 1:
-                return [(None, f"ErrEmbedding: {type(failure).__name__}")]
-            return [result for single in batch for result in guarded([single])]
+            found, reason = None, f"ErrEmbedding: {type(failure).__name__}"
+        if found is not None and len(found) == len(batch):
+            return [(v, None) for v in found]
+        if len(batch) == 1:
+            return [(None, reason)]
+        return [result for single in batch for result in guarded([single])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:

@@ -17,31 +17,33 @@ from corpusflow.operators.metadata import json_text, present
 DATE_KEYS = {"published_at": "date_gmt", "modified_at": "modified_gmt"}
 
 
-_END = "end of body"
-
-
 def parsed(body: Column) -> Column:
     """The body as a variant if it is one JSON object and nothing after it, else null.
 
     The parser stops behind the first value, so the body is read as the first of two
-    list entries: text behind the object breaks the list.
+    list entries: text behind the object breaks the list. The second entry is the
+    body's hash, which a body cannot bring along, and there is no third.
     """
-    return _object_in(_pair(body))
+    return _object_in(_pair(body), body)
+
+
+def _end(body: Column) -> Column:
+    return F.concat(F.lit("end of "), F.sha2(body, 256))
 
 
 def _pair(body: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(f',"{_END}"]')))
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(',"'), _end(body), F.lit('"]')))
 
 
-def _object_in(pair: Column) -> Column:
-    whole = F.try_variant_get(pair, "$[1]", "string") == _END
+def _object_in(pair: Column, body: Column) -> Column:
+    whole = (F.try_variant_get(pair, "$[1]", "string") == _end(body)) & F.try_variant_get(pair, "$[2]", "variant").isNull()
     return F.when(whole & (kind(pair, "$[0]") == "OBJECT"), F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def with_parsed(df: DataFrame, body: Column, name: str = "_post") -> DataFrame:
     """Add the parsed body, parsed once per row however often it is read."""
     read = computed_once(df, {"_pair": _pair(body)})
-    return computed_once(read, {name: _object_in(F.col("_pair"))}).drop("_pair")
+    return computed_once(read, {name: _object_in(F.col("_pair"), body)}).drop("_pair")
 
 
 def has_key(post: Column, key: str) -> Column:

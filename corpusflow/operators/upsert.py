@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.session import materialize
-
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows of each key in the given order.
@@ -24,6 +22,22 @@ def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int =
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
+def newest_rows(df: DataFrame, keys: list[str], time: Column, fingerprint: Column) -> DataFrame:
+    """The newest row of each key, ties to the smaller fingerprint; wide columns are never sorted.
+
+    Keys, time and fingerprint are ranked alone, then one join picks the rows. Rows
+    that agree in all three are the same delivery, of which one stays.
+    """
+    marked = df.withColumns({"_time": time, "_print": fingerprint})
+    ranked = newest_per_key(marked.select(*keys, "_time", "_print"), keys, [F.col("_time").desc_nulls_last(), F.col("_print")])
+    best = ranked.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_time").alias("_t"), F.col("_print").alias("_p"))
+    same = F.col("_time").eqNullSafe(F.col("_t")) & F.col("_print").eqNullSafe(F.col("_p"))
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"_k{i}"))
+    picked = marked.join(best.hint("shuffle_hash"), same, "left_semi")
+    return picked.dropDuplicates([*keys, "_time", "_print"]).drop("_time", "_print")
+
+
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Rows of ``updates`` replace those of ``base`` with the same key; the first in order wins."""
     latest = newest_per_key(updates, keys, order)
@@ -120,10 +134,11 @@ def merge_downloads(current: DataFrame, arrived: DataFrame, keep: int = 3) -> Da
     """Downloads after new ones: newest per id, then the newest few per source.
 
     Only sources that got something are worked on; the rows of others pass through.
+    Keys alone are ranked; bodies meet the ids that stay in one join.
     """
-    order = [F.col("downloaded_at").desc_nulls_last()]
-    newest = retain_newest(materialize(newest_per_key(arrived, ["id"], order), "arrived"), keep)
-    touched = newest.select("source_id").distinct()
-    affected = current.join(touched, "source_id", "left_semi").unionByName(newest.select(*current.columns))
-    merged = retain_newest(materialize(newest_per_key(affected, ["id"], order), "affected"), keep)
+    touched = arrived.select("source_id").distinct()
+    affected = current.join(touched, "source_id", "left_semi").unionByName(arrived.select(*current.columns))
+    latest = affected.groupBy("id", "source_id").agg(F.max("downloaded_at").alias("downloaded_at"))
+    kept = affected.join(retained_ids(latest, keep).select("id"), "id", "left_semi")
+    merged = newest_rows(kept, ["id"], F.col("downloaded_at"), F.xxhash64("source_id", "attempted_at", "status_code", "headers"))
     return current.join(touched, "source_id", "left_anti").select(*current.columns).unionByName(merged)

@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 from corpusflow import fixed
 
 
+STRATEGIES = ("token", "heading", "recursive")
+
+
 @dataclass(frozen=True)
 class ChunkOptions:
     max_tokens: int = fixed.DEFAULT_MAX_TOKENS
@@ -19,7 +22,7 @@ class ChunkOptions:
             raise ValueError("ErrInvalidMaxTokens: max_tokens must be positive")
         if not 0 <= self.overlap < self.max_tokens:
             raise ValueError("ErrInvalidOverlap: overlap must be between 0 and max_tokens")
-        if self.strategy != "token":
+        if self.strategy not in STRATEGIES:
             raise ValueError(f"ErrNoChunkerRegistered: {self.strategy}")
 
 
@@ -27,14 +30,16 @@ class ChunkOptions:
 class FileOptions:
     exclusions: list[str] = field(default_factory=lambda: list(fixed.EXCLUDED_SUBSTRINGS))
     extensions: list[str] = field(default_factory=lambda: list(fixed.IMPORTABLE_EXTENSIONS))
-    max_size: int = fixed.MAX_FILE_SIZE
+    #: Bytes; larger files become rejects. None takes every file.
+    max_size: int | None = None
     match: str = "substring"
 
 
 @dataclass(frozen=True)
 class ListingOptions:
     per_page: int = fixed.POSTS_PER_PAGE
-    max_pages: int = fixed.MAX_PAGES
+    #: None goes on to the end of the listing; a bound that cuts one off is a reject.
+    max_pages: int | None = None
     concurrency: int = fixed.DEFAULT_CONCURRENCY
 
 
@@ -43,7 +48,7 @@ class IngestOptions:
     """Options of a whole run; the defaults are those of the command line."""
 
     chunks: ChunkOptions = field(default_factory=lambda: ChunkOptions(max_tokens=fixed.MODEL_MAX_TOKENS))
-    model: str = "text-embedding-3-small"
-    concurrency: int = fixed.DEFAULT_CONCURRENCY
     parity: bool = False
     quote_strings: bool = False
+    #: Deal rows anew before chunking and embedding; None leaves them as they come.
+    partitions: int | None = None

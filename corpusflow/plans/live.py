@@ -53,6 +53,11 @@ def land(
     failed = answered.where(~F.coalesce(good, F.lit(False))).select(
         "raw_url", F.lit("ErrGitHubAPIRequestFailed").alias("error")
     )
+    # A tree that the service cut off is used as far as it goes, and said to be cut.
+    truncated = F.try_variant_get(F.try_parse_json("body"), "$.truncated", "boolean")
+    failed = failed.unionByName(
+        answered.where(good & truncated).select("raw_url", F.lit("ErrTreeTruncated").alias("error"))
+    )
 
     content_url = F.concat(
         F.lit(f"{api_url}/repos/"), F.concat_ws("/", "owner", "repo", F.lit("contents"), "path"), F.lit("?ref="), F.col("ref")

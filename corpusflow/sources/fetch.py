@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpusflow.options import ListingOptions
 from corpusflow.workers import ship_by_value
@@ -24,89 +23,44 @@ PAGE_SCHEMA = "base_url string, page int, status_code int, body string"
 RESPONSE_SCHEMA = "url string, attempted_at timestamp, status_code int, headers map<string,array<string>>, body string"
 
 
-class _PageRange(InputPartition):
-    def __init__(self, first: int, last: int) -> None:
-        self.first, self.last = first, last
-
-
-def paged_source(fetch_fn: FetchFn) -> type[DataSource]:
-    """A data source ``paged`` whose partitions are page ranges of one listing.
-
-    Each range ends at its own first page that answers 400 or lists nothing;
-    ``landing.listing_ids`` then applies the listing's end over all ranges.
-    """
-
-    class Reader(DataSourceReader):
-        def __init__(self, options: dict) -> None:
-            self.base_url = options["base_url"]
-            self.per_page = int(options["per_page"])
-            self.max_pages = int(options["max_pages"])
-            self.ranges = int(options["ranges"])
-
-        def partitions(self) -> list[InputPartition]:
-            width = -(-self.max_pages // self.ranges)
-            return [
-                _PageRange(first, min(first + width - 1, self.max_pages))
-                for first in range(1, self.max_pages + 1, width)
-            ]
-
-        def read(self, partition: _PageRange) -> Iterator[tuple]:
-            for page in range(partition.first, partition.last + 1):
-                status, _, body = fetch_fn(f"{self.base_url}?page={page}&per_page={self.per_page}")
-                yield self.base_url, page, status, body
-                if status == 400 or (status == 200 and body.strip() == "[]"):
-                    return
-
-    class Paged(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return "paged"
-
-        def schema(self) -> str:
-            return PAGE_SCHEMA
-
-        def reader(self, schema) -> DataSourceReader:
-            return Reader(self.options)
-
-    return Paged
+#: A walk gives up after so many failed requests in a row; each of them is there to see.
+_FAILURES = 5
 
 
 def fetch_listing(
     spark: SparkSession, base_url: str, fetch_fn: FetchFn, options: ListingOptions | None = None
 ) -> DataFrame:
     """Listing pages of one endpoint."""
-    opts = options or ListingOptions()
-    spark.dataSource.register(paged_source(fetch_fn))
-    settings = {
-        "base_url": base_url,
-        "per_page": str(opts.per_page),
-        "max_pages": str(opts.max_pages),
-        "ranges": str(opts.concurrency),
-    }
-    return spark.read.format("paged").options(**settings).load()
+    return fetch_pages(spark.createDataFrame([(base_url,)], "base_url string"), fetch_fn, options)
 
 
 def fetch_pages(endpoints: DataFrame, fetch_fn: FetchFn, options: ListingOptions | None = None) -> DataFrame:
-    """Listing pages of many endpoints (column base_url), in page ranges spread over the tasks.
+    """Listing pages of many endpoints (column base_url), each walked by several tasks in turn.
 
-    The ranges of one endpoint are fetched independently, each up to its own end.
+    Of n walks the first asks for pages 1, n + 1, ..., the second for 2, n + 2, ...; each
+    goes on to its first page that answers 400 or lists nothing, so a listing of any
+    length is read to its end. ``landing.listing_ids`` then applies the listing's end over all
+    walks. A failed request is a page without a good status, and the walk goes on behind it.
     """
     opts = options or ListingOptions()
-    width = -(-opts.max_pages // opts.concurrency)
+    walks, per_page, last = opts.concurrency, opts.per_page, opts.max_pages
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for base_url, first in zip(frame["base_url"], frame["first"]):
-                for page in range(first, min(first + width - 1, opts.max_pages) + 1):
-                    _, status, _, body = _fetch_one(fetch_fn, f"{base_url}?page={page}&per_page={opts.per_page}")
+            for base_url, page in zip(frame["base_url"], frame["first"]):
+                failed = 0
+                while failed < _FAILURES:
+                    _, status, _, body = _fetch_one(fetch_fn, f"{base_url}?page={page}&per_page={per_page}")
                     row = (base_url, page, status, body)
                     yield pd.DataFrame([row], columns=["base_url", "page", "status_code", "body"])
-                    if status is None or status == 400 or (status == 200 and body.strip() == "[]"):
+                    if status == 400 or (status == 200 and body.strip() == "[]") or (last is not None and page > last):
                         break
+                    failed = 0 if status == 200 else failed + 1
+                    page += walks
 
-    starts = F.explode(F.sequence(F.lit(1), F.lit(opts.max_pages), F.lit(width))).alias("first")
-    ranges = endpoints.select("base_url").distinct().select("base_url", starts).repartition(opts.concurrency)
-    return ranges.mapInPandas(run, PAGE_SCHEMA)
+    starts = F.explode(F.sequence(F.lit(1), F.lit(walks))).alias("first")
+    firsts = endpoints.select("base_url").distinct().select("base_url", starts).repartition(walks)
+    return firsts.mapInPandas(run, PAGE_SCHEMA)
 
 
 def _fetch_one(fetch_fn: FetchFn, address: str) -> tuple:

@@ -7,12 +7,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow import fixed
 from corpusflow.functions import urls
 from corpusflow.functions.ids import stable_id
 from corpusflow.operators import posts
 from corpusflow.operators.barrier import computed_once
-from corpusflow.operators.upsert import newest_per_key
+from corpusflow.operators.upsert import newest_rows
 from corpusflow.session import materialize
 
 
@@ -31,15 +30,15 @@ def _elements(body: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(body), "$", "array<variant>")
 
 
-def listing_ids(pages: DataFrame, max_pages: int | None = fixed.MAX_PAGES) -> Listing:
+def listing_ids(pages: DataFrame, max_pages: int | None = None) -> Listing:
     """Item ids of all listing pages before each site's end.
 
     The end is the first page that answers 400 or lists nothing. A page with another
     status, or without a JSON array, is a reject and the pages after it still count.
+    With ``max_pages`` every live page beyond it is a reject as well.
     """
     status = F.col("status_code")
-    if max_pages is not None:
-        pages = pages.where(F.col("page") <= max_pages)
+    beyond = F.lit(False) if max_pages is None else F.col("page") > max_pages
 
     def item_id(element: Column) -> Column:
         return posts.whole_number_at(element, "$.id")
@@ -57,7 +56,8 @@ def listing_ids(pages: DataFrame, max_pages: int | None = fixed.MAX_PAGES) -> Li
     ends = read.groupBy("base_url").agg(F.min(F.when((status == 400) | empty, F.col("page"))).alias("_end"))
     live = read.join(ends, "base_url").where(F.col("_end").isNull() | (F.col("page") < F.col("_end")))
     error = (
-        F.when(status.isNull(), "ErrNoResponse")
+        F.when(beyond, "ErrListingCut")
+        .when(status.isNull(), "ErrNoResponse")
         .when(status != 200, "ErrUnexpectedStatusCode")
         .when(F.col("ids").isNull(), "ErrDecode")
     )
@@ -108,7 +108,6 @@ def fetched_items(items: DataFrame, responses: DataFrame, json_type_only: bool =
 
     ``json_type_only`` also refuses a body that is not declared as JSON.
     """
-    order = [F.col("attempted_at").desc_nulls_last(), F.xxhash64("status_code", "body")]
     status = F.col("status_code")
     # Judged before any shuffle, so that bodies travel only where they are asked for.
     refusal = (
@@ -117,7 +116,8 @@ def fetched_items(items: DataFrame, responses: DataFrame, json_type_only: bool =
         .when(F.lit(json_type_only) & ~_declared_json(F.col("headers")), "ErrContentType")
         .when(posts.parsed(F.col("body")).isNull(), "ErrDecode")
     )
-    newest = newest_per_key(responses.withColumn("error", refusal), ["url"], order)
+    newest = newest_rows(responses, ["url"], F.col("attempted_at"), F.xxhash64("status_code", "body"))
+    newest = newest.withColumn("error", refusal)
     met = items.join(newest, items["item_url"] == newest["url"], "left")
     return met.withColumn("error", F.when(F.col("url").isNull(), "ErrNoResponse").otherwise(F.col("error"))).drop("url")
 

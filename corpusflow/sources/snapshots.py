@@ -45,3 +45,10 @@ def read_parts(spark: SparkSession, root: str, table: str, numbers: list[int], s
 
 def write_snapshot(df: DataFrame, root: str, table: str, number: int) -> None:
     df.write.mode("overwrite").parquet(f"{_folder(root, table)}/snapshot={number}")
+
+
+def expire_snapshots(spark: SparkSession, root: str, table: str, keep: int) -> None:
+    """Delete all but the newest finished snapshots. Readers of older ones must be done."""
+    for number in complete_snapshots(spark, root, table)[:-keep]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{_folder(root, table)}/snapshot={number}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

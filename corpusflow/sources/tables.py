@@ -7,13 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work on a small input.
-
-    Files are split by row group at best. When that gives fewer splits than there are
-    cores, the rows move once; a large input has splits enough and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

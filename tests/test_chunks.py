@@ -44,7 +44,7 @@ def test_bad_options():
         with pytest.raises(ValueError):
             ChunkOptions(**bad)
     with pytest.raises(ValueError, match="ErrNoChunkerRegistered"):
-        ChunkOptions(strategy="heading")
+        ChunkOptions(strategy="by weight")
 
 
 def test_empty_text_is_a_reject(spark):
@@ -93,3 +93,25 @@ def test_plan_has_no_shuffle_and_no_python(spark):
     assert "Exchange" not in plan and "Python" not in plan
     assert plan.count("regexp_extract_all") == 1
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_sections(spark):
+    """Headings and packed sentences: lossless, linked, within the limit."""
+    from corpusflow.operators.chunks import cut
+
+    texts = [
+        "intro line\n# One\nbody of one\n## Two\n#no heading\n### \nlast", "no heading at all", "# only", None, "",
+        "First one. Second one! Third?\n\n\n\nNext paragraph is here. " + "very " * 40 + "long sentence. End.", "word " * 500,
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for strategy in ("heading", "recursive"):
+        rows = cut(df, "i", "t", ChunkOptions(max_tokens=12, strategy=strategy)).orderBy("document_id", "pos").collect()
+        for i, text in enumerate(texts):
+            own = [r for r in rows if r.document_id == i]
+            assert "".join(r.body for r in own) == (text or "") and [r.pos for r in own] == list(range(len(own)))
+            assert [r.right_chunk_id for r in own[:-1]] == [r.id for r in own[1:]] and (not own or own[-1].right_chunk_id is None)
+            assert all(0 < r.token_count <= 12 for r in own)
+        if strategy == "heading":
+            assert [r.body for r in rows if r.document_id == 0] == ["intro line\n", "# One\nbody of one\n", "## Two\n#no heading\n", "### \nlast"]
+        else:
+            assert [r.body for r in rows if r.document_id == 5][:2] == ["First one. Second one! Third?\n\n\n\n", "Next paragraph is here. "]

@@ -47,7 +47,8 @@ def test_listing_ends_at_empty_page_and_reports_bad_pages(spark):
 
 def test_page_cap(spark):
     rows = pages(spark, [("u", n, 200, ids(n)) for n in range(1, 6)])
-    assert landing.listing_ids(rows, max_pages=2).items.count() == 2
+    cut = landing.listing_ids(rows, max_pages=2)
+    assert cut.items.count() == 2 and {r.error for r in cut.rejects.collect()} >= {"ErrListingCut"}
     assert landing.listing_ids(rows, max_pages=None).items.count() == 5
 
 
@@ -97,32 +98,56 @@ def test_newest_response_counts(spark):
     assert landing.import_items(items, both, stamp()).downloads.first().body == '{"n":2}'
 
 
+def entry(path, size, kind="blob"):
+    return {"path": path, "type": kind, "size": size, "sha": f"sha-{path}"}
+
+
 TREE = {
     "tree": [
-        {"path": "README.md", "type": "blob", "size": 100, "sha": "1"},
-        {"path": "src/main.go", "type": "blob", "size": 200, "sha": "2"},
-        {"path": "src/main.py", "type": "blob", "size": 200, "sha": "3"},
-        {"path": "src", "type": "tree", "size": 0, "sha": "4"},
-        {"path": "node_modules/p/index.js", "type": "blob", "size": 1, "sha": "5"},
-        {"path": ".git/config", "type": "blob", "size": 1, "sha": "6"},
-        {"path": "large.txt", "type": "blob", "size": 2 * 1024 * 1024, "sha": "7"},
-        {"path": "image.png", "type": "blob", "size": 1, "sha": "8"},
+        entry("notes/plan.rst", 40), entry("tool.py", 900), entry("Setup.CFG", 12), entry("notes", 0, "tree"),
+        entry("dist/tool.py", 5), entry(".vscode/settings.json", 5), entry("dump.txt", 3 << 20), entry("logo.svgz", 7),
     ]
-}
+}
+WANTED = ["notes/plan.rst", "tool.py", "Setup.CFG"]
 
 
 def test_tree_filter(spark, tmp_path):
     (tmp_path / "tree.json").write_text(json.dumps(TREE, indent=1))
     items = repository.read_tree(spark, str(tmp_path))
     assert items.count() == 8
-    kept = [r.path for r in repository.filter_files(items).collect()]
-    assert kept == ["README.md", "src/main.go", "src/main.py"]
-    only_png = FileOptions(exclusions=[], extensions=[".PNG"], max_size=10)
-    assert [r.path for r in repository.filter_files(items, only_png).collect()] == ["image.png"]
+    assert [r.path for r in repository.filter_files(items).collect()] == [*WANTED, "dump.txt"]
+    assert [r.path for r in repository.filter_files(items, FileOptions(max_size=1 << 20)).collect()] == WANTED
+    unknown = items.withColumn("size", F.lit(None).cast("bigint"))
+    assert repository.filter_files(unknown, FileOptions(max_size=1)).count() == 4
+    other = FileOptions(exclusions=[], extensions=[".SVGZ"], max_size=10)
+    assert [r.path for r in repository.filter_files(items, other).collect()] == ["logo.svgz"]
     as_text = spark.createDataFrame([(json.dumps(TREE),)], "body string")
     assert repository.tree_items(as_text).count() == 8
 
 
+def test_files_that_are_not_text(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("caf\u00e9".encode("latin-1"))
+    (tmp_path / "b.png").write_bytes(b"\x89PNG\xff\x00")
+    (tmp_path / "c.txt").write_text("caf\u00e9", encoding="utf-8")
+    got = {r.path: (r.content, r.error) for r in repository.read_checkout(spark, str(tmp_path)).collect()}
+    assert got == {"a.txt": (None, "ErrEncoding"), "b.png": (None, "ErrEncoding"), "c.txt": ("caf\u00e9", None)}
+
+
+def test_one_answer_per_file(spark):
+    items = spark.createDataFrame(
+        [("o", "r", "main", p, "blob", "s", n) for p, n in (("a.md", 1), ("a.md", 1), ("b.md", 50), ("c.md", None))],
+        "owner string, repo string, ref string, path string, type string, sha string, size bigint",
+    )
+    contents = spark.sql(
+        "select 'o' as owner, 'r' as repo, 'main' as ref, path, 200 as status_code, at as attempted_at, body as content, 'utf-8' as encoding "
+        "from values ('a.md', timestamp '2024-01-01', 'old'), ('a.md', timestamp '2024-01-02', 'new'), "
+        "('a.md', timestamp '2024-01-02', 'new'), ('b.md', null, 'big'), ('c.md', null, 'c') as t(path, at, body)"
+    )
+    got = repository.import_files(items, contents, stamp(), FileOptions(max_size=9))
+    assert sorted(r.body for r in got.downloads.collect()) == ["c", "new"] and got.sources.count() == 2
+    assert [(r.path, r.error) for r in got.rejects.collect()] == [("b.md", "ErrFileTooLarge")]
+
+
 def test_contents_and_checkout(spark, tmp_path):
     (tmp_path / "c").mkdir()
     (tmp_path / "c" / "one.json").write_text(json.dumps({"name": "a.md", "path": "a.md", "content": "eA==\n", "encoding": "base64"}))
@@ -182,7 +207,7 @@ def world(url):
         return (200, {}, json.dumps(TREE)) if "/o/r/" in url else (404, {}, "")
     if "/contents/" in url:
         name = url.split("/contents/")[1].split("?")[0]
-        if name == "src/main.py":
+        if name == "tool.py":
             return 403, {}, ""
         return 200, {}, json.dumps({"path": name, "content": "aGk=\n", "encoding": "base64"})
     return site(url)
@@ -200,8 +225,24 @@ def test_land_from_urls(spark):
         ("https://github.com/o/gone/tree/v1", "ErrGitHubAPIRequestFailed"),
     ]
     got = ingest.import_all(fetched.landed, stamp())
-    assert got.sources.count() == 2 * 4 + 2
+    assert got.sources.count() == 2 * 4 + 3
     assert sorted(r.error for r in got.rejects.collect()) == ["ErrGitHubAPIRequestFailed"] + ["ErrNoResponse"] * 2 + [
         "ErrUnexpectedPostStatusCode"
     ] * 2
-    assert got.downloads.where("body = 'hi'").count() == 2
+    assert got.downloads.where("body = 'hi'").count() == 3
+
+
+def test_a_failed_page_does_not_end_the_walk(spark):
+    def shaky(url):
+        page = int(url.split("page=")[1].split("&")[0])
+        if page == 3:
+            raise ConnectionError("down")
+        return (200, {}, json.dumps([{"id": page}])) if page <= 40 else (200, {}, "[]")
+
+    for options in (ListingOptions(concurrency=3), ListingOptions(concurrency=1), ListingOptions(max_pages=60, concurrency=4)):
+        pages = fetch.fetch_listing(spark, "https://a.org/p", shaky, options)
+        got = landing.listing_ids(pages, options.max_pages)
+        assert sorted(r.item_id for r in got.items.collect()) == [n for n in range(1, 41) if n != 3]
+        assert [(r.page, r.error) for r in got.rejects.collect()] == [(3, "ErrNoResponse")]
+    cut = landing.listing_ids(fetch.fetch_listing(spark, "https://a.org/p", shaky, ListingOptions(max_pages=10)), 10)
+    assert cut.items.count() == 9 and "ErrListingCut" in {r.error for r in cut.rejects.collect()}

@@ -70,6 +70,8 @@ def test_process_sources(spark, landed):
     assert report.collect() == []
     verdicts = {r.outcome for r in ingest.run_summary(tables).collect()}
     assert verdicts == {"ok", "failed"}
+    failed = {r.source_id: r.first_error for r in ingest.run_summary(tables).where("outcome = 'failed'").collect()}
+    assert failed["https://a.org/wp-json/wp/v2/posts/2"] == "ErrUnexpectedPostStatusCode"
 
 
 def test_rerun_gives_the_same(spark, landed):
@@ -157,6 +159,72 @@ def test_embed_errors_stay_in_their_row(spark):
     }
 
 
+def test_answers_of_another_length(spark):
+    """A model that leaves out texts, or adds vectors, costs those rows only."""
+
+    def short(batch):
+        return [[1.0, 1.0] for text in batch if text != "lost"] + [[2.0, 2.0] for text in batch if text == "double"]
+
+    got = embedding.embed(chunk_frame(spark, ["a", "lost", "b", "double"]), embedding.Embedder("m", 2, 10, short, batch_size=2))
+    assert {r.id: (r.vector, r.error) for r in got.collect()} == {
+        "c0": ([1.0, 1.0], None), "c1": (None, "ErrEmbeddingCount"), "c2": ([1.0, 1.0], None), "c3": (None, "ErrEmbeddingCount"),
+    }
+
+
+def test_vectors_follow_the_text(spark, landed):
+    """A changed text loses the vectors of all models, also of one that this run does not use."""
+    root = work_dir(spark, "models")
+    files = ingest.Landed(trees=landed.trees, contents=landed.contents)
+    dims = {64: "embedding_64"}
+    for number, model in ((1, "m1"), (2, "m2")):
+        store.save(ingest.process_sources(files, embedding.hashing_embedder(model), stamp(), OPTIONS, dims=dims), root, number)
+
+    def vectors(number):
+        rows = spark.read.parquet(f"{root}/embeddings/snapshot={number}").collect()
+        return sorted({r.model for r in rows})
+
+    assert vectors(2) == ["m1", "m2"]
+    changed = landed.contents.withColumn("content", F.when(F.col("path") == "src/a.py", "eSA9IDI=").otherwise(F.col("content")))
+    later = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    newer = changed.withColumn("attempted_at", later)
+    run = ingest.process_sources(ingest.Landed(trees=landed.trees, contents=newer), embedding.hashing_embedder("m1"), later, OPTIONS, dims=dims)
+    store.save(run, root, 3, snapshots=2)
+    assert vectors(3) == ["m1"]
+    assert complete_snapshots(spark, root, "chunks") == [2, 3]
+
+
+def test_own_transformer_and_chunker(spark, landed):
+    shouts = parts.Transformer(
+        "shout", lambda df: F.contains(df["body"], F.lit("T1")), lambda df: df.withColumn("content", F.lit("A B C D"))
+    )
+    chunker = parts.Chunker("one", lambda df: parts.token_chunker(ChunkOptions(max_tokens=2), "document_id", "content", ["language"]).chunk(df))
+    run = ingest.process_sources(
+        landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS, transformers=[shouts], chunker=chunker
+    )
+    post_id = run.sources.where("raw_url like '%posts/1'").select(stable_id("id")).first()[0]
+    assert sorted(r.body for r in run.chunks.where(F.col("document_id") == post_id).collect()) == [" C D", "A B"]
+    assert run.documents.where("format = 'json'").count() == run.documents.count()
+
+
+def test_tags_of_a_run(spark, landed):
+    named = {"_embedded": {"wp:term": [[{"name": "news"}, {"name": "spark"}], [{"name": "news"}]]}}
+    items = landed.items.withColumn("body", F.when(F.col("url").endswith("/1"), F.lit(post(1, **named))).otherwise(F.col("body")))
+    run = ingest.process_sources(ingest.Landed(landed.pages, items), embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS)
+    assert sorted(r.name for r in run.tags.collect()) == ["news", "spark"] and run.document_tags.count() == 2
+    root = work_dir(spark, "tags")
+    store.save(run, root, 1)
+    store.save(run, root, 2)
+    assert read_snapshot(spark, root, "document_tags").count() == 2
+
+
+def test_documents_need_no_model(spark, landed):
+    def never(batch):
+        raise AssertionError("asked for a vector")
+
+    run = ingest.process_sources(landed, embedding.Embedder("m", 64, 8191, never), stamp(), OPTIONS, dims=DIMS)
+    assert run.documents.count() == 2 and "embedded" not in run.__dict__ and "chunks" not in run.__dict__
+
+
 def test_embedding_rows(spark):
     wide = embedding.Embedder("m", 999, 10, lambda batch: [[0.0] * 999 for _ in batch])
     rows = embedding.embedding_rows(embedding.embed(chunk_frame(spark, ["a"]), wide), stamp()).collect()
@@ -220,7 +288,7 @@ def test_stream_equals_batch(spark):
     files = [
         [(1, "a", "x", "2024-01-01"), (1, "a", "x", "2024-01-01"), (2, "b", "y", "2024-01-01")],
         [(3, "a", "z", "2024-01-02"), (4, "a", "x", "2024-01-03"), (5, "a", "w", "2024-01-02 01:00:00")],
-        [(6, "a", "v", "2024-01-04"), (1, "a", "x", "2024-01-01"), (7, "c", "q", "2024-01-04")],
+        [(6, "a", "v", "2024-01-04"), (1, "a", "x", "2024-01-01"), (7, "c", "q", "2023-06-04")],
     ]
     for rows in files:
         deliveries(spark, rows).coalesce(1).write.mode("append").parquet(f"{root}/landing")
@@ -229,13 +297,12 @@ def test_stream_equals_batch(spark):
 
     def run():
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
-        fresh = streaming.without_repeats(stream, ["n"], "ts", "10 days")
         streaming.ingest(
-            fresh, to_downloads, f"{root}/t", f"{root}/cp", process=lambda df, n: seen.append((n, df.count()))
+            stream, to_downloads, f"{root}/t", f"{root}/cp", process=lambda df, n: seen.append((n, df.count()))
         ).awaitTermination()
 
     run()
-    assert sum(count for _, count in seen) == 7
+    assert len(seen) == 3 and sum(count for _, count in seen) == 9
     everything = deliveries(spark, [row for rows in files for row in rows])
     from corpusflow.operators.upsert import newest_per_key, retain_newest
 
