@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -33,7 +35,13 @@ def build_session(app: str = "corpusflow", master: str | None = None, **settings
 
 @lru_cache(maxsize=1)
 def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="corpusflow-")
+    folder = tempfile.mkdtemp(prefix="corpusflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+#: Folders of this process's intermediate results.
+_WRITTEN: list[str] = []
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
@@ -58,4 +66,12 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_work(spark: SparkSession) -> None:
+    """Delete all intermediate results so far; what was computed from them must be stored by then."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
