@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusflow.session import materialize
@@ -23,11 +23,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.where("a <> b").union(least.select("a", F.col("least").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Number and sum of hashes of the edges: two scalars that stay equal when nothing moved."""
-    return tuple(
-        edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()  # type: ignore[return-value]
-    )
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table; their number and sum of hashes, which stay equal when nothing moved."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
+    table = materialize(edges.observe(seen, F.count("*").alias("n"), total.alias("sum")), "components")
+    return table, (seen.get["n"], seen.get["sum"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -40,11 +41,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.toDF("a", "b").where("a <> b")
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialize(edges, "components")
-    state = _state(edges)
+    edges, state = _written(edges)
     while state[0]:
-        edges = materialize(_small_star(_large_star(edges)), "components")
-        before, state = state, _state(edges)
+        before = state
+        edges, state = _written(_small_star(_large_star(edges)))
         if state == before:
             break
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))

@@ -7,9 +7,13 @@
    band is a star: one member is held against all others. Links that hold join
    components, and members of one component need no more comparison in a band, so
    a group of near copies shrinks after a round instead of making all pairs.
-3. What is left in a band after the rounds, members of different components that
-   were not yet compared, is compared in blocks of bounded size, inside the tasks.
-4. Candidates whose signatures agree are confirmed on their full shingle sets.
+3. Candidates whose signatures agree are confirmed on their full shingle sets. A second
+   pass over the texts has made these for the classes that share a band at all.
+4. What is left in a band after the rounds are members of different components that were
+   not yet compared. Where they are few, their pairs follow the same way. Bands that
+   still hold many, as a group does whose members are alike but seldom enough so, are taken
+   together into neighbourhoods. A neighbourhood is compared block against block inside the
+   tasks, each block a bounded number of members with their sets; only links come out.
 """
 
 from __future__ import annotations
@@ -35,8 +39,8 @@ BANDS, ROWS = 40, 5
 #: Signatures that agree in less than this share of places, a pair of similarity 0.8 has with
 #: probability under 1e-9, are left out.
 AGREEMENT = 0.6
-#: Rounds of stars before blocks, and members of a block.
-ROUNDS, BLOCK = 4, 512
+#: Rounds of stars, members up to which the rest of a band makes its pairs, and members of a block of a neighbourhood.
+ROUNDS, FEW, BLOCK = 2, 16, 512
 
 
 def _families(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,49 +164,74 @@ def _agreement(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series((x == y).mean(axis=1))
 
 
-def _confirmed(pairs: DataFrame, marks: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough: first by signature, then on the full sets."""
     agree = F.pandas_udf(_agreement, "double")
-    left, right = marks.toDF("a", "left"), marks.toDF("b", "right")
-    hopeful = pairs.join(left, "a").join(right, "b").where(agree("left", "right") >= AGREEMENT).select("a", "b")
-    hopeful = materialize(hopeful.distinct(), "hopeful")
-    wanted = bitmap_of(hopeful.select(F.explode(F.array("a", "b")).alias("doc")))
-    sets = docs.mapInArrow(_set_rows(shingle, wanted), "doc long, members array<long>")
+    signed = pairs.join(marks.toDF("a", "left"), "a").join(marks.toDF("b", "right"), "b")
+    hopeful = signed.where(agree("left", "right") >= AGREEMENT).select("a", "b")
     met = hopeful.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     common, total = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
     sized = met.select("a", "b", common.alias("common"), total.alias("total"))
     return sized.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
 
 
-def _block_pairs(agreement: float):
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Values that two sorted sets share."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def _block_links(percent: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of different components, one member from each block, whose signatures agree."""
-        found = []
+        """Links between two blocks: pairs of different components, the first that holds for each two of these."""
+        found: list[tuple[int, int]] = []
         if len(left) and len(right):
-            x, y = (np.frombuffer(b"".join(s["signature"]), "<u2").reshape(len(s), -1) for s in (left, right))
-            for i in range(len(left)):
-                same = (x[i] == y).mean(axis=1) >= agreement
-                same &= (right["component"] != left["component"].iloc[i]).to_numpy()
-                if same.any():
-                    b = right["node"].to_numpy()[same]
-                    found.append(pd.DataFrame({"a": np.minimum(b, left["node"].iloc[i]), "b": np.maximum(b, left["node"].iloc[i])}))
-        return pd.concat(found).drop_duplicates() if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            x, y = (np.frombuffer(b"".join(f["signature"]), "<u2").reshape(len(f), -1) for f in (left, right))
+            # Sets are sorted as unsigned numbers.
+            own_sets, sets = ([np.asarray(m, np.int64).view(np.uint64) for m in f["members"]] for f in (left, right))
+            sizes, components = np.array([len(m) for m in sets]), right["component"].to_numpy()
+            joined: set[tuple[int, int]] = set()
+            for i, (node, component, own) in enumerate(zip(left["node"], left["component"], own_sets, strict=True)):
+                size = len(own)
+                others = np.flatnonzero((components != component) & (100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)))
+                for j in others[(y[others] == x[i]).mean(axis=1) >= AGREEMENT]:
+                    if (component, components[j]) not in joined:
+                        common = _common(own, sets[j])
+                        if 100 * common >= percent * (size + sizes[j] - common):
+                            joined |= {(component, components[j]), (components[j], component)}
+                            found.append((node, right["node"].iloc[j]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _pairs_in_blocks(open_members: DataFrame, marks: DataFrame) -> DataFrame:
-    """Pairs of different components in a band whose signatures agree, compared block against block."""
-    sized = open_members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = open_members.join(sized, "key").join(marks.toDF("node", "signature"), "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    )
-    columns = ["key", "node", "component", "signature"]
-    left = placed.select(*columns, F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
-    right = placed.select(*columns, F.col("block").alias("j"), F.explode(F.sequence(F.lit(0), "block")).alias("i"))
-    return left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "i", "j")).applyInPandas(
-        _block_pairs(AGREEMENT), "a long, b long"
-    )
+def _neighbourhood_links(hoods: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of different components within each neighbourhood, found block against block."""
+    sized = hoods.groupBy("hood").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = hoods.join(sized, "hood").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.join(marks.toDF("node", "signature"), "node").join(sets.toDF("node", "members"), "node")
+    columns = ["hood", "node", "component", "signature", "members"]
+    left = placed.select(*columns, "block", F.explode(F.sequence("block", F.col("blocks") - 1))).toDF(*columns, "i", "j")
+    right = placed.select(*columns, F.explode(F.sequence(F.lit(0), "block")), "block").toDF(*columns, "i", "j")
+    met = left.groupBy("hood", "i", "j").cogroup(right.groupBy("hood", "i", "j"))
+    return met.applyInPandas(_block_links(percent), "a long, b long")
+
+
+def _remaining_links(open_members: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of all pairs of different components that share a band."""
+    sized = open_members.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least"))
+    many = open_members.join(sized.where(F.col("n") > FEW).select("key", "least"), "key")
+    labels = connected_components(many.select("node", "least")).toDF("node", "hood")
+    nodes = many.select("node", "component").distinct()
+    hoods = materialize(nodes.join(labels, "node"), "neighbourhoods")
+
+    few = open_members.join(sized.where(F.col("n") <= FEW).select("key"), "key", "left_semi")
+    few = few.join(hoods.select("node", "hood"), "node", "left").select("key", "node", "component", "hood")
+    pairs = few.toDF("key", "a", "x", "p").join(few.toDF("key", "b", "y", "q"), "key")
+    together = F.coalesce(F.col("p") == F.col("q"), F.lit(False))
+    pairs = pairs.where((F.col("a") < F.col("b")) & (F.col("x") != F.col("y")) & ~together).select("a", "b").distinct()
+    return _confirmed(pairs, marks, sets, percent).union(_neighbourhood_links(hoods, marks, sets, percent))
 
 
 def _with_components(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -237,7 +266,10 @@ def near_duplicates(
     bands = heads.select(F.explode("bands").alias("key"), F.col("doc").alias("node")).distinct()
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
     members = materialize(bands.join(shared, "key", "left_semi"), "members")
-    marks = heads.select("doc", "signature")
+    nodes = materialize(members.select("node").distinct(), "nodes")
+    marks = materialize(heads.select("doc", "signature").join(nodes, F.col("doc") == F.col("node"), "left_semi"), "marks")
+    sets = source.mapInArrow(_set_rows(shingle, bitmap_of(nodes)), "doc long, members array<long>")
+    sets = materialize(sets.join(nodes, F.col("doc") == F.col("node"), "left_semi"), "sets")
 
     spark = docs.sparkSession
     open_members, links = members.withColumn("component", F.col("node")), spark.createDataFrame([], "a long, b long")
@@ -253,9 +285,10 @@ def near_duplicates(
             )
             met = open_members.join(middles, "key").where("component <> of")
             pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+            fresh = _confirmed(pairs, marks, sets, percent)
         else:
-            pairs = _pairs_in_blocks(open_members, marks).distinct()
-        links = materialize(links.union(_confirmed(pairs, marks, source, shingle, percent)), "links")
+            fresh = _remaining_links(open_members, marks, sets, percent)
+        links = materialize(links.union(fresh), "links")
         if turn == ROUNDS:
             break
         rest = open_members.join(middles.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
