@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,6 @@ ship_by_value(__name__)
 PIECE, GROUP_BYTES = 1 << 18, 4 << 20
 
 
-@lru_cache(maxsize=4)
 def encoding(ranks_path: str, pattern: str):
     """tiktoken's encoding of a rank file, without special tokens. The file must lie on every machine."""
     import tiktoken

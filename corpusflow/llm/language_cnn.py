@@ -198,12 +198,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     with score 0 where no language was learned. Ties go to the language first in the
     alphabet. Columns of docs called lang_pred or score are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays travel, so that executors need no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = Model(**shared.value)
         tables, languages = known.tables(), [*known.names, UNDETERMINED]
         for batch in batches:
             for row, data, offsets in groups(batch.column(at)):

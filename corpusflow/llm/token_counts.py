@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,40 +36,41 @@ GROUP_CHARS = 1 << 20
 #: Pre-tokens beyond this many code points are told apart by a digest.
 LONG = 256
 
-_OTHER, _LETTER, _NUMBER, _SPACE, _UNKNOWN = range(5)
+_OTHER, _LETTER, _NUMBER, _SPACE, _UNSEEN = range(5)
 #: Unicode White_Space.
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _K = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 
 
-@lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
-    """The class of each code point: letter, number, white space or other; unknown where Python's Unicode ends."""
-    table = np.full(0x110000, _OTHER, np.uint8)
-    for code in range(0x110000):
-        kind = unicodedata.category(chr(code))
-        if kind[0] == "L":
-            table[code] = _LETTER
-        elif kind[0] == "N":
-            table[code] = _NUMBER
-        elif kind == "Cn":
-            table[code] = _UNKNOWN
-    table[_WHITE] = _SPACE
-    return table
+#: The classes of the code points met so far.
+_KNOWN: dict[str, np.ndarray] = {}
+
+
+def _kind(code: int) -> int:
+    """The class of a code point; the library is asked where Python's Unicode ends."""
+    kind = unicodedata.category(chr(code))
+    if code in _WHITE:
+        return _SPACE
+    if kind != "Cn":
+        return {"L": _LETTER, "N": _NUMBER}.get(kind[0], _OTHER)
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    rule = ByteLevel(add_prefix_space=False)
+    if len(rule.pre_tokenize_str("a" + chr(code))) == 1:
+        return _LETTER
+    return _NUMBER if len(rule.pre_tokenize_str("1" + chr(code))) == 1 else _OTHER
 
 
 def _kinds(codes: np.ndarray) -> np.ndarray:
-    """The class of each code point of a text; the library is asked for those that Python does not know."""
-    table = _classes()
+    """The class of each code point of a text: letter, number, white space or other."""
+    if not _KNOWN:
+        _KNOWN["kinds"] = np.full(0x110000, _UNSEEN, np.uint8)
+    table = _KNOWN["kinds"]
     kinds = table[codes]
-    if (kinds == _UNKNOWN).any():
-        from tokenizers.pre_tokenizers import ByteLevel
-
-        rule = ByteLevel(add_prefix_space=False)
-        for code in np.unique(codes[kinds == _UNKNOWN]).tolist():
-            letter = len(rule.pre_tokenize_str("a" + chr(code))) == 1
-            number = len(rule.pre_tokenize_str("1" + chr(code))) == 1
-            table[code] = _LETTER if letter else _NUMBER if number else _OTHER
+    unseen = kinds == _UNSEEN
+    if unseen.any():
+        for code in np.unique(codes[unseen]).tolist():
+            table[code] = _kind(code)
         kinds = table[codes]
     return kinds
 
