@@ -39,7 +39,8 @@ def fetch_pages(endpoints: DataFrame, fetch_fn: FetchFn, options: ListingOptions
 
     Of n walks the first asks for pages 1, n + 1, ..., the second for 2, n + 2, ...; each
     goes on to its first page that answers 400 or lists nothing, so a listing of any
-    length is read to its end. ``landing.listing_ids`` then applies the listing's end over all
+    length is read to its end; a page that is the one before again ends it too, since then
+    the endpoint knows no pages. ``landing.listing_ids`` then applies the listing's end over all
     walks. A failed request is a page without a good status, and the walk goes on behind it.
     """
     opts = options or ListingOptions()
@@ -48,14 +49,15 @@ def fetch_pages(endpoints: DataFrame, fetch_fn: FetchFn, options: ListingOptions
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for base_url, page in zip(frame["base_url"], frame["first"]):
-                failed = 0
+                failed, before = 0, None
                 while failed < _FAILURES:
                     _, status, _, body = _fetch_one(fetch_fn, f"{base_url}?page={page}&per_page={per_page}")
                     row = (base_url, page, status, body)
                     yield pd.DataFrame([row], columns=["base_url", "page", "status_code", "body"])
-                    if status == 400 or (status == 200 and body.strip() == "[]") or (last is not None and page > last):
+                    ended = status == 400 or (status == 200 and (body.strip() == "[]" or body == before))
+                    if ended or (last is not None and page > last):
                         break
-                    failed = 0 if status == 200 else failed + 1
+                    failed, before = (0, body) if status == 200 else (failed + 1, before)
                     page += walks
 
     starts = F.explode(F.sequence(F.lit(1), F.lit(walks))).alias("first")

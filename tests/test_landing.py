@@ -244,5 +244,7 @@ def test_a_failed_page_does_not_end_the_walk(spark):
         got = landing.listing_ids(pages, options.max_pages)
         assert sorted(r.item_id for r in got.items.collect()) == [n for n in range(1, 41) if n != 3]
         assert [(r.page, r.error) for r in got.rejects.collect()] == [(3, "ErrNoResponse")]
+    same = fetch.fetch_listing(spark, "https://a.org/p", lambda url: (200, {}, '[{"id": 1}]'), ListingOptions(concurrency=2))
+    assert same.count() == 4
     cut = landing.listing_ids(fetch.fetch_listing(spark, "https://a.org/p", shaky, ListingOptions(max_pages=10)), 10)
     assert cut.items.count() == 9 and "ErrListingCut" in {r.error for r in cut.rejects.collect()}
