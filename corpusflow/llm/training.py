@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.workers import ship_by_value
@@ -33,9 +33,19 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def sampled(rows: DataFrame, by: str, key: str, most: int) -> DataFrame:
-    """At most so many rows for each value of a column, by the hash of a key: any row is as likely as another."""
-    from pyspark.sql import Window
+#: Range of the number that decides which rows are sampled, and how many more than asked for are ranked.
+_RANGE, _MORE = 1 << 30, 3
+
 
-    order = Window.partitionBy(by).orderBy(F.xxhash64(key), key)
-    return rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= most).drop("_place")
+def sampled(rows: DataFrame, by: str, key: str, most: int) -> DataFrame:
+    """At most so many rows for each value of a column, by the hash of a key: any row is as likely as another.
+
+    Of a frequent value only the share of rows that will do is ranked, so its rows do not
+    meet in one task however many they are. The column must have few values.
+    """
+    counts = rows.groupBy(by).agg(F.count("*").alias("_count"))
+    drawn = rows.join(F.broadcast(counts), by).withColumn("_draw", F.pmod(F.xxhash64(key), F.lit(_RANGE)))
+    some = drawn.where(F.col("_draw") * F.col("_count") <= float(_RANGE * _MORE * most))
+    order = Window.partitionBy(by).orderBy("_draw", key)
+    ranked = some.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= most)
+    return ranked.drop("_place", "_draw", "_count")
