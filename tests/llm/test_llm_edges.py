@@ -265,6 +265,39 @@ def test_top_k_small_tables(spark):
     assert [tuple(r) for r in maxscore.top_k(hollow, hollow.where("vec_id = 0"), 3).collect()] == [(0, 1, 5, 0)]
 
 
+def test_top_k_repeated_ids(spark, monkeypatch):
+    rows = [(1, [9])] * 25 + [(1, [3]), (1, [8])] + [(i, [i % 5]) for i in range(2, 40)] + [(20, [1])] * 2
+    queries = [(20, [1])] * 3 + [(20, [-1]), (40, [2])]
+    schema = "vec_id long, vector array<long>"
+    for shard in (4096, 7):
+        monkeypatch.setattr(maxscore, "SHARD", shard)
+        monkeypatch.setattr(maxscore, "BLOCK", min(shard, 2) if shard < 4096 else 1024)
+        got = maxscore.top_k(spark.createDataFrame(rows, schema), spark.createDataFrame(queries, schema), 30).collect()
+        want = []
+        for q in (20, 40):
+            pairs = sorted((-v[0] * w[0], i) for own, v in queries for i, w in rows if own == q != i)
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(pairs[:30])]
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == want
+        assert [r["vec_id"] for r in got if r["query_id"] == 40].count(1) == 26
+
+
+def test_top_k_deals_a_hot_id_out(spark, monkeypatch):
+    monkeypatch.setattr(maxscore, "SHARD", 100)
+
+    def watched(k):
+        def sizes(candidates, queries):
+            import pyarrow as pa
+
+            return pa.table([pa.array([candidates.num_rows])] * 3, ["query_id", "id", "score"])
+
+        return sizes
+
+    monkeypatch.setattr(maxscore, "_search", watched)
+    hot = spark.createDataFrame([(7, [1])] * 2000, "vec_id long, vector array<long>")
+    sizes = [r["query_id"] for r in maxscore.top_k(hot, hot.limit(1), 20).collect()]
+    assert len(sizes) > 10 and max(sizes) < 200
+
+
 # ---- classifiers
 
 
