@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Kinds of events. A message starts a message of its turn; a delta adds to the
-#: turn's last message; an edit replaces its text; a regenerate throws its text
-#: away, so that deltas build it anew.
+#: message started last in its turn; an edit replaces its text; a regenerate throws its
+#: text away, so that deltas build it anew.
 MESSAGE, DELTA, EDIT, REGENERATE = "message", "delta", "edit", "regenerate"
 
 TURN_START, TURN_END = "### ", "</turn>\n"
@@ -48,8 +48,9 @@ def fold_events(events: DataFrame) -> DataFrame:
     folded first, so a conversation that holds much of the log is spread by its
     turns, and its messages meet once they are final. Order within a turn is
     by seq, ties by role, kind and text; turns come in order. Null roles, kinds and
-    texts count as '', message and ''. Events for a turn without a message
-    start one. A row given twice counts twice. Other columns are left out.
+    texts count as '', message and ''. Events before the first message of their turn
+    make one of their own. A message that was regenerated and got no text since
+    stays, with the text ''. A row given twice counts twice. Other columns are left out.
     """
     clean = events.select(
         "conv_id",
@@ -62,28 +63,30 @@ def fold_events(events: DataFrame) -> DataFrame:
         ).alias("event"),
     )
     turns = clean.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list("event")).alias("events"))
-    events_, last = F.col("events"), F.col("last")
+    events_ = F.col("events")
 
     def message(role: Column, text: Column) -> Column:
         return F.struct(F.col("turn"), role.alias("role"), text.alias("text"))
 
-    is_message = F.transform(events_, lambda e, i: F.when(e["kind"] == MESSAGE, i))
-    resets = F.transform(events_, lambda e, i: F.when(e["kind"] != DELTA, i))
-    simple = ~F.exists(events_, lambda e: e["kind"] != MESSAGE)
+    # The events of each message; those before the first message are one more.
+    first = F.transform(events_, lambda e, i: F.when((e["kind"] == MESSAGE) | (i == 0), i))
+    starts = F.filter(first, lambda i: i.isNotNull())
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(events_)))
     marked = turns.select(
-        "conv_id", "turn", "events", simple.alias("simple"),
-        F.coalesce(F.array_max(is_message), F.lit(0)).alias("last"),
-        F.coalesce(F.array_max(resets), F.lit(0)).alias("reset"),
+        "conv_id", "turn", "events",
+        (~F.exists(events_, lambda e: e["kind"] != MESSAGE)).alias("simple"),
+        F.zip_with(starts, ends, lambda i, j: F.struct(i.alias("from"), (j - i).alias("count"))).alias("spans"),
     )
-    earlier = F.filter(F.slice(events_, F.lit(1), last), lambda e: e["kind"] == MESSAGE)
-    lasting = F.slice(events_, F.col("reset") + 1, F.size(events_))
-    # What a regenerated answer said before is gone; the event itself carries no text of the message.
-    parts = F.transform(lasting, lambda e: F.when(e["kind"] == REGENERATE, F.lit("")).otherwise(e["text"]))
-    role = F.element_at(events_, last + 1)["role"]
-    folded = F.concat(
-        F.transform(earlier, lambda e: message(e["role"], e["text"])),
-        F.array(message(role, F.array_join(parts, ""))),
-    )
+
+    def fold(own: Column) -> Column:
+        resets = F.transform(own, lambda e, i: F.when(e["kind"] != DELTA, i))
+        lasting = F.slice(own, F.coalesce(F.array_max(resets), F.lit(0)) + 1, F.size(own))
+        # What a regenerated answer said before is gone; the event itself carries no text of the message.
+        parts = F.transform(lasting, lambda e: F.when(e["kind"] == REGENERATE, F.lit("")).otherwise(e["text"]))
+        return message(own[0]["role"], F.array_join(parts, ""))
+
+    runs = F.transform("spans", lambda s: F.slice(events_, s["from"] + 1, s["count"]))
+    folded = F.transform(runs, fold)
     plain = F.transform(events_, lambda e: message(e["role"], e["text"]))
     messages = marked.select("conv_id", "turn", F.when(F.col("simple"), plain).otherwise(folded).alias("messages"))
     return messages.groupBy("conv_id").agg(

@@ -108,6 +108,31 @@ def test_chat_long_stream(spark):
     assert out == "".join(f"{i}\\" for i in range(20000))
 
 
+def test_chat_folds_every_message_of_a_turn(spark):
+    turns = {
+        1: [("message", "Hel"), ("delta", "lo"), ("message", "X")],
+        2: [("message", "a"), ("delta", "b"), ("message", "c"), ("delta", "d"), ("edit", "e"), ("delta", "f"), ("message", "g"), ("delta", "h")],
+        3: [("message", "bad"), ("delta", "!"), ("regenerate", "r"), ("message", "good")],
+        4: [("message", "bad"), ("regenerate", None), ("delta", "new"), ("message", "next"), ("regenerate", None)],
+        5: [("delta", "no"), ("delta", "body"), ("message", "m"), ("edit", "n")],
+    }
+    rows = [(c, i, 0, kind, f"r{i}", text, 0) for c, log in turns.items() for i, (kind, text) in enumerate(log)]
+    got = {r["conv_id"]: [(m["role"], m["text"]) for m in r["messages"]] for r in chat.fold_events(events(spark, rows)).collect()}
+    assert got == {
+        1: [("r0", "Hello"), ("r2", "X")],
+        2: [("r0", "ab"), ("r2", "ef"), ("r6", "gh")],
+        3: [("r0", ""), ("r3", "good")],
+        4: [("r0", "new"), ("r3", "")],
+        5: [("r0", "nobody"), ("r2", "n")],
+    }
+
+
+def test_chat_many_streamed_messages(spark):
+    rows = [(1, i, 0, "delta" if i % 2 else "message", "assistant", str(i), 0) for i in range(20000)]
+    out = chat.fold_events(events(spark, rows)).first()["messages"]
+    assert [m["text"] for m in out] == [f"{i}{i + 1}" for i in range(0, 20000, 2)]
+
+
 # ---- byte-level BPE
 
 
