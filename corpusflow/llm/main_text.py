@@ -46,10 +46,12 @@ CONTENT = frozenset(("article", "main"))
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {name: re.compile(f"</{name}", re.I) for name in ("script", "style", "textarea", "title")}
-#: Words of a class or id that mark an element as something else than content.
+#: Elements that are never left out, whatever their class.
+WHOLE = CONTENT | {"html", "body"}
+#: Whole classes, ids or roles that mark an element as something else than content.
 SIDE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|menu|nav|navbar|newsletter|"
-    r"notice|pagination|popup|promo|related|share|sharing|sidebar|social|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])",
+    r"(?:^|\s)(?:ad|ads|advert|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|menu|nav|navbar|newsletter|"
+    r"notice|pagination|popup|promo|related|share|sharing|sidebar|social|sponsored|subscribe|toolbar|widget)(?:$|\s)",
     re.I,
 )
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
@@ -176,22 +178,22 @@ def region(found: list[tuple[str, str, str, str]], known: dict[str, float]) -> t
     return where
 
 
-def _aside(name: str, body: str, content: bool) -> bool:
-    if name in NEVER or (name == "header" and not content):
-        return True
-    if "=" not in body:
+def _side(name: str, body: str) -> bool:
+    """Whether an element's class, id or role says that it is no content."""
+    if name in WHOLE or "=" not in body:
         return False
     return any(SIDE.search(a or b or c) for a, b, c in _NAMED.findall(body))
 
 
-def main_text(page: str, known: dict[str, float]) -> str:
-    """The content of a page: one line for each block, references decoded, runs of white space as one space."""
-    found = items(page)
-    begin, end = region(found, known)
+def _lines(found: list[tuple[str, str, str, str]], begin: int, end: int, kept: frozenset[int]) -> tuple[list[str], set[int]]:
+    """Lines of a region, and where the elements start that hold all of it and are left out by their class.
+
+    kept: starts of elements that are not left out.
+    """
     lines, parts = [], []
-    # Open elements and whether they are left out; the region may begin inside some.
-    opened: list[tuple[str, bool]] = []
-    skipped = 0
+    # Open elements, where they start, whether they are left out, and by class; the region may begin inside some.
+    opened: list[tuple[str, int, bool, bool]] = []
+    skipped = content = 0
 
     def flush() -> None:
         line = " ".join("".join(parts).split())
@@ -212,18 +214,36 @@ def main_text(page: str, known: dict[str, float]) -> str:
             continue
         if kind == "start":
             if name == "p" and opened and opened[-1][0] == "p":
-                skipped -= opened.pop()[1]
-            out = _aside(name, body, any(o[0] in CONTENT for o in opened[-8:]))
-            if out or name in BLOCKS:
-                opened.append((name, out))
+                skipped -= opened.pop()[2]
+            never = name in NEVER or (name == "header" and not content)
+            side = not never and i not in kept and _side(name, body)
+            out = never or side
+            if out or name in BLOCKS or i in kept:
+                opened.append((name, i, out, side))
                 skipped += out
+                content += name in CONTENT
         elif any(o[0] == name for o in opened):
             while True:
-                last, out = opened.pop()
+                last, _, out, _ = opened.pop()
                 skipped -= out
+                content -= last in CONTENT
                 if last == name:
                     break
     flush()
+    return lines, {i for _, i, _, side in opened if side and i < begin}
+
+
+def main_text(page: str, known: dict[str, float]) -> str:
+    """The content of a page: one line for each block, references decoded, runs of white space as one space.
+
+    Inside the region, elements that are never content and those of a class that says so are left
+    out; no class leaves out html, body, article, main or an element that holds the whole region.
+    """
+    found = items(page)
+    begin, end = region(found, known)
+    lines, around = _lines(found, begin, end, frozenset())
+    if around:
+        lines, _ = _lines(found, begin, end, frozenset(around))
     return "\n".join(lines)
 
 

@@ -382,6 +382,24 @@ def test_main_text_of_other_pages(spark):
     assert main_text.learn(pages.limit(0)) == {} and main_text.extract(pages.limit(0), {}).collect() == []
 
 
+def test_main_text_keeps_what_holds_the_page():
+    words = "Many plain words of the article that are read by all"
+    for around in ("<body class='home no-sidebar'>{}</body>", "<body class='menu'>{}</body>", "<main class='has-sidebar share'>{}</main>",
+                   "<article class='post share'>{}</article>", "<html id=widget><div class='widget'><section role=banner>{}</section></div></html>",
+                   "<div class='x widget-area'>{}</div>"):
+        page = around.format(f"<p>{words}</p><div class='a ad'>Buy this</div><p>{words}</p>")
+        assert main_text.main_text(page, {}) == f"{words}\n{words}"
+    # The region begins inside an advert that ends before the region does, and the advert is left out all the same.
+    assert main_text.main_text(f"<div class=ad><b>{words} {words}</b></div><p>{words} {words} {words}</p>", {}) == " ".join([words] * 3)
+
+
+def test_main_text_keeps_a_deep_header():
+    words = "plain words of the article that all of them read"
+    page = "<article>" + "<div>" * 12 + f"<header><h1>{words}</h1></header><p>{words} {words}</p>" + "</div>" * 12 + "</article>"
+    assert main_text.main_text(page, {}) == f"{words}\n{words} {words}"
+    assert main_text.main_text(f"<header>{words}</header>", {}) == ""
+
+
 @pytest.mark.parametrize("page", ["<a href=\"" * 40_000, "<!--" * 100_000, "<script>" * 60_000, "<ul><li>x" * 40_000, "</p" * 100_000, "<b> " * 100_000, "<" * 200_000])
 def test_main_text_is_linear(page):
     import time
