@@ -1,4 +1,8 @@
-"""A corpus from raw documents to token ids: toxic documents, repeated lines, near copies and test items go."""
+"""A corpus from raw documents to token ids: toxic documents, repeated lines, near copies and test items go.
+
+Stages decide by row, not by doc_id: rows without an id and rows that share one are documents of their own.
+Columns that have names the operators use go through under names of this module.
+"""
 
 from __future__ import annotations
 
@@ -15,43 +19,74 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but those with one of the ids; only the ids are hashed, the texts are not sorted. Rows without an id stay."""
-    return docs.join(ids.toDF("_gone").hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")
+#: The key of a row within a stage.
+KEY = "_key"
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    """docs with all columns but doc_id and text called by their place, so that none clashes with what an operator adds."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)])
+
+
+def _keyed(docs: DataFrame, purpose: str) -> DataFrame:
+    """_plain with a key for each row, written once so that every reading has the same keys."""
+    # The hash of one long is one to one, and has no pattern in its low bits.
+    return materialize(_plain(docs).withColumn(KEY, F.xxhash64(F.monotonically_increasing_id())), purpose)
+
+
+def _rows(keyed: DataFrame, keys: DataFrame, docs: DataFrame, how: str) -> DataFrame:
+    """The rows with (left_semi) or without (left_anti) one of the keys; only the keys are hashed, the texts are not sorted."""
+    some = keyed.join(keys.toDF("_some").hint("shuffle_hash"), F.col(KEY) == F.col("_some"), how)
+    return some.drop(KEY).toDF(*docs.columns)
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels that are not held out, does not call toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
-    scored = toxicity.score(docs, toxicity.learn(docs, labels))
-    return scored.where("predicted = 0").select(*docs.columns)
+    plain = _plain(docs)
+    scored = toxicity.score(plain, toxicity.learn(plain, labels))
+    return scored.where("predicted = 0").select(*plain.columns).toDF(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that three or more hold, but in the last of these."""
-    kept = lines.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*docs.columns)
+    """All documents, without the lines that three or more hold, but in the last of these; n_chars follows the text.
+
+    Rows that share an id are one document here, so that copies of a row lose the same lines and
+    meet as copies later. Rows without an id are told apart by their texts, and come before all others.
+    """
+    plain = _plain(docs)
+    by_text = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseOR(F.lit(-(1 << 63)))
+    kept = lines.dedup_lines(plain.withColumn(KEY, F.coalesce("doc_id", by_text)), KEY)
+    own = [F.length("text").cast("long").alias(n) if c == "n_chars" else F.col(n) for c, n in zip(docs.columns, plain.columns, strict=True)]
+    return kept.select(*own).toDF(*docs.columns)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies, and all that have none."""
-    groups = near_duplicates.near_duplicates(docs, shingle=5, percent=80)
-    return _without(docs, groups.where("doc_id <> component_id").select("doc_id").distinct())
+    """One row of each group of near copies, that of the smallest id or else one without, and all that have none."""
+    keyed = _keyed(docs, "near_dedup_rows")
+    groups = near_duplicates.near_duplicates(keyed, KEY, shingle=5, percent=80).select(KEY, "component_id")
+    ids = groups.join(keyed.select(KEY, "doc_id"), KEY)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)).alias("first")
+    return _rows(keyed, ids.groupBy("component_id").agg(first).select(f"first.{KEY}"), docs, "left_semi")
 
 
 def remove_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.contained_items(docs, items, shingle=5, percent=80)
-    return _without(docs, found.select("doc_id").distinct())
+    keyed = _keyed(docs, "decontamination_rows")
+    found = decontamination.contained_items(keyed, items, KEY, shingle=5, percent=80)
+    return _rows(keyed, found.select(KEY).distinct(), docs, "left_anti")
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids; text is what the ids decode to."""
+    """Documents with their token ids; text is what the ids decode to. Columns called n_tokens or ids are replaced."""
     where = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    ids = byte_bpe.encode(docs, "text", "ids", *where)
-    decoded = byte_bpe.decode(ids.drop("text"), "ids", "raw", *where)
-    names = [F.decode("raw", "UTF-8").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "ids"]
+    plain = _plain(docs)
+    encoded = byte_bpe.encode(plain, "text", "ids", *where)
+    decoded = byte_bpe.decode(encoded.drop("text"), "ids", "raw", *where)
+    text = F.decode("raw", "UTF-8")
+    kept = [(n, c) for n, c in zip(plain.columns, docs.columns, strict=True) if c.lower() not in ("n_tokens", "ids")]
+    names = [(text if n == "text" else F.col(n)).alias(c) for n, c in kept]
     return decoded.select(*names, F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
