@@ -14,6 +14,7 @@ from corpusflow.llm import (
     lines,
     main_text,
     maxscore,
+    mixing,
     near_duplicates,
     token_counts,
     toxicity,
@@ -228,3 +229,40 @@ _WORDS = (
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds a benchmark item, with the share of it in shingles."""
     return decontamination.contained_items(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query(
+    "op11_mixing",
+    r"""
+    with sized as (
+        select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+               ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))), 1, 13))::bigint
+                   / 4503599627370496::double as draw
+        from documents
+    ), summed as (select source, sum(size)::hugeint as source_size from sized group by source), weighed as (
+        select *, [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight from summed
+    ), before as (
+        select *, sum(source_size) over () as total,
+               coalesce(sum(source_size) over least_first, 0) as held,
+               sum(weight) over () - coalesce(sum(weight) over least_first, 0) as free
+        from weighed
+        window least_first as (order by source_size * 10 // weight, source nulls last rows between unbounded preceding and 1 preceding)
+    ), bounded as (select *, 200 * source_size * free < weight * (150 * total - 200 * held) as stops from before), shared as (
+        select (select 150 * any_value(total) - 200 * coalesce(sum(source_size) filter (where stops), 0) from bounded) as words,
+               (select sum(weight) filter (where not stops) from bounded) as parts
+    ), targets as (
+        select source, source_size, case when stops then (2 * source_size)::double
+               else least((weight * words)::double / (100 * parts)::double, (2 * source_size)::double) end as target
+        from bounded, shared
+    ), rated as (select *, case when source_size > 0 then target / source_size::double else 0 end as rate from targets)
+    select doc_id, size, source_size::bigint as source_size, target,
+           size * (floor(rate)::bigint + (draw < rate - floor(rate))::bigint) as taken
+    from sized join rated on sized.source is not distinct from rated.source
+    """,
+)
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mixture of half as many words again takes of every document, with the size and target of its source."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "source")
+    size = mixing.word_count(F.col("text"))
+    taken = mixing.repetitions(docs).withColumn("size", size)
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
