@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm.columns import SPACES
+from corpusflow.llm.numbering import numbered
 from corpusflow.session import materialize
 
 #: A word and the white space behind it.
@@ -37,15 +38,6 @@ def draw(doc: Column, text: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(F.encode(told, "UTF-8")), 1, 13), 16, 10).cast("long") / F.lit(_DRAWS)
 
 
-def numbered(rows: DataFrame, order: Column, purpose: str) -> DataFrame:
-    """rows with place, from 0 in the given order. Rows stay dealt by range; only counts of ranges are put in one row of order."""
-    dealt = materialize(rows.orderBy(order).withColumn("place", F.monotonically_increasing_id()), purpose)
-    part, inside = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    parts = dealt.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("before"))
-    return dealt.join(F.broadcast(parts), part == F.col("part")).withColumn("place", inside + F.col("before")).drop("part", "before")
-
-
 def _whole(number: int) -> Column:
     return F.lit(str(number)).cast("decimal(38,0)")
 
@@ -84,7 +76,7 @@ def source_targets(
     sizes = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("n")).groupBy("source").agg(F.sum("n").alias("source_size"))
     cycle = F.array([F.lit(w) for w in weights])
     weight = F.element_at(cycle, (F.col("place") % len(weights) + 1).cast("int"))
-    sources = numbered(sizes, F.col("source").asc_nulls_last(), "sources").select("source", "source_size", weight.alias("weight"))
+    sources = numbered(sizes, [F.col("source").asc_nulls_last()], "sources").select("source", "source_size", weight.alias("weight"))
     words, parts = _level(sources, percent, most)
     bound = F.col("source_size") * most
     share = (F.col("weight") * _whole(words)).cast("double") / F.lit(100.0 * parts) if parts else bound.cast("double")

@@ -16,6 +16,7 @@ from corpusflow.llm import (
     maxscore,
     mixing,
     near_duplicates,
+    phrases,
     token_counts,
     toxicity,
 )
@@ -266,3 +267,42 @@ def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
     size = mixing.word_count(F.col("text"))
     taken = mixing.repetitions(docs).withColumn("size", size)
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query(
+    "op12_collocations",
+    rf"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang,
+               unnest(string_split_regex({ASCII_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as piece
+        from documents
+    ), said as (
+        select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
+    ), totals as (select lang, sum(len(w))::bigint as n from said group by lang), counted as (
+        select lang, g, len(g) as size, count(*)::hugeint as f from (
+            select lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) as g
+            from said, range(1, 5) as sizes(k) where len(w) >= k
+        ) group by lang, g having count(*) >= 30
+    ), cuts as (
+        select c.lang, c.g, c.size, c.f as a, x.f as l, y.f as r, (2000000 * c.f) // (x.f + y.f) as score, k
+        from counted c, range(1, 4) as places(k), counted x, counted y
+        where k < c.size and x.lang = c.lang and y.lang = c.lang and x.g = c.g[1:k] and y.g = c.g[k + 1:c.size]
+    ), best as (
+        select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1
+    ), covers as (
+        select lang, g, max(f) as longest from (
+            select lang, f, unnest(list_transform(range(1, size - k + 2), lambda i: g[i:i + k - 1])) as g
+            from counted, range(2, 4) as sizes(k) where k < size
+        ) group by lang, g
+    ), kept as (
+        select b.*, array_to_string(b.g, ' ') as phrase from best b left join covers c on b.lang = c.lang and b.g = c.g
+        where c.longest is null or 100 * c.longest < 80 * b.a
+    )
+    select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+    from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept) join totals using (lang)
+    where rank <= 2000
+    """,
+)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 most cohesive phrases of every language."""
+    return phrases.collocations(read(spark, folder, "documents"))
