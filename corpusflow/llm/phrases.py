@@ -32,7 +32,7 @@ from corpusflow.workers import ship_by_value
 ship_by_value(__name__)
 
 #: Bytes of text of a block, one longer text excepted; entries that a task's filters hold before they leave; entries of a range.
-BLOCK_BYTES, HELD, RANGE = 8 << 20, 1 << 21, 1 << 20
+BLOCK_BYTES, HELD, RANGE = 4 << 20, 1 << 21, 1 << 20
 #: Bits of the bitmap of frequent pairs: 16 for each, but no more than 32 megabytes. Fuller ones let more through, which changes no result.
 PAIR_BITS, MOST_BITS = 16, 28
 #: Words of a phrase.
@@ -42,7 +42,15 @@ _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _INSIDE = ~_BREAK
 _INSIDE[[0x20, 0x09]] = False
-_BLOCKS = "block long, langs array<string>, words array<string>, counts array<long>, ids binary"
+#: A block is a row for each of its words, and one row with its numbers.
+_BLOCKS = "block long, place int, lang string, word string, n long, ids binary"
+
+
+_BLOCK_NAMES = ["block", "place", "lang", "word", "n", "ids"]
+
+
+def _arrow(column: np.ndarray | pa.Array) -> pa.Array:
+    return pa.array(column) if isinstance(column, np.ndarray) else column
 
 
 def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -74,16 +82,15 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts[first[:-1][per_doc > 0]] = True
             ids = np.zeros(len(start) + int(starts.sum()), "<u4")
             ids[np.arange(len(start)) + np.cumsum(starts)] = local + 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()),
-                    pa.array([names.take(pa.array(lang[sample]))], pa.list_(pa.string())),
-                    pa.array([_strings(data, start[sample], end[sample]).cast(pa.string())], pa.list_(pa.string())),
-                    pa.array([counts], pa.list_(pa.int64())),
-                    pa.array([ids.tobytes()], pa.binary()),
-                ],
-                ["block", "langs", "words", "counts", "ids"],
-            )
+            words = _strings(data, start[sample], end[sample]).cast(pa.string())
+            rows = np.arange(len(sample), dtype=np.int32)
+            for i in range(0, len(sample), 1 << 14):
+                some = slice(i, i + (1 << 14))
+                size = len(rows[some])
+                columns = [rows[some], names.take(pa.array(lang[sample[some]])).cast(pa.string()), words[some], counts[some], pa.nulls(size, pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(size, number)), *map(_arrow, columns)], _BLOCK_NAMES)
+            nothing = [pa.nulls(1, kind) for kind in (pa.int32(), pa.string(), pa.string(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *nothing, pa.array([ids.tobytes()], pa.binary())], _BLOCK_NAMES)
             number += 1
 
 
@@ -223,8 +230,7 @@ def collocations(
     """
     source = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     blocks = materialize(source.mapInArrow(_block_rows, _BLOCKS), "phrase_blocks")
-    entries = blocks.select("block", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("place", "e"))
-    entries = entries.select("block", "place", F.col("e.langs").alias("lang"), F.col("e.words").alias("word"), F.col("e.counts").alias("n"))
+    entries = blocks.where(F.col("word").isNotNull())
     vocabulary = materialize(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase_vocabulary")
     totals = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
     size = vocabulary.agg(F.sum("f")).first()[0] or 0
@@ -233,7 +239,7 @@ def collocations(
     words = materialize(words.withColumn("id", F.col("id") + 1), "phrase_numbers")
     known = entries.select("block", "place", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"])
     own = known.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("own"))
-    met = blocks.select("block", "ids").join(own.hint("shuffle_hash"), "block")
+    met = blocks.where(F.col("ids").isNotNull()).select("block", "ids").join(own.hint("shuffle_hash"), "block")
     met = met.select("ids", F.col("own.place").alias("places"), F.col("own.id").alias("numbers"))
     runs = materialize(met.mapInArrow(_translated, "ids binary"), "phrase_runs")
 

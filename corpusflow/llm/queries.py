@@ -278,15 +278,16 @@ def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
         from documents
     ), said as (
         select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
-    ), totals as (select lang, sum(len(w))::bigint as n from said group by lang), counted as (
+    ), totals as (select lang, sum(len(w))::bigint as n from said group by lang), counted as materialized (
         select lang, g, len(g) as size, count(*)::hugeint as f from (
             select lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) as g
             from said, range(1, 5) as sizes(k) where len(w) >= k
         ) group by lang, g having count(*) >= 30
+    ), halves as materialized (
+        select lang, g, size, f as a, k, g[1:k] as first, g[k + 1:size] as rest from counted, range(1, 4) as places(k) where k < size
     ), cuts as (
-        select c.lang, c.g, c.size, c.f as a, x.f as l, y.f as r, (2000000 * c.f) // (x.f + y.f) as score, k
-        from counted c, range(1, 4) as places(k), counted x, counted y
-        where k < c.size and x.lang = c.lang and y.lang = c.lang and x.g = c.g[1:k] and y.g = c.g[k + 1:c.size]
+        select h.lang, h.g, h.size, h.a, x.f as l, y.f as r, (2000000 * h.a) // (x.f + y.f) as score, h.k
+        from halves h join counted x on x.lang = h.lang and x.g = h.first join counted y on y.lang = h.lang and y.g = h.rest
     ), best as (
         select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1
     ), covers as (
