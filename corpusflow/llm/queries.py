@@ -17,6 +17,7 @@ from corpusflow.llm import (
     mixing,
     near_duplicates,
     phrases,
+    runs,
     token_counts,
     toxicity,
 )
@@ -307,3 +308,37 @@ def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """The 2000 most cohesive phrases of every language."""
     return phrases.collocations(read(spark, folder, "documents"))
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """docs, where every tenth text by the checksum of its id repeats a stretch of its own words up to its end."""
+    code = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    given = docs.withColumn("_g", F.floor(code / 10)).withColumn("_words", F.when(code % 10 == 0, split))
+    n = F.size("_words")
+    a = (F.col("_g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("_g") % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("_words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    made = F.concat(F.slice("_words", F.lit(1), a), F.slice(tail, F.lit(1), n - a))
+    return given.withColumn("text", F.when(n > 0, F.array_join(made, " ")).otherwise(F.col("text"))).drop("_g", "_words")
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of every document and its text without their repetitions."""
+    docs = _with_periods(read(spark, folder, "documents").select("doc_id", "text"))
+    out = runs.periodic_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    told = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    out = out.withColumn("best", best)
+    length, period = F.col("best.length"), -F.col("best.period")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        utf8_sha256(F.array_join(told, "")).alias("runs_sha256"),
+        utf8_sha256("collapsed").alias("collapsed_sha256"),
+    )

@@ -68,3 +68,25 @@ def dedup_lines(rows, min_chars=20, min_docs=3):
         kept = [x for x in lines if common.get(key(x), i) == i]
         out[i] = ("\n".join(kept), len(lines), len(lines) - len(kept))
     return out
+
+
+def runs(words, least=12):
+    """[(start, length, period)] of all runs, by start and then period."""
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i - start + q >= max(least, 2 * q):
+                found.setdefault((start, i + q), q)
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)

@@ -34,7 +34,7 @@ def documents():
 
 def test_registered():
     assert set(QUERIES) <= set(entry_points.queries()) and "pipeline" in entry_points.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -105,6 +105,39 @@ def test_byte_bpe(spark, documents):
     assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows} == want
 
 
+def test_periodic_runs(spark, documents):
+    want = {}
+    for d, t, _ in documents:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        h, n = zlib.crc32(str(d).encode()), len(words)
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+        found = brute.runs(words)
+        best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=(None,) * 3)
+        told = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        milli = best[1] and 1000 * best[1] // best[2]
+        want[d] = (len(found), *best, milli, *(hashlib.sha256(x.encode()).hexdigest() for x in (told, brute.collapsed(words, found))))
+    rows = QUERIES["op13_periodic_runs"](spark, FOLDER).collect()
+    names = "n_runs start length period exponent_milli runs_sha256 collapsed_sha256".split()
+    assert {r["doc_id"]: tuple(r[n] for n in names) for r in rows} == want
+    assert sum(w[0] > 0 for w in want.values()) >= 10
+
+
+def test_mixture_is_near_its_targets(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").withColumn("source", F.concat("source", F.lit("x")))
+    docs = docs.withColumn("source", F.when(F.crc32("text") % 3 == 0, F.lit(None)).otherwise(F.regexp_replace("source", r"\d", "")))
+    from corpusflow.llm import mixing
+
+    rows = mixing.repetitions(docs).withColumn("taken", F.col("copies") * mixing.word_count(F.col("text")))
+    got = rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most")).collect()
+    assert len(got) == 2 and all(abs(r["taken"] - r["target"]) <= 0.02 * r["target"] and r["most"] <= 2 for r in got)
+
+
 def test_pipeline(spark, documents):
     """The stages after the classifier, against plain versions of each on what it kept."""
     import corpus_pipeline
