@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,3 +17,8 @@ def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     fields = [column.alias(name) for name, column in columns.items()]
     return df.select("*", F.inline(F.array(F.struct(*fields))))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` reads it: the one element of an array."""
+    return F.element_at(F.transform(F.array(value), use), 1)

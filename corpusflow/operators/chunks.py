@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.ids import stable_id
 from corpusflow.functions.text import byte_size
 from corpusflow.functions.tokens import resolve_tokenizer, tokens
+from corpusflow.operators.barrier import bound, computed_once
 from corpusflow.options import ChunkOptions
 
 
@@ -76,27 +77,36 @@ def token_chunks(
     )
 
 
-def _packed(pieces: Column, size: int) -> Column:
-    """Chunks from consecutive pieces, each with a token count: as many pieces together as fit.
+#: Pieces that packing takes at a time. A fold copies what it has gathered at every step, which this bounds.
+_TAKEN = 1024
 
-    A piece beyond the size stands alone. The accumulator holds for each chunk the places of its
-    pieces and their tokens, so texts are joined once, after packing.
+
+def _packed(counts: Column, size: int) -> Column:
+    """Places at which packing starts a chunk, given the token counts of consecutive pieces (one at least).
+
+    As many pieces go together as fit; a piece beyond the size stands alone. Places are gathered as text,
+    which a step copies as one block of memory.
     """
-    kind = "struct<first:int,last:int,tokens:int>"
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("now"), F.lit(0).alias("at"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        now, count, at = acc["now"], piece["token_count"], acc["at"]
-        fits = now.isNotNull() & (now["tokens"] + count <= size)
-        alone = F.struct(at.alias("first"), at.alias("last"), count.alias("tokens"))
-        grown = F.struct(now["first"].alias("first"), at.alias("last"), (now["tokens"] + count).alias("tokens"))
-        return F.struct(
-            F.when(fits | now.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(now))).alias("done"),
-            F.when(fits, grown).otherwise(alone).alias("now"),
-            (at + 1).alias("at"),
-        )
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(counts) - 1) / F.lit(_TAKEN)).cast("int")),
+        lambda b: F.slice(counts, b * _TAKEN + 1, F.lit(_TAKEN)),
+    )
+
+    def state(held: Column, at: Column, places: Column) -> Column:
+        return F.struct(held.alias("held"), at.alias("at"), places.alias("places"))
 
-    return F.aggregate(pieces, start, step, lambda acc: F.concat(acc["done"], F.array(acc["now"])))
+    def piece(acc: Column, count: Column) -> Column:
+        opens = acc["held"] + count > size
+        places = F.when(opens, F.concat(acc["places"], acc["at"].cast("string"), F.lit(","))).otherwise(acc["places"])
+        return state(F.when(opens, count).otherwise(acc["held"] + count), acc["at"] + 1, places)
+
+    def block(acc: Column, own: Column) -> Column:
+        done = F.aggregate(own, state(acc["held"], acc["at"], F.lit("")), piece)
+        return bound(done, lambda d: state(d["held"], d["at"], F.concat(acc["places"], d["places"])))
+
+    # Before the first piece a chunk counts as full.
+    packed = F.aggregate(blocks, state(F.lit(size), F.lit(0), F.lit("")), block, lambda acc: acc["places"])
+    return F.split(F.rtrim(packed, F.lit(",")), ",").cast("array<int>")
 
 
 #: Where a text may be parted, coarse to fine: behind an empty line, behind a sentence.
@@ -108,16 +118,25 @@ def _parts(text: Column, pattern: str) -> Column:
     return F.filter(F.split(text, pattern, -1), lambda part: part != "")
 
 
-def _token_pieces(text: Column, size: int, tokenize: Callable[[Column], Column]) -> Column:
-    """A text cut to at most so many tokens a piece, with the token count of each."""
-    found = tokenize(text)
-    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(found) - 1) / F.lit(size)).cast("int")))
+def _parsed(text: Column, tokenize: Callable[[Column], Column]) -> Column:
+    return F.struct(text.alias("text"), tokenize(text).alias("tokens"))
+
+
+def _token_pieces(parsed: Column, size: int) -> Column:
+    """An array of tokenized parts as pieces of at most so many tokens, with the token count of each."""
+
+    def of_part(part: Column) -> Column:
+        # The part is computed already: a piece costs no more than its own tokens.
+        total = F.size(part["tokens"])
+        places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((total - 1) / F.lit(size)).cast("int")))
 
-    def piece(at: Column) -> Column:
-        part = F.slice(found, at * size + 1, F.lit(size))
-        return F.struct(F.array_join(part, "").alias("body"), F.size(part).alias("token_count"))
+        def piece(at: Column) -> Column:
+            own = F.slice(part["tokens"], at * size + 1, F.lit(size))
+            return F.struct(F.array_join(own, "").alias("body"), F.least(F.lit(size), total - at * size).alias("token_count"))
 
-    return F.transform(places, piece)
+        return F.transform(places, piece)
+
+    return F.flatten(F.transform(parsed, of_part))
 
 
 def section_chunks(
@@ -133,28 +152,42 @@ def section_chunks(
     ``heading``: a chunk for each Markdown heading with what follows it, cut by tokens where
     it is too long. ``recursive``: paragraphs, of those too long the sentences, of those
     too long the tokens, packed in order into chunks of at most max_tokens. Texts are tokenized
-    piece by piece. Same columns as token_chunks; chunks do not overlap.
+    piece by piece, each piece once, and only finished chunks leave the row, so the work is linear in
+    the text. Same columns as token_chunks; chunks do not overlap.
     """
-    size = options.max_tokens
-    cut_up = df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(
+    size, kept = options.max_tokens, [*(keep or []), "document_id"]
+    rows = df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(
         *(keep or []), F.col(key).alias("document_id"), F.col(text).alias("_text")
     )
+
+    def parsed(parts: Column) -> Column:
+        return F.transform(parts, lambda part: _parsed(part, tokenize))
+
+    # One expression from text to chunks: between steps arrays stay objects, of which a slice costs its own length only.
+    whole = F.col("_text")
     if options.strategy == "heading":
-        pieces = F.flatten(F.transform(_parts(F.col("_text"), HEADING), lambda p: _token_pieces(p, size, tokenize)))
-        made = cut_up.select(*(keep or []), "document_id", F.posexplode(pieces).alias("pos", "_chunk"), F.size(pieces).alias("_total"))
-        body, count = F.col("_chunk.body"), F.col("_chunk.token_count")
+        chunks = _token_pieces(parsed(_parts(whole, HEADING)), size)
     else:
-        sentences = F.flatten(F.transform(_parts(F.col("_text"), PARAGRAPH), lambda p: F.when(F.size(tokenize(p)) <= size, F.array(p)).otherwise(_parts(p, SENTENCE))))
-        pieces = F.flatten(F.transform(sentences, lambda p: _token_pieces(p, size, tokenize)))
-        cut_up = cut_up.select(*(keep or []), "document_id", pieces.alias("_pieces"))
-        cut_up = cut_up.withColumn("_chunks", _packed(F.col("_pieces"), size))
-        made = cut_up.select(*(keep or []), "document_id", "_pieces", F.posexplode("_chunks").alias("pos", "_chunk"), F.size("_chunks").alias("_total"))
-        own = F.slice(F.col("_pieces"), F.col("_chunk.first") + 1, F.col("_chunk.last") - F.col("_chunk.first") + 1)
-        body, count = F.array_join(F.transform(own, lambda p: p["body"]), ""), F.col("_chunk.tokens")
-    document, pos = F.col("document_id"), F.col("pos")
+        sentences = F.transform(
+            parsed(_parts(whole, PARAGRAPH)),
+            lambda p: F.when(F.size(p["tokens"]) <= size, F.array(p)).otherwise(parsed(_parts(p["text"], SENTENCE))),
+        )
+
+        def joined(pieces: Column) -> Column:
+            def chunk(starts: Column, start: Column, i: Column) -> Column:
+                end = F.coalesce(F.try_element_at(starts, i + 2), F.size(pieces))
+                own = F.slice(pieces, start + 1, end - start)
+                total = F.aggregate(own["token_count"], F.lit(0), lambda acc, count: acc + count)
+                return F.struct(F.array_join(own["body"], "").alias("body"), total.alias("token_count"))
+
+            return bound(_packed(pieces["token_count"], size), lambda starts: F.transform(starts, lambda s, i: chunk(starts, s, i)))
+
+        chunks = bound(_token_pieces(F.flatten(sentences), size), joined)
+    rows = computed_once(rows, {"_chunks": chunks})
+    made = rows.select(*kept, F.size("_chunks").alias("_total"), F.posexplode("_chunks").alias("pos", "_chunk"))
+    document, pos, body = F.col("document_id"), F.col("pos"), F.col("_chunk.body")
     return made.select(
-        *(keep or []),
-        "document_id",
+        *kept,
         "pos",
         stable_id(document, pos).alias("id"),
         F.lit(None).cast("string").alias("parent_chunk_id"),
@@ -163,7 +196,7 @@ def section_chunks(
         body.alias("body"),
         byte_size(body).alias("byte_size"),
         F.lit(resolve_tokenizer(options.tokenizer)).alias("tokenizer"),
-        count.alias("token_count"),
+        F.col("_chunk.token_count").alias("token_count"),
     )
 
 

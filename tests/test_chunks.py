@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -115,3 +118,35 @@ def test_sections(spark):
             assert [r.body for r in rows if r.document_id == 0] == ["intro line\n", "# One\nbody of one\n", "## Two\n#no heading\n", "### \nlast"]
         else:
             assert [r.body for r in rows if r.document_id == 5][:2] == ["First one. Second one! Third?\n\n\n\n", "Next paragraph is here. "]
+
+
+@pytest.mark.parametrize("strategy, tokenizers", [("heading", 1), ("recursive", 2)])
+def test_sections_in_linear_time(spark, strategy, tokenizers):
+    """A megabyte of text without a heading, in chunks of twenty tokens."""
+    from corpusflow.operators.chunks import cut
+
+    paragraphs = [" ".join(f"w{(i * 7 + j) % 97}" for j in range(40)) + "." for i in range(8000)]
+    df = spark.createDataFrame([(1, "\n\n".join(paragraphs))], "i int, t string")
+    assert df.select(F.length("t")).first()[0] > 1_000_000
+    made = cut(df, "i", "t", ChunkOptions(max_tokens=20, strategy=strategy))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == tokenizers
+    begin = time.time()
+    got = made.select("pos", "body", "token_count").collect()
+    assert time.time() - begin < 15
+    assert "".join(r.body for r in sorted(got)) == "\n\n".join(paragraphs) and max(r.token_count for r in got) <= 20
+
+
+def test_packing_is_greedy(spark):
+    from corpusflow.operators.chunks import _packed
+
+    rnd = random.Random(4)
+    cases = [[], [5], [9, 9, 9], [1] * 3000, [rnd.randrange(1, 14) for _ in range(3000)]]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c array<int>").where(F.size("c") > 0)
+    for row in df.select("c", _packed(F.col("c"), 10).alias("starts")).collect():
+        want, held = [], 10
+        for at, count in enumerate(row.c):
+            opens = held + count > 10
+            held = count if opens else held + count
+            want += [at] * opens
+        assert row.starts == want
