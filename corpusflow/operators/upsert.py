@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow.session import materialize
+
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows of each key in the given order.
@@ -22,20 +24,21 @@ def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int =
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
+def row_marks(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written once, each with a number of its own (_row) that every later reading agrees on."""
+    return materialize(df.withColumn("_row", F.monotonically_increasing_id()), purpose)
+
+
 def newest_rows(df: DataFrame, keys: list[str], time: Column, fingerprint: Column) -> DataFrame:
     """The newest row of each key, ties to the smaller fingerprint; wide columns are never sorted.
 
-    Keys, time and fingerprint are ranked alone, then one join picks the rows. Rows
-    that agree in all three are the same delivery, of which one stays.
+    Rows are written once with a number. Keys, time, fingerprint and number are ranked alone, and one
+    join picks the rows by number, whose hashed side is the numbers.
     """
-    marked = df.withColumns({"_time": time, "_print": fingerprint})
-    ranked = newest_per_key(marked.select(*keys, "_time", "_print"), keys, [F.col("_time").desc_nulls_last(), F.col("_print")])
-    best = ranked.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_time").alias("_t"), F.col("_print").alias("_p"))
-    same = F.col("_time").eqNullSafe(F.col("_t")) & F.col("_print").eqNullSafe(F.col("_p"))
-    for i, key in enumerate(keys):
-        same = same & F.col(key).eqNullSafe(F.col(f"_k{i}"))
-    picked = marked.join(best.hint("shuffle_hash"), same, "left_semi")
-    return picked.dropDuplicates([*keys, "_time", "_print"]).drop("_time", "_print")
+    marked = row_marks(df.withColumns({"_time": time, "_print": fingerprint}), "arrived")
+    order = [F.col("_time").desc_nulls_last(), F.col("_print"), F.col("_row")]
+    best = newest_per_key(marked.select(*keys, "_time", "_print", "_row"), keys, order).select("_row")
+    return marked.join(best.hint("shuffle_hash"), "_row", "left_semi").drop("_time", "_print", "_row")
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -127,7 +130,7 @@ def retained_ids(downloads: DataFrame, n: int) -> DataFrame:
 
 def retain_newest(downloads: DataFrame, n: int = 3) -> DataFrame:
     """The newest ``n`` downloads of each source, bodies included."""
-    return downloads.join(retained_ids(downloads, n).select("id"), "id", "left_semi")
+    return downloads.join(retained_ids(downloads, n).select("id").hint("shuffle_hash"), "id", "left_semi")
 
 
 def merge_downloads(current: DataFrame, arrived: DataFrame, keep: int = 3) -> DataFrame:
@@ -137,8 +140,10 @@ def merge_downloads(current: DataFrame, arrived: DataFrame, keep: int = 3) -> Da
     Keys alone are ranked; bodies meet the ids that stay in one join.
     """
     touched = arrived.select("source_id").distinct()
-    affected = current.join(touched, "source_id", "left_semi").unionByName(arrived.select(*current.columns))
+    mine = current.join(touched.hint("shuffle_hash"), "source_id", "left_semi")
+    affected = mine.unionByName(arrived.select(*current.columns))
     latest = affected.groupBy("id", "source_id").agg(F.max("downloaded_at").alias("downloaded_at"))
-    kept = affected.join(retained_ids(latest, keep).select("id"), "id", "left_semi")
+    kept = affected.join(retained_ids(latest, keep).select("id").hint("shuffle_hash"), "id", "left_semi")
     merged = newest_rows(kept, ["id"], F.col("downloaded_at"), F.xxhash64("source_id", "attempted_at", "status_code", "headers"))
-    return current.join(touched, "source_id", "left_anti").select(*current.columns).unionByName(merged)
+    rest = current.join(touched.hint("shuffle_hash"), "source_id", "left_anti")
+    return rest.select(*current.columns).unionByName(merged)

@@ -118,7 +118,8 @@ def fetched_items(items: DataFrame, responses: DataFrame, json_type_only: bool =
     )
     newest = newest_rows(responses, ["url"], F.col("attempted_at"), F.xxhash64("status_code", "body"))
     newest = newest.withColumn("error", refusal)
-    met = items.join(newest, items["item_url"] == newest["url"], "left")
+    # Items are the hashed side; bodies are not sorted.
+    met = items.hint("shuffle_hash").join(newest, items["item_url"] == newest["url"], "left")
     return met.withColumn("error", F.when(F.col("url").isNull(), "ErrNoResponse").otherwise(F.col("error"))).drop("url")
 
 

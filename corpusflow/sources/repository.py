@@ -104,7 +104,7 @@ def fetched_files(items: DataFrame, contents: DataFrame, options: FileOptions |
         .when(F.col("status_code").isNull(), "ErrNoResponse")
         .when(F.col("status_code") != 200, "ErrGitHubAPIRequestFailed")
     )
-    return wanted.join(bodies, key, "left").withColumn("error", error).drop("_large")
+    return wanted.hint("shuffle_hash").join(bodies, key, "left").withColumn("error", error).drop("_large")
 
 
 def import_files(

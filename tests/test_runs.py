@@ -10,7 +10,6 @@ from corpusflow.operators.integrity import integrity_report
 from corpusflow.options import ChunkOptions, IngestOptions
 from corpusflow.plans import ingest, parts, store
 from corpusflow.session import work_dir
-from corpusflow.sources.snapshots import complete_snapshots, read_snapshot
 from corpusflow.streaming import ingest as streaming
 
 
@@ -50,6 +49,7 @@ def landed(spark):
 
 OPTIONS = IngestOptions(chunks=ChunkOptions(max_tokens=10))
 DIMS = {64: "embedding_64"}
+VECTORS = "id string, model string, object_id string"
 
 
 def test_process_sources(spark, landed):
@@ -86,16 +86,14 @@ def test_saving(spark, landed):
     names = ("sources", "downloads", "documents", "document_meta", "chunks")
 
     def state():
-        got = {name: sorted(r.id for r in read_snapshot(spark, root, name).collect()) for name in names}
-        last = complete_snapshots(spark, root, "embeddings")[-1]
-        vectors = spark.read.parquet(f"{root}/embeddings/snapshot={last}")
-        return got, sorted(r.object_id for r in vectors.collect())
+        got = {name: sorted(r.id for r in store.read(spark, root, name).collect()) for name in names}
+        return got, sorted(r.object_id for r in store.read(spark, root, "embeddings", schema=VECTORS).collect())
 
     run = ingest.process_sources(landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS)
-    store.save(run, root, 1)
+    store.save(run, root, buckets=8)
     first = state()
     assert first[1] == first[0]["chunks"] != []
-    store.save(run, root, 2)
+    store.save(run, root)
     assert state() == first
     # The post gets shorter: its further chunks and their vectors go, its old download stays.
     url = "https://a.org/wp-json/wp/v2/posts/1"
@@ -105,12 +103,12 @@ def test_saving(spark, landed):
     )
     later = F.lit("2024-02-01 00:00:00").cast("timestamp")
     again = ingest.process_sources(ingest.Landed(landed.pages, short), embedding.hashing_embedder(), later, OPTIONS, dims=DIMS)
-    store.save(again, root, 3)
+    store.save(again, root)
     tables, vectors = state()
     assert vectors == tables["chunks"] and len(tables["chunks"]) == 2
     assert len(tables["downloads"]) == len(first[0]["downloads"]) + 1
     assert tables["documents"] == first[0]["documents"]
-    assert integrity_report({n: read_snapshot(spark, root, n) for n in names}).count() == 0
+    assert integrity_report({n: store.read(spark, root, n) for n in names}).count() == 0
 
 
 def test_only_changes_are_processed(spark, landed):
@@ -176,21 +174,19 @@ def test_vectors_follow_the_text(spark, landed):
     root = work_dir(spark, "models")
     files = ingest.Landed(trees=landed.trees, contents=landed.contents)
     dims = {64: "embedding_64"}
-    for number, model in ((1, "m1"), (2, "m2")):
-        store.save(ingest.process_sources(files, embedding.hashing_embedder(model), stamp(), OPTIONS, dims=dims), root, number)
+    for model in ("m1", "m2"):
+        store.save(ingest.process_sources(files, embedding.hashing_embedder(model), stamp(), OPTIONS, dims=dims), root, buckets=4)
 
-    def vectors(number):
-        rows = spark.read.parquet(f"{root}/embeddings/snapshot={number}").collect()
-        return sorted({r.model for r in rows})
+    def vectors():
+        return sorted({r.model for r in store.read(spark, root, "embeddings", schema=VECTORS).collect()})
 
-    assert vectors(2) == ["m1", "m2"]
+    assert vectors() == ["m1", "m2"]
     changed = landed.contents.withColumn("content", F.when(F.col("path") == "src/a.py", "eSA9IDI=").otherwise(F.col("content")))
     later = F.lit("2024-02-01 00:00:00").cast("timestamp")
     newer = changed.withColumn("attempted_at", later)
     run = ingest.process_sources(ingest.Landed(trees=landed.trees, contents=newer), embedding.hashing_embedder("m1"), later, OPTIONS, dims=dims)
-    store.save(run, root, 3, snapshots=2)
-    assert vectors(3) == ["m1"]
-    assert complete_snapshots(spark, root, "chunks") == [2, 3]
+    store.save(run, root)
+    assert vectors() == ["m1"]
 
 
 def test_own_transformer_and_chunker(spark, landed):
@@ -212,9 +208,9 @@ def test_tags_of_a_run(spark, landed):
     run = ingest.process_sources(ingest.Landed(landed.pages, items), embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS)
     assert sorted(r.name for r in run.tags.collect()) == ["news", "spark"] and run.document_tags.count() == 2
     root = work_dir(spark, "tags")
-    store.save(run, root, 1)
-    store.save(run, root, 2)
-    assert read_snapshot(spark, root, "document_tags").count() == 2
+    store.save(run, root)
+    store.save(run, root)
+    assert store.read(spark, root, "document_tags").count() == store.read(spark, root, "tags").count() == 2
 
 
 def test_documents_need_no_model(spark, landed):
