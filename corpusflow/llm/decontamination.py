@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.near_duplicates import bitmap_hits, bitmap_of
 from corpusflow.llm.words import ALPHANUMERIC, groups, shingle_hashes, shingles_of, word_hashes
 from corpusflow.session import materialize
-from corpusflow.workers import ship_by_value
+from corpusflow.workers import ship_by_value, trimmed
 
 ship_by_value(__name__)
 
@@ -62,7 +62,7 @@ def _shingle_rows(shingle: int, sketch: np.ndarray | None, full: np.ndarray | No
 
 def _shingles(rows: DataFrame, key: str, text: str, shingle: int, sketch=None, full=None) -> DataFrame:
     found = rows.select(F.col(key).cast("long"), F.col(text)).mapInArrow(
-        _shingle_rows(shingle, sketch, full), "id long, hashes array<long>"
+        trimmed(_shingle_rows(shingle, sketch, full)), "id long, hashes array<long>"
     )
     return found.select("id", F.explode("hashes").alias("hash")).distinct()
 

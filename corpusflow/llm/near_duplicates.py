@@ -22,7 +22,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.components import connected_components
 from corpusflow.llm.words import BETWEEN_SPACES, groups, mix, shingle_hashes, shingles_of, word_hashes
 from corpusflow.session import materialize
-from corpusflow.workers import ship_by_value
+from corpusflow.workers import ship_by_value, trimmed
 
 ship_by_value(__name__)
 
@@ -98,7 +97,7 @@ def _signature_rows(shingle: int, bands: int, rows: int):
 def signatures(docs: DataFrame, doc: str, text: str, shingle: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc, n_shingles, set_key (hash of the set), bands (keys), signature; the last three null for empty sets."""
     schema = "doc long, n_shingles long, set_key binary, bands array<long>, signature binary"
-    return docs.select(F.col(doc).cast("long"), F.col(text)).mapInArrow(_signature_rows(shingle, bands, rows), schema)
+    return docs.select(F.col(doc).cast("long"), F.col(text)).mapInArrow(trimmed(_signature_rows(shingle, bands, rows)), schema)
 
 
 def _set_rows(shingle: int, wanted: np.ndarray):
@@ -155,20 +154,22 @@ def bitmap_hits(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _agreement(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Share of places in which two signatures agree, for each row."""
-    if not len(left):
-        return pd.Series([], dtype="float64")
-    x = np.frombuffer(b"".join(left), "<u2").reshape(len(left), -1)
-    y = np.frombuffer(b"".join(right), "<u2").reshape(len(right), -1)
-    return pd.Series((x == y).mean(axis=1))
+def _hopeful_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) whose signatures agree in enough places."""
+    for batch in batches:
+        x, y = (_signature_matrix(batch.column(c)) for c in (2, 3))
+        agree = (x == y).mean(axis=1) >= AGREEMENT if len(x) else np.zeros(0, bool)
+        yield batch.select([0, 1]).filter(pa.array(agree))
+
+
+def _signature_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1) if len(column) else np.zeros((0, 1), "<u2")
 
 
 def _confirmed(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough: first by signature, then on the full sets."""
-    agree = F.pandas_udf(_agreement, "double")
-    signed = pairs.join(marks.toDF("a", "left"), "a").join(marks.toDF("b", "right"), "b")
-    hopeful = signed.where(agree("left", "right") >= AGREEMENT).select("a", "b")
+    signed = pairs.join(marks.toDF("a", "left"), "a").join(marks.toDF("b", "right"), "b").select("a", "b", "left", "right")
+    hopeful = signed.mapInArrow(trimmed(_hopeful_rows), "a long, b long")
     met = hopeful.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     common, total = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
     sized = met.select("a", "b", common.alias("common"), total.alias("total"))
@@ -183,16 +184,19 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _block_links(percent: int):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """Links between two blocks: pairs of different components, the first that holds for each two of these."""
         found: list[tuple[int, int]] = []
         if len(left) and len(right):
-            x, y = (np.frombuffer(b"".join(f["signature"]), "<u2").reshape(len(f), -1) for f in (left, right))
+            x, y = (_signature_matrix(t["signature"]) for t in (left, right))
             # Sets are sorted as unsigned numbers.
-            own_sets, sets = ([np.asarray(m, np.int64).view(np.uint64) for m in f["members"]] for f in (left, right))
+            own_sets, sets = (
+                [m.values.to_numpy(zero_copy_only=False).view(np.uint64) for m in t["members"]] for t in (left, right)
+            )
             sizes, components = np.array([len(m) for m in sets]), right["component"].to_numpy()
+            others_nodes = right["node"].to_numpy()
             joined: set[tuple[int, int]] = set()
-            for i, (node, component, own) in enumerate(zip(left["node"], left["component"], own_sets, strict=True)):
+            for i, (node, component, own) in enumerate(zip(left["node"].to_pylist(), left["component"].to_pylist(), own_sets, strict=True)):
                 size = len(own)
                 others = np.flatnonzero((components != component) & (100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)))
                 for j in others[(y[others] == x[i]).mean(axis=1) >= AGREEMENT]:
@@ -200,8 +204,9 @@ def _block_links(percent: int):
                         common = _common(own, sets[j])
                         if 100 * common >= percent * (size + sizes[j] - common):
                             joined |= {(component, components[j]), (components[j], component)}
-                            found.append((node, right["node"].iloc[j]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                            found.append((node, int(others_nodes[j])))
+        columns = zip(*found, strict=True) if found else ([], [])
+        return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     return run
 
@@ -215,7 +220,7 @@ def _neighbourhood_links(hoods: DataFrame, marks: DataFrame, sets: DataFrame, pe
     left = placed.select(*columns, "block", F.explode(F.sequence("block", F.col("blocks") - 1))).toDF(*columns, "i", "j")
     right = placed.select(*columns, F.explode(F.sequence(F.lit(0), "block")), "block").toDF(*columns, "i", "j")
     met = left.groupBy("hood", "i", "j").cogroup(right.groupBy("hood", "i", "j"))
-    return met.applyInPandas(_block_links(percent), "a long, b long")
+    return met.applyInArrow(_block_links(percent), "a long, b long")
 
 
 def _remaining_links(open_members: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -268,7 +273,7 @@ def near_duplicates(
     members = materialize(bands.join(shared, "key", "left_semi"), "members")
     nodes = materialize(members.select("node").distinct(), "nodes")
     marks = materialize(heads.select("doc", "signature").join(nodes, F.col("doc") == F.col("node"), "left_semi"), "marks")
-    sets = source.mapInArrow(_set_rows(shingle, bitmap_of(nodes)), "doc long, members array<long>")
+    sets = source.mapInArrow(trimmed(_set_rows(shingle, bitmap_of(nodes))), "doc long, members array<long>")
     sets = materialize(sets.join(nodes, F.col("doc") == F.col("node"), "left_semi"), "sets")
 
     spark = docs.sparkSession
