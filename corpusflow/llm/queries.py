@@ -146,8 +146,7 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     where = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    ids = byte_bpe.encode(docs, "text", "ids", *where).select("doc_id", "ids")
-    out = byte_bpe.decode(ids, "ids", "raw", *where)
+    out = byte_bpe.encode(docs, "text", "ids", *where, decoded="raw")
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

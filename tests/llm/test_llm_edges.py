@@ -407,3 +407,27 @@ def test_main_text_is_linear(page):
     begin = time.time()
     main_text.main_text(page, {})
     assert time.time() - begin < 5
+
+
+# ---- byte BPE on white space
+
+
+def test_long_white_space(frame, spark):
+    """Runs of white space of any length; the library's matcher gives up on them."""
+    import tiktoken
+
+    library = byte_bpe.encoding(*RANKS)
+    short = ["x" + w * n + y for w in (" ", "\n", "\t \u3000", "\x85") for n in (3, 40) for y in ("", "y", "'s", "\x1cz", "1")]
+    for text in short:
+        ids = [i for part, one in byte_bpe.split_text(text, 8, 4) for i in (library._encode_single_piece(part.encode()) if one else library.encode_ordinary(part))]
+        assert ids == library.encode_ordinary(text), text
+    long = ["x" + " " * 3_000_000 + "y", "\n" * 2_000_000, "a b " + "\t\n " * 700_000 + "c" + " " * 20_000 + "\n", "q" * 300_000, " " * 16_384]
+    table = spark.createDataFrame([(i, t, "own") for i, t in enumerate(long)], "doc_id long, text string, IDS string")
+    out = byte_bpe.encode(table, "text", "ids", *RANKS, decoded="Raw")
+    assert out.columns == ["doc_id", "text", "ids", "Raw"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert all(bytes(got[i]["Raw"]).decode() == t for i, t in enumerate(long))
+    assert got[0]["ids"] == library.encode_ordinary("x") + library._encode_single_piece(b" " * 2_999_999) + library.encode_ordinary(" y")
+    assert got[3]["ids"] == library.encode_ordinary(long[3])
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert byte_bpe.encode(none, "text", "ids", *RANKS, decoded="raw").count() == byte_bpe.decode(none.selectExpr("array(1) as ids"), "ids", "raw", *RANKS).count() == 0

@@ -7,12 +7,19 @@ import numpy as np
 import pytest
 from pyspark import cloudpickle
 
-from corpusflow.llm import byte_bpe, decontamination, language_cnn, main_text, maxscore, near_duplicates, token_counts, toxicity
+from corpusflow.llm import byte_bpe, decontamination, language_cnn, main_text, maxscore, near_duplicates, phrases, runs, token_counts, toxicity
+from corpusflow.workers import trimmed
 
 SHIPPED = {
     "signatures": near_duplicates._signature_rows(4, 2, 2),
     "sets": near_duplicates._set_rows(4, np.zeros(4, np.uint64)),
     "blocks": near_duplicates._block_links(80),
+    "pairs": trimmed(near_duplicates._hopeful_rows),
+    "runs": trimmed(runs._run_rows(12)),
+    "phrase blocks": phrases._block_rows,
+    "translated": phrases._translated,
+    "filters": phrases._filter_rows([3, 4], 2, np.zeros(4, np.uint64)),
+    "merged": phrases._merged_rows(30),
     "items": decontamination._shingle_rows(5, None, None),
     "search": maxscore._search(3),
     "vocabulary": token_counts._vocabulary_rows([]),
