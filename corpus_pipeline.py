@@ -82,8 +82,7 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents with their token ids; text is what the ids decode to. Columns called n_tokens or ids are replaced."""
     where = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     plain = _plain(docs)
-    encoded = byte_bpe.encode(plain, "text", "ids", *where)
-    decoded = byte_bpe.decode(encoded.drop("text"), "ids", "raw", *where)
+    decoded = byte_bpe.encode(plain, "text", "ids", *where, decoded="raw")
     text = F.decode("raw", "UTF-8")
     kept = [(n, c) for n, c in zip(plain.columns, docs.columns, strict=True) if c.lower() not in ("n_tokens", "ids")]
     names = [(text if n == "text" else F.col(n)).alias(c) for n, c in kept]
