@@ -13,7 +13,9 @@ from corpusflow.operators import updates
 from corpusflow.operators.chunks import token_chunks
 from corpusflow.session import materialize, work_dir
 from corpusflow.sources.tables import read_table
+from corpusflow.streaming import dedup
 from corpusflow.streaming import ingest as streaming
+from corpusflow.streaming import updates as stream_changes
 
 # The newly landed state: documents judged toxic are gone, those of poor quality
 # are revised, conversation turns are new documents.
@@ -107,3 +109,88 @@ def stream_ingest(spark, folder):
     return done.select(
         "id", "source_id", "body", F.date_format("downloaded_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("downloaded_at")
     )
+
+
+# Six deliveries ten days apart, each of a sixth of the events. A delivery repeats the one before it (within the
+# window of fifteen days); the sixth brings the first one again, long after; the fifth also brings the second with its old times.
+_DAY, _BEGIN = 86400, 1704067200
+_DELIVERIES = """
+delivered as (
+  select event_id, b, b * 864000 + event_id % 1000 as sec, 'own' as kind from (select event_id, event_id % 6 as b from events)
+  union all
+  select event_id, event_id % 6 + 1, (event_id % 6 + 1) * 864000 + event_id % 1000, 'repeat' from events where event_id % 6 < 5
+  union all select event_id, 5, 5 * 864000 + event_id % 1000, 'again' from events where event_id % 6 = 0
+  union all select event_id, 4, 864000 + event_id % 1000, 'late' from events where event_id % 6 = 1)"""
+
+
+@query(
+    "stream_dedup",
+    f"""
+with {_DELIVERIES}
+select 'late' as outcome, event_id, sec::bigint as sec from delivered where kind = 'late'
+union all select 'accepted', event_id, sec::bigint from delivered where kind in ('own', 'again')""",
+)
+def stream_dedup(spark, folder):
+    """Deliveries in six files: repeats within the window go, later ones count as new, late rows are rejects."""
+    i = F.col("event_id")
+    events = read_table(spark, folder, "events").select("event_id")
+    own, day = i % 6, F.lit(10 * _DAY)
+
+    def rows(which, batch, at):
+        return which.select("event_id", batch.cast("int").alias("batch"), F.timestamp_seconds(_BEGIN + at * day + i % 1000).alias("ts"))
+
+    parts = [
+        rows(events, own, own),
+        rows(events.where(own < 5), own + 1, own + 1),
+        rows(events.where(own == 0), F.lit(5), F.lit(5)),
+        rows(events.where(own == 1), F.lit(4), F.lit(1)),
+    ]
+    root, schema = work_dir(spark, "dedup"), "event_id bigint, ts timestamp"
+    delivered = materialize(parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3]), "deliveries")
+    for batch in range(6):
+        # One file for each delivery, so that it is one batch of the stream.
+        delivered.where(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+    dedup.route(stream, "ts", "15 days", root, f"{root}/cp1").awaitTermination()
+    dedup.suppress(spark, schema, ["event_id"], "ts", "15 days", root, f"{root}/cp2", files_at_once=1).awaitTermination()
+    found = [dedup.read(spark, root, t, schema).select(F.lit(t).alias("outcome"), "event_id", (F.unix_seconds("ts") - _BEGIN).alias("sec")) for t in (dedup.LATE, dedup.ACCEPTED)]
+    return found[0].unionAll(found[1])
+
+
+@query(
+    "stream_updates",
+    f"""
+with {_INCOMING},
+compared as (
+  select coalesce(n.doc_id, o.doc_id) as doc_id, case when o.doc_id is null then 'new' when n.doc_id is null then 'removed'
+    when o.text <> n.text then 'updated' else 'same' end as status
+  from documents o full join incoming n using (doc_id))
+select doc_id, status from compared""",
+)
+def stream_updates(spark, folder):
+    """The two states of updates_report as crawls of a stream: what the second one changes, and what it no longer has."""
+    root, schema = work_dir(spark, "crawls"), "doc_id bigint, text string, ts timestamp"
+    for day, rows in enumerate(_states(spark, folder)):
+        dated = rows.select("doc_id", "text", F.timestamp_seconds(F.lit(_BEGIN + day * _DAY)).alias("ts"))
+        # One file for each crawl, so that it is one batch of the stream.
+        dated.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    # A row of another kind carries the time on, past the grace of what was there on the first day only.
+    clock = spark.createDataFrame([(None, None)], "doc_id bigint, text string")
+    clock = clock.withColumn("ts", F.timestamp_seconds(F.lit(_BEGIN + int(1.8 * _DAY))))
+    clock.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_changes.PROVIDER)
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+        stream = stream.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+        found = stream_changes.track(stream, "key", "text", "ts", "0 seconds", "36 hours")
+        out = found.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/cp")
+        out.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    rows = spark.read.schema("key string, status string, seen timestamp").parquet(f"{root}/out").where("key <> ''")
+    second = (F.unix_seconds("seen") >= _BEGIN + _DAY) | (F.col("status") == "removed")
+    return rows.where(second).select(F.col("key").cast("bigint").alias("doc_id"), "status")
