@@ -8,8 +8,9 @@ from corpusflow import fixed
 from corpusflow.checks import inputs
 from corpusflow.checks.registry import query
 from corpusflow.functions import language
-from corpusflow.operators import files
+from corpusflow.operators import files, ngrams
 from corpusflow.options import FileOptions
+from corpusflow.session import materialize
 from corpusflow.sources import repository
 from corpusflow.sources.tables import read_table
 
@@ -130,3 +131,34 @@ from documents d left join best b using (doc_id)""",
 def language_profile(spark, folder):
     scored = language.with_profile(inputs.documents(spark, folder), "text")
     return scored.select("doc_id", "lang", "detected", F.array_max("scores")["score"].alias("score"))
+
+
+_GRAMS = """list_filter(flatten([list_transform(range(1, length(b) - k + 2), lambda i: substr(b, i, k)) for k in [1, 2, 3]]), lambda g: g <> ' ')"""
+
+
+@query(
+    "language_ngrams",
+    f"""
+with said as (select doc_id, lang, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) as word from documents),
+cut as (
+  select doc_id, lang, times, unnest({_GRAMS}) as gram
+  from (select doc_id, lang, ' ' || word || ' ' as b, count(*) as times from said group by all)),
+own as (
+  select doc_id, gram, row_number() over (partition by doc_id order by sum(times) desc, gram) - 1 as rank
+  from cut group by doc_id, gram qualify rank < 300),
+profiles as (
+  select lang, gram, row_number() over (partition by lang order by sum(times) desc, gram) - 1 as place
+  from cut where doc_id % 5 <> 0 group by lang, gram qualify place < 300),
+saved as (
+  select doc_id, lang, sum(300 - abs(rank - place)) as saved from own join profiles using (gram) group by all),
+best as (select * from saved qualify row_number() over (partition by doc_id order by saved desc, lang) = 1),
+whole as (select doc_id, count(*) * 300 as whole from own group by doc_id)
+select d.doc_id, case when whole is not null then coalesce(b.lang, (select min(lang) from profiles)) end as language,
+  (whole - coalesce(saved, 0))::bigint as distance
+from documents d left join whole using (doc_id) left join best b using (doc_id)""",
+)
+def language_ngrams(spark, folder):
+    """Documents by profiles learned from four fifths of them."""
+    docs = inputs.documents(spark, folder).select("doc_id", "text", "lang")
+    profiles = materialize(ngrams.learn_profiles(docs.where(F.col("doc_id") % 5 != 0), "text", "lang"), "profiles")
+    return ngrams.detect(docs, "doc_id", "text", profiles)
