@@ -41,6 +41,9 @@ class ListingOptions:
     #: None goes on to the end of the listing; a bound that cuts one off is a reject.
     max_pages: int | None = None
     concurrency: int = fixed.DEFAULT_CONCURRENCY
+    #: Further tries of a request that fails or is refused for now, and seconds before the first; each pause is twice the one before.
+    retries: int = 5
+    pause: float = 1.0
 
 
 @dataclass(frozen=True)

@@ -39,14 +39,14 @@ def land(
     endpoints = routed.where(F.col("source_type") == "wp-json").select(F.col("raw_url").alias("base_url"))
     pages = materialize(fetch_pages(endpoints, fetch_fn, opts), "pages")
     listed = landing.listing_ids(pages, opts.max_pages).items
-    items = materialize(fetch_items(listed, fetch_fn, opts.concurrency), "items")
+    items = materialize(fetch_items(listed, fetch_fn, opts.concurrency, retries=opts.retries, pause=opts.pause), "items")
 
     repos = routed.where(F.col("source_type") == "github").select("raw_url", "owner", "repo", "ref")
     tree_url = F.concat(
         F.lit(f"{api_url}/repos/"), F.concat_ws("/", "owner", "repo", F.lit("git/trees"), "ref"), F.lit("?recursive=1")
     )
     asked = repos.withColumn("url", tree_url)
-    answers = materialize(fetch_items(asked, fetch_fn, opts.concurrency, "url"), "trees")
+    answers = materialize(fetch_items(asked, fetch_fn, opts.concurrency, "url", opts.retries, opts.pause), "trees")
     answered = asked.join(answers, "url")
     good = (F.col("status_code") == 200) & F.try_parse_json("body").isNotNull()
     trees = repository.tree_items(answered.where(good), keep=("owner", "repo", "ref")).distinct()
@@ -63,7 +63,7 @@ def land(
         F.lit(f"{api_url}/repos/"), F.concat_ws("/", "owner", "repo", F.lit("contents"), "path"), F.lit("?ref="), F.col("ref")
     )
     wanted = repository.filter_files(trees, file_options).select("owner", "repo", "ref", "path").withColumn("url", content_url)
-    bodies = materialize(fetch_items(wanted, fetch_fn, opts.concurrency, "url"), "contents")
+    bodies = materialize(fetch_items(wanted, fetch_fn, opts.concurrency, "url", opts.retries, opts.pause), "contents")
     read = F.from_json("body", repository.CONTENTS_SCHEMA)
     contents = wanted.join(bodies, "url").select(
         "owner", "repo", "ref", "path", "status_code", "attempted_at",

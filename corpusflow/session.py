@@ -19,6 +19,8 @@ JOB_SETTINGS = {
     # Where one side of a join is narrow, hash it instead of sorting the bodies of the other.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Filters reach the sources of sources.api, which refuse to run without.
+    "spark.sql.python.filterPushdown.enabled": "true",
     # Repeated keys in a JSON object: the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

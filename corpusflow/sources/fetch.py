@@ -7,6 +7,7 @@ How many requests run at once is the number of partitions.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,8 +24,10 @@ PAGE_SCHEMA = "base_url string, page int, status_code int, body string"
 RESPONSE_SCHEMA = "url string, attempted_at timestamp, status_code int, headers map<string,array<string>>, body string"
 
 
-#: A walk gives up after so many failed requests in a row; each of them is there to see.
-_FAILURES = 5
+#: Pages that fail in a row, each after all its retries, before a walk gives up. What it leaves is a page with this status.
+FAILED_PAGES, CUT = 5, -1
+#: Answers that may be others a little later: too early, too many requests, any failure of the server.
+_FOR_NOW = frozenset((425, 429))
 
 
 def fetch_listing(
@@ -41,45 +44,62 @@ def fetch_pages(endpoints: DataFrame, fetch_fn: FetchFn, options: ListingOptions
     goes on to its first page that answers 400 or lists nothing, so a listing of any
     length is read to its end; a page that is the one before again ends it too, since then
     the endpoint knows no pages. ``landing.listing_ids`` then applies the listing's end over all
-    walks. A failed request is a page without a good status, and the walk goes on behind it.
+    walks. A request that fails is tried again after a pause; if it still fails it is a page without a good
+    status, and the walk goes on behind it. A walk that gives up says so by a page with status CUT.
     """
     opts = options or ListingOptions()
-    walks, per_page, last = opts.concurrency, opts.per_page, opts.max_pages
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for base_url, page in zip(frame["base_url"], frame["first"]):
-                failed, before = 0, None
-                while failed < _FAILURES:
-                    _, status, _, body = _fetch_one(fetch_fn, f"{base_url}?page={page}&per_page={per_page}")
-                    row = (base_url, page, status, body)
+            for base_url, first in zip(frame["base_url"], frame["first"]):
+                for row in walk(fetch_fn, base_url, first, opts):
                     yield pd.DataFrame([row], columns=["base_url", "page", "status_code", "body"])
-                    ended = status == 400 or (status == 200 and (body.strip() == "[]" or body == before))
-                    if ended or (last is not None and page > last):
-                        break
-                    failed, before = (0, body) if status == 200 else (failed + 1, before)
-                    page += walks
-
-    starts = F.explode(F.sequence(F.lit(1), F.lit(walks))).alias("first")
-    firsts = endpoints.select("base_url").distinct().select("base_url", starts).repartition(walks)
-    return firsts.mapInPandas(run, PAGE_SCHEMA)
-
 
-def _fetch_one(fetch_fn: FetchFn, address: str) -> tuple:
-    try:
-        status, headers, body = fetch_fn(address)
-        return address, status, json.dumps(headers), body
-    except Exception:
-        return address, None, None, None
+    starts = F.explode(F.sequence(F.lit(1), F.lit(opts.concurrency))).alias("first")
+    firsts = endpoints.select("base_url").distinct().select("base_url", starts).repartition(opts.concurrency)
+    return firsts.mapInPandas(run, PAGE_SCHEMA)
 
 
-def fetch_items(items: DataFrame, fetch_fn: FetchFn, concurrency: int, url: str = "item_url") -> DataFrame:
-    """One response per item URL; a failing request is a response without status."""
+def walk(fetch_fn: FetchFn, base_url: str, first: int, opts: ListingOptions) -> Iterator[tuple]:
+    """(base_url, page, status_code, body) of every n-th page from the first, to the end of the listing."""
+    page, failed, before = int(first), 0, None
+    while failed < FAILED_PAGES:
+        address = f"{base_url}?page={page}&per_page={opts.per_page}"
+        _, status, _, body = _fetch_one(fetch_fn, address, opts.retries, opts.pause)
+        yield base_url, page, status, body
+        ended = status == 400 or (status == 200 and (body.strip() == "[]" or body == before))
+        if ended or (opts.max_pages is not None and page > opts.max_pages):
+            return
+        failed, before = (0, body) if status == 200 else (failed + 1, before)
+        page += opts.concurrency
+    yield base_url, page, CUT, None
+
+
+def _fetch_one(fetch_fn: FetchFn, address: str, retries: int = 0, pause: float = 0.0) -> tuple:
+    """The answer to one request, or nulls where there is none; tried again while it may still come."""
+    answer = (address, None, None, None)
+    for turn in range(retries + 1):
+        try:
+            status, headers, body = fetch_fn(address)
+            answer = (address, status, json.dumps(headers), body)
+            if status is not None and status < 500 and status not in _FOR_NOW:
+                break
+        except Exception:
+            answer = (address, None, None, None)
+        if turn < retries:
+            time.sleep(pause * 2**turn)
+    return answer
+
+
+def fetch_items(
+    items: DataFrame, fetch_fn: FetchFn, concurrency: int, url: str = "item_url", retries: int = 0, pause: float = 0.0
+) -> DataFrame:
+    """One response per item URL; a request that fails after all its tries is a response without status."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for start in range(0, len(frame), _ROWS_AT_ONCE):
-                rows = [_fetch_one(fetch_fn, address) for address in frame["url"].iloc[start : start + _ROWS_AT_ONCE]]
+                rows = [_fetch_one(fetch_fn, address, retries, pause) for address in frame["url"].iloc[start : start + _ROWS_AT_ONCE]]
                 yield pd.DataFrame(rows, columns=["url", "status_code", "headers", "body"])
 
     requests = items.select(F.col(url).alias("url")).distinct().repartition(concurrency)

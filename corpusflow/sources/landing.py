@@ -13,6 +13,7 @@ from corpusflow.operators import posts
 from corpusflow.operators.barrier import computed_once
 from corpusflow.operators.upsert import newest_rows
 from corpusflow.session import materialize
+from corpusflow.sources import fetch
 
 
 class Imported(NamedTuple):
@@ -34,7 +35,8 @@ def listing_ids(pages: DataFrame, max_pages: int | None = None) -> Listing:
     """Item ids of all listing pages before each site's end.
 
     The end is the first page that answers 400 or lists nothing. A page with another
-    status, or without a JSON array, is a reject and the pages after it still count.
+    status, or without a JSON array, is a reject and the pages after it still count; so is
+    the place where a live walk gave up.
     With ``max_pages`` every live page beyond it is a reject as well.
     """
     status = F.col("status_code")
@@ -56,7 +58,7 @@ def listing_ids(pages: DataFrame, max_pages: int | None = None) -> Listing:
     ends = read.groupBy("base_url").agg(F.min(F.when((status == 400) | empty, F.col("page"))).alias("_end"))
     live = read.join(ends, "base_url").where(F.col("_end").isNull() | (F.col("page") < F.col("_end")))
     error = (
-        F.when(beyond, "ErrListingCut")
+        F.when(beyond | (status == fetch.CUT), "ErrListingCut")
         .when(status.isNull(), "ErrNoResponse")
         .when(status != 200, "ErrUnexpectedStatusCode")
         .when(F.col("ids").isNull(), "ErrDecode")

@@ -191,7 +191,7 @@ def site(url):
 
 
 def test_live_listing_and_items(spark):
-    options = ListingOptions(max_pages=20, concurrency=4)
+    options = ListingOptions(max_pages=20, concurrency=4, pause=0)
     listing = landing.listing_ids(fetch.fetch_listing(spark, "https://a.org/wp-json/posts", site, options))
     assert sorted(r.item_id for r in listing.items.collect()) == [1, 2, 3, 4, 5, 6]
     answered = fetch.fetch_items(listing.items, site, options.concurrency)
@@ -219,7 +219,7 @@ def test_land_from_urls(spark):
         "https://github.com/o/gone/tree/v1", "https://c.org/other",
     ]
     df = spark.createDataFrame([(a,) for a in addresses], "raw_url string")
-    fetched = live.land(df, world, ListingOptions(max_pages=9, concurrency=3))
+    fetched = live.land(df, world, ListingOptions(max_pages=9, concurrency=3, pause=0))
     assert sorted((r.raw_url, r.error) for r in fetched.rejects.collect()) == [
         ("https://c.org/other", "ErrNoImporterCanHandle"),
         ("https://github.com/o/gone/tree/v1", "ErrGitHubAPIRequestFailed"),
@@ -239,12 +239,12 @@ def test_a_failed_page_does_not_end_the_walk(spark):
             raise ConnectionError("down")
         return (200, {}, json.dumps([{"id": page}])) if page <= 40 else (200, {}, "[]")
 
-    for options in (ListingOptions(concurrency=3), ListingOptions(concurrency=1), ListingOptions(max_pages=60, concurrency=4)):
+    for options in (ListingOptions(concurrency=3, pause=0), ListingOptions(concurrency=1, retries=0), ListingOptions(max_pages=60, concurrency=4, pause=0)):
         pages = fetch.fetch_listing(spark, "https://a.org/p", shaky, options)
         got = landing.listing_ids(pages, options.max_pages)
         assert sorted(r.item_id for r in got.items.collect()) == [n for n in range(1, 41) if n != 3]
         assert [(r.page, r.error) for r in got.rejects.collect()] == [(3, "ErrNoResponse")]
     same = fetch.fetch_listing(spark, "https://a.org/p", lambda url: (200, {}, '[{"id": 1}]'), ListingOptions(concurrency=2))
     assert same.count() == 4
-    cut = landing.listing_ids(fetch.fetch_listing(spark, "https://a.org/p", shaky, ListingOptions(max_pages=10)), 10)
+    cut = landing.listing_ids(fetch.fetch_listing(spark, "https://a.org/p", shaky, ListingOptions(max_pages=10, pause=0)), 10)
     assert cut.items.count() == 9 and "ErrListingCut" in {r.error for r in cut.rejects.collect()}
