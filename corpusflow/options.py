@@ -53,5 +53,7 @@ class IngestOptions:
     chunks: ChunkOptions = field(default_factory=lambda: ChunkOptions(max_tokens=fixed.MODEL_MAX_TOKENS))
     parity: bool = False
     quote_strings: bool = False
+    #: Refuse post responses that are not declared as JSON.
+    json_type_only: bool = False
     #: Deal rows anew before chunking and embedding; None leaves them as they come.
     partitions: int | None = None

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import urls
 from corpusflow.options import FileOptions, ListingOptions
+from corpusflow.plans import parts
 from corpusflow.plans.ingest import Landed
 from corpusflow.session import materialize
 from corpusflow.sources import landing, repository
@@ -26,14 +27,23 @@ def land(
     listing_options: ListingOptions | None = None,
     file_options: FileOptions | None = None,
     api_url: str = "https://api.github.com",
+    importers: list[parts.Importer] | None = None,
 ) -> Fetched:
     """Fetch everything the source URLs (column raw_url) lead to.
 
+    A user's ``importers`` come before the two for posts and repositories: what they accept is asked for as it is.
+
     Answers are written as they come, since asking again costs and may differ. Files
     are filtered by their tree entries before their contents are asked for.
     """
     opts = listing_options or ListingOptions()
-    routed = urls.route_import(sources.select("raw_url").distinct())
+    addresses, others = sources.select("raw_url").distinct(), None
+    if importers:
+        own = parts.source_type(F.col("raw_url"), importers).isNotNull()
+        asked = addresses.where(own).select(F.col("raw_url").alias("url"))
+        others = materialize(fetch_items(asked, fetch_fn, opts.concurrency, "url", opts.retries, opts.pause), "others")
+        addresses = addresses.where(~own)
+    routed = urls.route_import(addresses)
     unrouted = routed.where(F.col("error").isNotNull()).select("raw_url", "error")
 
     endpoints = routed.where(F.col("source_type") == "wp-json").select(F.col("raw_url").alias("base_url"))
@@ -69,4 +79,4 @@ def land(
         "owner", "repo", "ref", "path", "status_code", "attempted_at",
         read["content"].alias("content"), read["encoding"].alias("encoding"),
     )
-    return Fetched(Landed(pages, items, trees, contents), unrouted.unionByName(failed))
+    return Fetched(Landed(pages, items, trees, contents, others), unrouted.unionByName(failed))

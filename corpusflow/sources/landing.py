@@ -146,3 +146,17 @@ def import_items(
         download_rows(good, "item_url", F.to_json("headers"), stamp),
         fetched.where(F.col("error").isNotNull()).select("base_url", "item_url", "status_code", "error"),
     )
+
+
+def import_responses(responses: DataFrame, stamp: Column) -> Imported:
+    """Source and download rows of responses of a kind of one's own; the address is the source."""
+    newest = newest_rows(responses, ["url"], F.col("attempted_at"), F.xxhash64("status_code", "body"))
+    status = F.col("status_code")
+    error = F.when(status.isNull() | F.col("body").isNull(), "ErrNoResponse").when(status != 200, "ErrUnexpectedStatusCode")
+    judged = materialize(newest.withColumn("error", error), "responses")
+    good = judged.where(F.col("error").isNull())
+    return Imported(
+        source_rows(good, "url", F.lit("json"), stamp),
+        download_rows(good, "url", F.to_json("headers"), stamp),
+        judged.where(F.col("error").isNotNull()).select("url", "status_code", "error"),
+    )

@@ -316,3 +316,24 @@ def test_stream_equals_batch(spark):
     assert len(state()) == len(want) + 1
     streaming.compact(spark, f"{root}/t")
     assert len(state()) == len(want) + 1
+
+
+def test_own_importer_is_asked(spark):
+    """live.land fetches what a user's importer accepts, and the run reads it with a user's transformer."""
+    from corpusflow.options import ListingOptions
+    from corpusflow.plans import live
+    from corpusflow.workers import ship_by_value
+
+    ship_by_value(__name__)
+    feeds = parts.Importer("feed", lambda url: F.endswith(url, F.lit(".rss")))
+    df = spark.createDataFrame([("https://a.org/x.rss",), ("https://a.org/gone.rss",), ("https://c.org/other",)], "raw_url string")
+
+    def answer(url):
+        return (404, {}, "") if "gone" in url else (200, {"Content-Type": ["rss"]}, "one two")
+
+    fetched = live.land(df, answer, ListingOptions(pause=0), importers=[feeds])
+    assert [(r.raw_url, r.error) for r in fetched.rejects.collect()] == [("https://c.org/other", "ErrNoImporterCanHandle")]
+    reader = parts.Transformer("feed", lambda d: F.contains(d["headers"], F.lit("rss")), lambda d: d.withColumn("content", F.upper("body")))
+    run = ingest.process_sources(fetched.landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS, transformers=[reader])
+    assert [r.body for r in run.chunks.collect()] == ["ONE TWO"]
+    assert [(r.stage, r.key, r.error) for r in run.import_rejects[0].collect()] == [("fetch", "https://a.org/gone.rss", "ErrUnexpectedStatusCode")]
