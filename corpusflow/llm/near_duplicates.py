@@ -239,9 +239,8 @@ def _remaining_links(open_members: DataFrame, marks: DataFrame, sets: DataFrame,
     return _confirmed(pairs, marks, sets, percent).union(_neighbourhood_links(hoods, marks, sets, percent))
 
 
-def _with_components(members: DataFrame, links: DataFrame) -> DataFrame:
+def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     """members with the component of their node, for the bands that hold more than one."""
-    labels = connected_components(links)
     labelled = members.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     return labelled.join(mixed.select("key"), "key", "left_semi")
@@ -276,8 +275,8 @@ def near_duplicates(
     sets = source.mapInArrow(trimmed(_set_rows(shingle, bitmap_of(nodes))), "doc long, members array<long>")
     sets = materialize(sets.join(nodes, F.col("doc") == F.col("node"), "left_semi"), "sets")
 
-    spark = docs.sparkSession
-    open_members, links = members.withColumn("component", F.col("node")), spark.createDataFrame([], "a long, b long")
+    # What is linked so far is kept as stars around the components' smallest nodes, which later rounds only add to.
+    open_members, linked = members.withColumn("component", F.col("node")), docs.sparkSession.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS + 1):
         if open_members.isEmpty():
             break
@@ -290,18 +289,16 @@ def near_duplicates(
             )
             met = open_members.join(middles, "key").where("component <> of")
             pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-            fresh = _confirmed(pairs, marks, sets, percent)
+            linked = connected_components(linked.union(_confirmed(pairs, marks, sets, percent)))
         else:
-            fresh = _remaining_links(open_members, marks, sets, percent)
-        links = materialize(links.union(fresh), "links")
-        if turn == ROUNDS:
+            linked = linked.union(_remaining_links(open_members, marks, sets, percent))
             break
         rest = open_members.join(middles.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
-        open_members = materialize(_with_components(rest, links), "open")
+        open_members = materialize(_with_components(rest, linked), "open")
 
     several = known.groupBy("doc").agg(F.count("*").alias("rows")).where("rows > 1").select("doc")
     own = known.join(several, "doc", "left_semi").join(classes, "set_key").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
-    labels = connected_components(links.union(own)).toDF("rep", "component")
+    labels = connected_components(linked.union(own)).toDF("rep", "component")
     roots = classes.join(labels, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("root"))
     return (
         signed.select("doc", "n_shingles", "set_key")
