@@ -20,13 +20,14 @@ from pyspark.sql import types as T
 
 from corpusflow.llm.training import Adam, sampled
 from corpusflow.llm.words import groups
-from corpusflow.workers import ship_by_value
+from corpusflow.session import materialize
+from corpusflow.workers import ship_by_value, trimmed
 
 ship_by_value(__name__)
 
 WINDOW, DIMENSIONS, WIDTHS, FILTERS = 128, 8, (2, 3, 4), 12
-#: Learning takes the most frequent languages, so many rows of each and so many windows of a row, evenly spaced.
-LANGUAGES, ROWS_PER_LANGUAGE, WINDOWS_PER_ROW = 200, 800, 4
+#: Learning takes so many rows of each language, and of all windows of these rows so many.
+ROWS_PER_LANGUAGE, WINDOWS_PER_LANGUAGE = 800, 3200
 EPOCHS, BATCH, RATE = 6, 128, 0.01
 UNDETERMINED = "und"
 #: Windows that are worked on together.
@@ -160,35 +161,34 @@ def fit(windows: np.ndarray, names: list[str]) -> Model:
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """language and evenly spaced windows of the rows to learn from; texts without a letter have none."""
+    """language, key and window for all windows of the rows to learn from; texts without a letter have none."""
     for batch in batches:
-        for row, data, offsets in groups(batch.column(1)):
+        for row, data, offsets in groups(batch.column(2)):
             windows, first = windows_of(data, offsets)
-            letters = has_letter(data, offsets)
-            owners, found = [], []
-            for i, (begin, end) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                if letters[i]:
-                    for at in np.unique(np.linspace(begin, end - 1, WINDOWS_PER_ROW).astype(np.int64)):
-                        owners.append(row + i)
-                        found.append(windows[at].tobytes())
-            names = batch.column(0).take(pa.array(owners, pa.int64()))
-            yield pa.RecordBatch.from_arrays([names, pa.array(found, pa.binary())], ["lang", "window"])
+            count = np.diff(first) * has_letter(data, offsets)
+            owner = np.repeat(np.arange(len(count)), count)
+            inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            ids = batch.column(0).take(pa.array(owner + row, pa.int64()))
+            keys = pa.array([f"{i}:{n}" for i, n in zip(ids.to_pylist(), inside.tolist(), strict=True)], pa.string())
+            found = pa.array([w.tobytes() for w in windows[first[owner] + inside]], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(owner + row, pa.int64())), keys, found], ["lang", "key", "window"])
 
 
 def learn(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """A model from texts with a language: at most ROWS_PER_LANGUAGE rows of each of the LANGUAGES most frequent.
+    """A model from texts with a language: of every language at most ROWS_PER_LANGUAGE rows and WINDOWS_PER_LANGUAGE of their windows.
 
-    Rows without text, language or id are left out, and chosen by the hash of their id.
+    Both are chosen by hash, any place of any text as likely as another. Rows without text, language or id are left out.
     """
     known = docs.select(F.col(doc).alias("_id"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
     known = known.where("_id is not null and _text is not null and _lang is not null")
-    common = known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES)
-    # Both are of fixed size, so they may go to every task.
-    ids = sampled(known.select("_id", "_lang").join(F.broadcast(common), "_lang", "left_semi"), "_lang", "_id", ROWS_PER_LANGUAGE)
-    rows = known.join(F.broadcast(ids), ["_id", "_lang"], "left_semi").select("_lang", "_text")
-    table = rows.mapInArrow(_window_rows, "lang string, window binary").toArrow().sort_by([("lang", "ascending"), ("window", "ascending")])
-    windows = np.frombuffer(b"".join(table["window"].to_pylist()), np.uint8).reshape(-1, WINDOW)
-    return fit(windows, table["lang"].to_pylist())
+    ids = sampled(known.select("_id", "_lang"), "_lang", "_id", ROWS_PER_LANGUAGE)
+    # So many ids a language that they may go to every task.
+    rows = known.join(F.broadcast(ids), ["_id", "_lang"], "left_semi").select(F.col("_id").cast("string"), "_lang", "_text")
+    windows = materialize(rows.mapInArrow(trimmed(_window_rows), "lang string, key string, window binary"), "language_windows")
+    some = sampled(windows, "lang", "key", WINDOWS_PER_LANGUAGE).select("lang", "window")
+    table = some.toArrow().sort_by([("lang", "ascending"), ("window", "ascending")])
+    chosen = np.frombuffer(b"".join(table["window"].to_pylist()), np.uint8).reshape(-1, WINDOW)
+    return fit(chosen, table["lang"].to_pylist())
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -196,11 +196,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     Null texts and texts without a letter are undetermined with score 1; so is all
     with score 0 where no language was learned. Ties go to the language first in the
-    alphabet. Columns of docs called lang_pred or score are replaced.
+    alphabet. Columns of docs called lang_pred or score, in any case, are replaced.
     """
     # Plain arrays travel, so that executors need no copy of this package.
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,4 +226,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     kept = docs.select(*names)
     fields = [*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return kept.mapInArrow(run, T.StructType(fields))
+    return kept.mapInArrow(trimmed(run), T.StructType(fields))

@@ -431,3 +431,81 @@ def test_long_white_space(frame, spark):
     assert got[3]["ids"] == library.encode_ordinary(long[3])
     none = spark.createDataFrame([], "doc_id long, text string")
     assert byte_bpe.encode(none, "text", "ids", *RANKS, decoded="raw").count() == byte_bpe.decode(none.selectExpr("array(1) as ids"), "ids", "raw", *RANKS).count() == 0
+
+
+# ---- the classifiers' batched passes against plain ones
+
+
+def test_toxicity_forward_pass():
+    """Words, filters and pooling written out window by window."""
+    rng = np.random.default_rng(1)
+    params = toxicity._initial([], np.zeros(0, np.int64), rng)
+    params = {k: rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in params.items()}
+    params["embedding"][0] = 0
+    model = toxicity.Model(params, np.array([0.1, -0.2, 0.3, 0.0, 0.2]))
+    texts = [rng.integers(1, toxicity.BUCKETS, (n, 3)) for n in (1, 2, 3, 50, 5000)]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    language = np.array([0, 1, 2, 3, 4])
+    got = model.scores(np.concatenate(texts), first, language)
+    for i, words in enumerate(texts):
+        vectors = [sum(params["embedding"][b].astype(float) for b in word) for word in words] + [np.zeros(toxicity.DIMENSIONS)] * 2
+        pooled = []
+        for w in toxicity.WIDTHS:
+            kernel = params[f"w{w}"].reshape(w, toxicity.DIMENSIONS, toxicity.FILTERS)
+            windows = [sum(vectors[at + j] @ kernel[j] for j in range(w)) for at in range(len(words))]
+            pooled.append(np.max(windows, axis=0))
+        hidden = np.maximum(np.concatenate(pooled) + params["bias"], 0)
+        logit = hidden @ params["out"] + params["out_bias"][0] - model.thresholds[language[i]]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-logit)), rel=1e-3, abs=1e-5)
+
+
+def test_language_forward_pass():
+    rng = np.random.default_rng(2)
+    size = len(language_cnn.WIDTHS) * language_cnn.FILTERS
+    shapes = {"embedding": (language_cnn._CLASSES, language_cnn.DIMENSIONS), "out": (size, 3), "bias": (3,)}
+    shapes |= {f"w{w}": (w * language_cnn.DIMENSIONS, language_cnn.FILTERS) for w in language_cnn.WIDTHS}
+    params = {k: rng.normal(0, 0.4, v).astype(np.float32) for k, v in shapes.items()}
+    model = language_cnn.Model(["a", "b", "c"], params)
+    windows = rng.integers(0, 40, (6, language_cnn.WINDOW)).astype(np.uint8)
+    got = model.probabilities(windows, model.tables())
+    for i, window in enumerate(windows):
+        vectors = params["embedding"][window].astype(float)
+        pooled = []
+        for w in language_cnn.WIDTHS:
+            kernel = params[f"w{w}"].reshape(w, language_cnn.DIMENSIONS, language_cnn.FILTERS)
+            answers = [sum(vectors[at + j] @ kernel[j] for j in range(w)) for at in range(len(window) - w + 1)]
+            pooled.append(np.max(answers, axis=0))
+        logits = np.concatenate(pooled) @ params["out"] + params["bias"]
+        want = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        assert got[i] == pytest.approx(want, rel=1e-3, abs=1e-5)
+
+
+def test_a_toxic_passage_late_in_a_long_text(spark):
+    """It counts in learning and in calibration, however long the text."""
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(i, 9000 if i % 8 == 0 else 60)
+        rows.append((i, words + (" vileword nasty" if i % 4 == 0 else "")))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    fresh = [(1, prose(900, 60)), (2, prose(901, 20_000) + " nasty vileword"), (3, prose(902, 20_000)), (4, "vileword nasty " + prose(903, 60))]
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(spark.createDataFrame(fresh, "doc_id long, text string"), model).collect()}
+    assert got == {1: 0, 2: 1, 3: 0, 4: 1}
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any list of the most frequent would hold."""
+    alphabets = {f"l{i:03d}": [chr(0x4E00 + 16 * i + j) for j in range(16)] for i in range(250)}
+    rnd = random.Random(3)
+    rows = [(n * 4 + k, "".join(rnd.choice(a) for _ in range(60)), name) for n, (name, a) in enumerate(alphabets.items()) for k in range(4)]
+    model = language_cnn.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.names == sorted(alphabets)
+
+
+def test_names_in_another_case(spark):
+    docs = spark.createDataFrame([(1, "some words of a text", "x", "y", "z")], "doc_id long, text string, Score string, PREDICTED string, Lang_Pred string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.score(docs, toxicity.learn(docs, labels)).select("score", "predicted").count() == 1
+    learned = language_cnn.learn(docs.withColumn("lang", F.lit("en")))
+    assert language_cnn.identify(docs, learned).select("score", "lang_pred").count() == 1
