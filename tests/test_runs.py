@@ -337,3 +337,43 @@ def test_own_importer_is_asked(spark):
     run = ingest.process_sources(fetched.landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS, transformers=[reader])
     assert [r.body for r in run.chunks.collect()] == ["ONE TWO"]
     assert [(r.stage, r.key, r.error) for r in run.import_rejects[0].collect()] == [("fetch", "https://a.org/gone.rss", "ErrUnexpectedStatusCode")]
+
+
+def test_requests_stay_within_their_tokens(spark, tmp_path):
+    """Texts are packed by tokens and by number; one beyond the limit is not sent."""
+    log = str(tmp_path)
+
+    def model(batch):
+        import uuid
+
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as out:
+            out.write(json.dumps(batch))
+        return [[float(len(t)), 0.0] for t in batch]
+
+    bodies = [" ".join(["w"] * n) for n in (3, 4, 5, 10, 1, 1, 1, 1, 1, 11, 2)] + [None, " "]
+    embedder = embedding.Embedder("m", 2, 10, model, batch_size=4)
+    got = {r.id: (r.vector, r.error) for r in embedding.embed(chunk_frame(spark, bodies).coalesce(1), embedder).collect()}
+    assert got["c9"] == (None, "ErrTooManyTokens") and "c11" not in got
+    assert all(got[f"c{i}"] == ([float(len(b)), 0.0], None) for i, b in enumerate(bodies[:11]) if i != 9)
+    sent = [json.loads(p.read_text()) for p in tmp_path.iterdir()]
+    assert all(sum(len(t.split()) for t in batch) <= 10 and len(batch) <= 4 for batch in sent)
+    assert sorted(len(b) for b in sent) == [1, 1, 2, 3, 4]
+    assert list(embedding.requests([], embedder)) == [] and list(embedding.requests([99, 99], embedder)) == [(0, 1), (1, 2)]
+
+
+def test_a_request_is_tried_again(spark, tmp_path):
+    marker = str(tmp_path / "n")
+
+    def flaky(batch):
+        with open(marker, "a") as out:
+            out.write("x")
+        with open(marker) as seen:
+            if len(seen.read()) < 3:
+                raise ConnectionError("busy")
+        import numpy as np
+
+        return np.ones((len(batch), 2), np.float32)
+
+    embedder = embedding.Embedder("m", 2, 100, flaky, retries=3, pause=0)
+    got = embedding.embed(chunk_frame(spark, ["a", "b"]).coalesce(1), embedder).collect()
+    assert [(r.vector, r.error) for r in got] == [([1.0, 1.0], None)] * 2

@@ -5,12 +5,8 @@ from corpusflow.plans import parts
 
 
 def test_post_endpoint(values):
-    good = [
-        "https://example.com/wp-json/wp/v2/posts",
-        "https://example.com/blog/wp-json/wp/v2/posts",
-        "https://example.com/wp-json/wp/v2/posts?per_page=10",
-    ]
-    bad = ["https://example.com/api/posts", "https://example.com/posts", "://invalid-url", None]
+    good = ["https://news.test/wp-json/wp/v2/media", "http://w.test/de/wp-json/", "https://w.test/wp-json/wp/v2/pages?page=4&order=asc"]
+    bad = ["https://news.test/feed.xml", "https://w.test/wp_json", "http//no-scheme", None]
     assert values(good + bad, urls.is_post_endpoint) == [True] * 3 + [False] * 4
 
 
@@ -29,14 +25,14 @@ def test_malformed_escape_is_an_error(values):
 
 def test_repository_urls(spark):
     cases = {
-        "https://github.com/owner/repo": ("owner", "repo", "main", None),
-        "https://github.com/owner/repo/tree/v1.0.0": ("owner", "repo", "v1.0.0", None),
-        "https://github.com/owner/repo/": ("owner", "repo", "main", None),
-        "https://api.github.com/repos/owner/repository": ("repos", "owner", "main", None),
-        "https://gitlab.com/owner/repo": (None, None, None, "ErrNotGitHubURL"),
-        "https://github.com/owner": (None, None, None, "ErrInvalidGitHubURLFormat"),
-        "https://github.com//owner": (None, None, None, "ErrInvalidGitHubURLFormat"),
-        "://invalid": (None, None, None, "ErrInvalidURL"),
+        "https://github.com/ada/engine": ("ada", "engine", "main", None),
+        "https://github.com/ada/engine/tree/notes-2": ("ada", "engine", "notes-2", None),
+        "https://github.com/x1/y2/": ("x1", "y2", "main", None),
+        "https://api.github.com/gists/77": ("gists", "77", "main", None),
+        "https://codeberg.test/ada/engine": (None, None, None, "ErrNotGitHubURL"),
+        "https://github.com/ada/": (None, None, None, "ErrInvalidGitHubURLFormat"),
+        "https://github.com//engine": (None, None, None, "ErrInvalidGitHubURLFormat"),
+        "http//no-scheme": (None, None, None, "ErrNotGitHubURL"),
     }
     df = spark.createDataFrame([(u,) for u in cases], "raw_url string")
     got = {r.raw_url: (r.owner, r.repo, r.ref, r.repo_error) for r in urls.with_repo(df).collect()}
@@ -60,36 +56,36 @@ def test_stored_routing(values):
 
 
 def test_file_path(values):
-    base = "https://github.com/owner/repo/"
+    base = "https://github.com/ada/engine/"
     cases = {
-        base + "blob/main/src/main.go": "src/main.go",
-        base + "blob/main/README.md": "README.md",
-        base + "blob/feature/new-feature/file.txt": "new-feature/file.txt",
-        base + "tree/main/src": "",
-        "https://github.com/owner": "",
+        base + "blob/dev/lib/gears/wheel.rs": "lib/gears/wheel.rs",
+        base + "blob/dev/LICENSE": "LICENSE",
+        base + "blob/fix/typo/notes.txt": "typo/notes.txt",
+        base + "raw/dev/a.txt": "",
+        "https://github.com/ada": "",
         "": "",
     }
     assert values(list(cases), paths.file_path) == list(cases.values())
 
 
 def test_repository_of_blob_url(values):
-    url = ["https://github.com/o/r/blob/feature/new-feature/file.go", "https://github.com/o/r/tree/main", "https://x"]
-    assert values(url, paths.branch) == ["feature/new-feature", None, None]
+    url = ["https://github.com/o/r/blob/fix/typo/wheel.rs", "https://github.com/o/r/commits/main", "https://x"]
+    assert values(url, paths.branch) == ["fix/typo", None, None]
     assert values(url, paths.owner) == ["o", "o", None]
 
 
 def test_path_pieces(values):
-    names = ["src/main.go", ".gitignore", "a.b/README", "x.tar.gz", ""]
-    assert values(names, paths.extension) == [".go", ".gitignore", "", ".gz", ""]
-    assert values(names, paths.base_name) == ["main.go", ".gitignore", "README", "x.tar.gz", "."]
-    assert values(names, paths.directory) == ["src", None, "a.b", None, None]
+    names = ["lib/wheel.rs", ".profile", "v1.2/NOTES", "data.csv.zst", ""]
+    assert values(names, paths.extension) == [".rs", ".profile", "", ".zst", ""]
+    assert values(names, paths.base_name) == ["wheel.rs", ".profile", "NOTES", "data.csv.zst", "."]
+    assert values(names, paths.directory) == ["lib", None, "v1.2", None, None]
 
 
 def test_exclusions_and_extensions(values):
-    names = [".git/config", "src/__pycache__/a.py", ".DS_Store", "src/distance.py", "README.MD"]
+    names = ["deep/.git/HEAD", "node_modules/left/pad.js", "x/.DS_Store", "lib/distance.py", "NOTES.Md"]
     assert values(names, paths.is_excluded) == [True, True, True, True, False]
     assert values(names, lambda c: paths.is_excluded(c, match="segment")) == [True, True, True, False, False]
-    assert values(["README.MD", "a.py", "Dockerfile", "a.png", "a.exe"], paths.is_importable) == [True, True, False, False, False]
+    assert values(["NOTES.Md", "wheel.py", "Justfile", "logo.gif", "run.bin"], paths.is_importable) == [True, True, False, False, False]
 
 
 def test_code_language(values):
