@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.columns import SPACES, lower_ascii
+from corpusflow.llm.columns import SPACES, free_name, lower_ascii
 
 
 def line_key(line: Column) -> Column:
@@ -72,20 +72,22 @@ def dedup_lines(
     Null text counts as empty, which is one empty line. Rows with a null id are
     one document, smaller than all others. Rows that share an id are one
     document when documents are counted, and each row keeps its own text.
-    Columns of docs called n_lines or n_dropped are replaced. No rows give no rows.
+    Columns of docs called n_lines or n_dropped, in any case, are replaced; all others stay, whatever
+    their names. No rows give no rows.
     """
-    found = dropped_positions(docs, doc, text, min_chars, min_docs).toDF("_doc", "_version", "_dropped")
+    of, version, dropped = (free_name(docs, n) for n in ("_doc", "_version", "_dropped"))
+    found = dropped_positions(docs, doc, text, min_chars, min_docs).toDF(of, version, dropped)
     whole = F.coalesce(F.col(text), F.lit(""))
     joined = docs.join(
         found.hint("shuffle_hash"),
-        F.col(doc).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_version")),
+        F.col(doc).eqNullSafe(F.col(of)) & (F.xxhash64(text) == F.col(version)),
         "left",
     )
-    kept = F.array_join(_without(F.split(whole, "\n", -1), F.col("_dropped")), "\n")
+    kept = F.array_join(_without(F.split(whole, "\n", -1), F.col(dropped)), "\n")
     return joined.withColumns(
         {
             "n_lines": (F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1).cast("long"),
-            "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
-            text: F.when(F.col("_dropped").isNull(), whole).otherwise(kept),
+            "n_dropped": F.coalesce(F.size(dropped), F.lit(0)).cast("long"),
+            text: F.when(F.col(dropped).isNull(), whole).otherwise(kept),
         }
-    ).drop("_doc", "_version", "_dropped")
+    ).drop(of, version, dropped)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.columns import SPACES
+from corpusflow.llm.columns import SPACES, free_name
 from corpusflow.llm.numbering import numbered
 from corpusflow.session import materialize
 
@@ -104,9 +104,7 @@ def repetitions(
     of the four names, in any case, are replaced. No rows give no rows.
     """
     added = ["source_size", "target", "rate", "copies"]
-    of = f"_source_{len(docs.columns)}"
-    while of in map(str.lower, docs.columns):
-        of += "_"
+    of = free_name(docs, "_source")
     targets = materialize(source_targets(docs, text, source, weights, percent, most), "mixing_targets")
     rates = targets.select(F.col("source").alias(of), *added[:3])
     joined = docs.drop(*added).join(rates, F.col(f"`{source}`").eqNullSafe(F.col(of))).drop(of)
