@@ -266,14 +266,11 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["type", "inside", "outside"])
 
 
-#: Types of words and tags that get a weight of their own: the most frequent ones.
-TYPES = 5000
-
-
 def learn(pages: DataFrame, page: str = "page_id", html: str = "html") -> dict[str, float]:
     """Weights from at most LABELLED_PAGES pages, of those that mark their content by one article or main element.
 
-    Without such pages there are none, and every word and tag has the weight of the unknown.
+    Pages are chosen by the hash of their id; rows that share an id are chosen together, and rows without one take no
+    part. Without labelled pages there are no weights, and every word and tag has the weight of the unknown.
     """
     ids = pages.where(F.col(page).isNotNull()).select(F.col(page).alias("_id")).distinct()
     # So few ids that they may go to every task.
@@ -281,17 +278,17 @@ def learn(pages: DataFrame, page: str = "page_id", html: str = "html") -> dict[s
     some = pages.select(F.col(page).alias("_id"), F.col(html).alias("_html")).join(F.broadcast(chosen), "_id", "left_semi")
     counted = some.select("_html").mapInArrow(_count_rows, "type string, inside long, outside long").groupBy("type")
     sums = counted.agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-    common = sums.orderBy(F.desc(F.col("inside") + F.col("outside")), "type").limit(TYPES).collect()
-    return weights({r["type"]: (r["inside"], r["outside"]) for r in common})
+    # Types of at most LABELLED_PAGES pages, in an order that does not depend on the tasks.
+    return weights({r["type"]: (r["inside"], r["outside"]) for r in sums.orderBy("type").collect()})
 
 
 def extract(pages: DataFrame, known: dict[str, float], html: str = "html", out: str = "text") -> DataFrame:
     """pages with the main text of each in a column, empty where there is none.
 
-    Null html counts as empty. A column of pages called as out is replaced; rows are
+    Null html counts as empty. A column of pages called as out, in any case, is replaced; rows are
     independent of each other.
     """
-    names = [c for c in pages.columns if c != out]
+    names = [c for c in pages.columns if c.lower() != out.lower()]
     at = names.index(html)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
