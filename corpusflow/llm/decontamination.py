@@ -33,20 +33,38 @@ ship_by_value(__name__)
 HITS = 2
 
 
-def _shingle_rows(shingle: int, sketch: np.ndarray | None, full: np.ndarray | None):
-    """id and distinct shingle hashes of each row; with bitmaps, of rows with a sketch hit those that items have."""
+def _length_rows(shingle: int):
+    """The word counts of the rows that have fewer than a shingle's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in groups(batch.column(1)):
+                length = np.diff(word_hashes(data, offsets, ALPHANUMERIC)[3])
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(length[(length > 0) & (length < shingle)]))], ["words"])
+
+    return run
+
+
+def _shingle_rows(shingle: int, sketch: np.ndarray | None, full: np.ndarray | None, short: tuple[int, ...] = ()):
+    """id and distinct shingle hashes of each row; with bitmaps, of rows with a sketch hit those that items have.
+
+    short: lengths of items that have fewer words than a shingle, at which rows are searched as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first_row, data, offsets in groups(batch.column(1)):
                 words, _, _, first = word_hashes(data, offsets, ALPHANUMERIC)
                 runs = shingle_hashes(words, shingle)
+                # An item's words as one shingle are hashed with their number, so are all runs of that length.
+                shorter = {n: shingle_hashes(words + np.uint64(n), n) for n in short}
                 hit = None if sketch is None else np.concatenate([[0], np.cumsum(bitmap_hits(sketch, runs))])
                 kept, sets = [], []
                 for row, (begin, end) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                    if hit is not None and end - begin >= shingle and hit[end - shingle + 1] == hit[begin]:
+                    if hit is not None and not short and end - begin >= shingle and hit[end - shingle + 1] == hit[begin]:
                         continue
-                    found = np.unique(shingles_of(words, runs, begin, end, shingle))
+                    parts = [r[begin : max(begin, end - n + 1)] for n, r in shorter.items()]
+                    found = np.unique(np.concatenate([shingles_of(words, runs, begin, end, shingle), *parts]))
                     if sketch is not None:
                         if not bitmap_hits(sketch, found).any():
                             continue
@@ -60,9 +78,9 @@ def _shingle_rows(shingle: int, sketch: np.ndarray | None, full: np.ndarray | No
     return run
 
 
-def _shingles(rows: DataFrame, key: str, text: str, shingle: int, sketch=None, full=None) -> DataFrame:
+def _shingles(rows: DataFrame, key: str, text: str, shingle: int, sketch=None, full=None, short=()) -> DataFrame:
     found = rows.select(F.col(key).cast("long"), F.col(text)).mapInArrow(
-        trimmed(_shingle_rows(shingle, sketch, full)), "id long, hashes array<long>"
+        trimmed(_shingle_rows(shingle, sketch, full, short)), "id long, hashes array<long>"
     )
     return found.select("id", F.explode("hashes").alias("hash")).distinct()
 
@@ -93,15 +111,18 @@ def contained_items(
     """(doc, item, n_common, n_item): the documents that hold at least percent of an item's shingles.
 
     Words are runs of ASCII letters and digits and of all that is not ASCII, A-Z
-    lower-cased; a set holds the distinct runs of so many words, or all words as
-    one where a text has fewer. Null and blank texts have empty sets and match
-    nothing. Rows that share an id are one document or item with the shingles of
+    lower-cased; an item's set holds its distinct runs of so many words, or all words as
+    one run where it has fewer, which is then searched at its own length in every document. Null and
+    blank texts have empty sets and match nothing. Rows that share an id are one document or item with the shingles of
     all of them, null being an id as well. Other columns are left out.
     """
     known = materialize(sketched_items(items, item, item_text, shingle, percent), "items")
     sketch = bitmap_of(known.where("in_sketch").select("hash"))
     full = bitmap_of(known.select("hash"))
-    held = _shingles(docs, doc, text, shingle, sketch, full)
+    # At most one number for each length below a shingle's.
+    lengths = items.select(F.col(item).cast("long"), F.col(item_text)).mapInArrow(trimmed(_length_rows(shingle)), "words long")
+    short = tuple(sorted(r["words"] for r in lengths.distinct().collect()))
+    held = _shingles(docs, doc, text, shingle, sketch, full, short)
     met = held.join(known, "hash").groupBy("id", "item", "size", "due").agg(
         F.count("*").alias("n_common"), F.count_if("in_sketch").alias("hits")
     )

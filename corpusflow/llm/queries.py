@@ -216,11 +216,9 @@ _WORDS = (
     with texts as (
         select 'd' as kind, doc_id as id, {_WORDS} as words from documents where text is not null
         union all select 'i', item_id, {_WORDS} from benchmark where text is not null
-    ), shingles as (
-        select distinct kind, id,
-               unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' ')))
-                   as shingle
-        from texts where len(words) > 0
+    ), sizes as (select distinct least(len(words), 5) as k from texts where kind = 'i' and len(words) > 0), shingles as (
+        select distinct kind, id, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) as shingle
+        from texts, sizes where len(words) >= k and (kind = 'd' or k = least(len(words), 5))
     ), items as (select id, count(*) as n from shingles where kind = 'i' group by id)
     select d.id as doc_id, i.id as item_id, count(*) as n_common, any_value(n) as n_item
     from shingles d join shingles i on d.shingle = i.shingle join items on items.id = i.id

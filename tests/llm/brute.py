@@ -39,15 +39,16 @@ def near_duplicates(rows, size, percent=80):
 
 
 def contained(docs, items, size=5, percent=80):
-    """{(doc, item): (common, item size)}."""
-    wanted = {i: shingles(t, size, True) for i, t in items}
+    """{(doc, item): (common, item size)}; an item of fewer words is searched at its own length."""
+    wanted = {i: (min(size, len(words(t, True))), shingles(t, size, True)) for i, t in items}
     out = {}
     for d, t in docs:
-        held = shingles(t, size, True)
-        for i, s in wanted.items():
-            n = len(s & held)
-            if s and 100 * n >= percent * len(s):
-                out[d, i] = (n, len(s))
+        w = words(t, True)
+        held = {n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} for n in {n for n, _ in wanted.values()} if n}
+        for i, (n, s) in wanted.items():
+            common = len(s & held[n]) if s else 0
+            if s and 100 * common >= percent * len(s):
+                out[d, i] = (common, len(s))
     return out
 
 

@@ -509,3 +509,20 @@ def test_names_in_another_case(spark):
     assert toxicity.score(docs, toxicity.learn(docs, labels)).select("score", "predicted").count() == 1
     learned = language_cnn.learn(docs.withColumn("lang", F.lit("en")))
     assert language_cnn.identify(docs, learned).select("score", "lang_pred").count() == 1
+
+
+def test_items_of_few_words(spark):
+    """Found inside longer documents at their own length, against the plain version."""
+    rnd = random.Random(8)
+    docs = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(12)))) for i in range(150)] + [(900, None), (901, "secret code alpha in a longer text")]
+    items = [(1, "a b"), (2, "Secret-code alpha"), (3, "h"), (4, "a b c d"), (5, "a b c d e f"), (6, ""), (7, None), (8, "zz")]
+    frames = [spark.createDataFrame(rows, f"{key} long, text string") for rows, key in ((docs, "doc_id"), (items, "item_id"))]
+    got = {(r["doc_id"], r["item_id"]): (r["n_common"], r["n_item"]) for r in decontamination.contained_items(*frames).collect()}
+    assert got == brute.contained(docs, items) and (901, 2) in got
+
+
+def test_private_names_of_lines(spark):
+    docs = spark.createDataFrame([(i, "a line that many documents hold\nown", "x", "y", "z", "q") for i in range(3)], "doc_id long, text string, _doc string, _VERSION string, _dropped string, N_Lines string")
+    got = lines.dedup_lines(docs)
+    assert got.columns == ["doc_id", "text", "_doc", "_VERSION", "_dropped", "n_lines", "n_dropped"]
+    assert sorted((r["doc_id"], r["n_dropped"], r["_doc"], r["_VERSION"], r["_dropped"]) for r in got.collect()) == [(0, 1, "x", "y", "z"), (1, 1, "x", "y", "z"), (2, 0, "x", "y", "z")]
