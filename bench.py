@@ -17,8 +17,11 @@ HEADLINE = [
     "chunk_overlap",
     "chunk_links",
     "chunk_reassembly",
+    "chunk_heading",
+    "chunk_recursive",
     "language_heuristic",
     "language_profile",
+    "language_ngrams",
     "html_to_markdown",
     "post_content",
     "post_metadata",

@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from urllib.parse import urlsplit
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition
 
 from corpusflow.options import ListingOptions
-from corpusflow.sources.fetch import PAGE_SCHEMA, FetchFn, _fetch_one, walk
+from corpusflow.sources.fetch import PAGE_SCHEMA, FetchFn, Pace, _fetch_one, pace, walk
 from corpusflow.workers import ship_by_value
 
 ship_by_value(__name__)
@@ -72,7 +72,7 @@ class Items(InputPartition):
 
 
 class _ListingReader(DataSourceReader):
-    def __init__(self, fetch_fn: FetchFn, endpoints: list[str], options: ListingOptions):
+    def __init__(self, fetch_fn: FetchFn, endpoints: list[str], options: Pace):
         self.fetch_fn, self.endpoints, self.options = fetch_fn, endpoints, options
 
     def pushFilters(self, filters):
@@ -97,7 +97,7 @@ class _ListingStream(DataSourceStreamReader):
     costs few requests however long the listing is.
     """
 
-    def __init__(self, fetch_fn: FetchFn, endpoints: list[str], options: ListingOptions):
+    def __init__(self, fetch_fn: FetchFn, endpoints: list[str], options: Pace):
         self.fetch_fn, self.endpoints, self.options = fetch_fn, endpoints, options
         self.known: dict[str, int] = {}
 
@@ -151,7 +151,7 @@ class _ListingStream(DataSourceStreamReader):
 
 
 class _ItemReader(DataSourceReader):
-    def __init__(self, fetch_fn: FetchFn, urls: list[str], options: ListingOptions):
+    def __init__(self, fetch_fn: FetchFn, urls: list[str], options: Pace):
         self.fetch_fn, self.urls, self.options = fetch_fn, urls, options
 
     def pushFilters(self, filters):
@@ -167,10 +167,10 @@ class _ItemReader(DataSourceReader):
             yield _fetch_one(self.fetch_fn, url, self.options.retries, self.options.pause)
 
 
-def _options(given: ListingOptions | None, options: dict) -> ListingOptions:
+def _options(given: ListingOptions | None, options: dict) -> Pace:
     """The options of the class, overridden by those of the read."""
     named = {name: int(options[name]) for name in ("per_page", "max_pages", "concurrency", "retries") if name in options}
-    return replace(given or ListingOptions(), **named)
+    return pace(given)._replace(**named)
 
 
 def listing_source(fetch_fn: FetchFn, options: ListingOptions | None = None, name: str = "api_listing") -> type[DataSource]:

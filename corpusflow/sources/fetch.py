@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,21 @@ FAILED_PAGES, CUT = 5, -1
 _FOR_NOW = frozenset((425, 429))
 
 
+class Pace(NamedTuple):
+    """The listing options as plain values, which tasks read without this package."""
+
+    per_page: int
+    max_pages: int | None
+    concurrency: int
+    retries: int
+    pause: float
+
+
+def pace(options: ListingOptions | None) -> Pace:
+    opts = options or ListingOptions()
+    return Pace(*(getattr(opts, name) for name in Pace._fields))
+
+
 def fetch_listing(
     spark: SparkSession, base_url: str, fetch_fn: FetchFn, options: ListingOptions | None = None
 ) -> DataFrame:
@@ -47,7 +63,7 @@ def fetch_pages(endpoints: DataFrame, fetch_fn: FetchFn, options: ListingOptions
     walks. A request that fails is tried again after a pause; if it still fails it is a page without a good
     status, and the walk goes on behind it. A walk that gives up says so by a page with status CUT.
     """
-    opts = options or ListingOptions()
+    opts = pace(options)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -60,7 +76,7 @@ def fetch_pages(endpoints: DataFrame, fetch_fn: FetchFn, options: ListingOptions
     return firsts.mapInPandas(run, PAGE_SCHEMA)
 
 
-def walk(fetch_fn: FetchFn, base_url: str, first: int, opts: ListingOptions) -> Iterator[tuple]:
+def walk(fetch_fn: FetchFn, base_url: str, first: int, opts: Pace) -> Iterator[tuple]:
     """(base_url, page, status_code, body) of every n-th page from the first, to the end of the listing."""
     page, failed, before = int(first), 0, None
     while failed < FAILED_PAGES:

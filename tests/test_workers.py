@@ -20,8 +20,9 @@ def loads_alone(function, folder):
 def test_no_package_needed(spark, monkeypatch, tmp_path):
     shipped = []
     df = spark.createDataFrame([("https://a.org/p", "id", "body")], "base_url string, id string, body string")
-    real = type(df).mapInPandas
-    monkeypatch.setattr(type(df), "mapInPandas", lambda self, function, schema: shipped.append(function) or real(self, function, schema))
+    for name in ("mapInPandas", "mapInArrow"):
+        real = getattr(type(df), name)
+        monkeypatch.setattr(type(df), name, lambda self, function, schema, real=real: shipped.append(function) or real(self, function, schema))
 
     def answer(url):
         return 200, {}, "[]"
