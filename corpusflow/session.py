@@ -8,7 +8,8 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Settings every job relies on; everything else is the cluster's choice.
 JOB_SETTINGS = {
@@ -72,6 +73,18 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, purpose: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """materialize, with aggregates over the rows taken while they are written: no second reading for them."""
+    seen = Observation()
+    table = materialize(df.observe(seen, *[column.alias(name) for name, column in metrics.items()]), purpose)
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        # Spark left out a plan that it knows to have no rows, and the node that counts with it.
+        found = {}
+    return table, {name: found.get(name) or 0 for name in metrics}
+
+
 def discard_work(spark: SparkSession) -> None:
     """Delete all intermediate results so far; what was computed from them must be stored by then."""
     while _WRITTEN:

@@ -377,3 +377,21 @@ def test_a_request_is_tried_again(spark, tmp_path):
     embedder = embedding.Embedder("m", 2, 100, flaky, retries=3, pause=0)
     got = embedding.embed(chunk_frame(spark, ["a", "b"]).coalesce(1), embedder).collect()
     assert [(r.vector, r.error) for r in got] == [([1.0, 1.0], None)] * 2
+
+
+def test_totals_need_no_second_reading(spark, landed):
+    from corpusflow.session import counted, discard_work, work_dir
+
+    run = ingest.process_sources(landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS)
+    got = {(r["table"], r["metric"]): r["value"] for r in ingest.run_totals(run).collect()}
+    assert got["staged", "rows"] == 4 and got["staged", "failed"] == 2 and got["embedded", "failed"] == 0
+    assert got["chunks", "rows"] == run.chunks.count() == got["embedded", "rows"]
+    assert got["chunks", "tokens"] == run.chunks.agg(F.sum("token_count")).first()[0] and got["staged", "broken_format"] == 0
+    none, totals = counted(spark.createDataFrame([], "n int"), "none", {"rows": F.count("*"), "sum": F.sum("n")})
+    assert none.count() == 0 and totals == {"rows": 0, "sum": 0}
+    from pathlib import Path
+
+    folder = Path(work_dir(spark, "x")).parent
+    assert list(folder.glob("staged-*"))
+    discard_work(spark)
+    assert not list(folder.glob("staged-*"))
