@@ -306,6 +306,23 @@ def test_top_k_repeated_ids(spark, monkeypatch):
         assert [r["vec_id"] for r in got if r["query_id"] == 40].count(1) == 26
 
 
+@pytest.mark.parametrize("size", [1 << 20, 1 << 28, 1 << 34])
+def test_top_k_scores_beyond_doubles(spark, monkeypatch, size):
+    """Products past 2 ** 53 are exact, and past 2 ** 63 where they cancel out."""
+    monkeypatch.setattr(maxscore, "SHARD", 100)
+    rng = np.random.default_rng(size % 97)
+    width = 12
+    rows = [(i, [int(x) for x in rng.integers(-size, size, width)]) for i in range(300)]
+    rows += [(400 + i, [x + (j == 3) * i for j, x in enumerate(rows[7][1])]) for i in range(30)]
+    if size > 1 << 30:
+        # Neighbouring components cancel out, so that scores stay within 64 bits.
+        rows = [(i, [v[j - j % 2] if i % 20 == 0 else v[j - j % 2] * (-1) ** j + j % 2 * (v[j] % 1000) for j in range(width)]) for i, v in rows]
+    candidates, queries = [r for r in rows if r[0] % 20], [r for r in rows if r[0] % 20 == 0]
+    tables = [spark.createDataFrame([(i, [float(x) for x in v]) for i, v in some], "vec_id long, vector array<double>") for some in (candidates, queries)]
+    got = maxscore.top_k(*tables, 20).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == exact(candidates, queries, 20)
+
+
 def test_top_k_deals_a_hot_id_out(spark, monkeypatch):
     monkeypatch.setattr(maxscore, "SHARD", 100)
 
