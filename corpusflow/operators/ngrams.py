@@ -2,8 +2,9 @@
 
 A language's profile is its most frequent n-grams in order. A text's distance from it sums, over the text's own most
 frequent n-grams, how far each is out of place; one that the profile lacks counts as out of it by the whole
-profile. Everything is joins and partial aggregates: words are counted before they are cut into
-n-grams, so of a long text each task sends its distinct words on.
+profile. Profiles are partial aggregates: words are counted before they are cut into n-grams, so each
+task sends its distinct words on. A text's own ranks are made inside its row, by sorting, so that neither its words nor
+its n-grams are shuffled.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.language import words
-from corpusflow.operators.barrier import bound
+from corpusflow.operators.barrier import bound, computed_once
 
 #: N-grams of a profile, and the lengths of an n-gram.
 PROFILE, SIZES = 300, (1, 2, 3)
@@ -43,30 +44,65 @@ def _ranked(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(first) - 1).where(F.col("rank") < most).select(*keys, "gram", "rank")
 
 
+def _counted(sorted_rows: Column) -> Column:
+    """(value, n) of every distinct value of a sorted array."""
+
+    def runs(rows: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(1), F.size(rows)), lambda i: (i == F.size(rows)) | (F.get(rows, i) != F.get(rows, i - 1)))
+
+        def counts(ends: Column) -> Column:
+            begin = lambda at: F.when(at > 0, F.get(ends, at - 1)).otherwise(0)
+            return F.transform(ends, lambda end, at: F.struct(F.get(rows, end - 1).alias("value"), (end - begin(at)).alias("n")))
+
+        return bound(ends, counts)
+
+    return bound(sorted_rows, lambda rows: F.when(F.size(rows) > 0, runs(rows)))
+
+
+def text_ranks(text: Column, most: int = PROFILE) -> Column:
+    """The most frequent n-grams of a text in order, ties in order of their bytes; null for a text without a letter."""
+    grams = F.flatten(F.transform(words(text), _grams))
+    counted = _counted(F.sort_array(grams))
+    ordered = F.sort_array(F.transform(counted, lambda c: F.struct((-c["n"]).alias("less"), c["value"].alias("gram"))))
+    return F.transform(F.slice(ordered, 1, most), lambda c: c["gram"])
+
+
 def learn_profiles(df: DataFrame, text: str, lang: str, most: int = PROFILE) -> DataFrame:
     """language, gram, rank: the profile of every language among the rows that have one."""
     known = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("language"), text)
     return _ranked(gram_counts(known, ["language"], text), ["language"], most)
 
 
+def _one_text(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, text: the texts of a repeated key in one row; most have a single text, which stays where it is."""
+    rows = df.select(key, text)
+    repeated = rows.groupBy(key).agg(F.count("*").alias("_times")).where("_times > 1").select(key)
+    joined = rows.join(repeated, key, "left_semi").groupBy(key).agg(F.array_join(F.collect_list(text), "\n").alias(text))
+    return rows.join(repeated, key, "left_anti").unionByName(joined)
+
+
 def detect(df: DataFrame, key: str, text: str, profiles: DataFrame, most: int = PROFILE) -> DataFrame:
     """key, language, distance: the language whose profile is nearest to each text; ties to the first in the alphabet.
 
-    Both are null for texts without a letter. The key must be unique. The profiles have
+    Both are null for texts without a letter and for a null key. Texts that share a key count as one. The profiles have
     ``most`` rows a language and are joined by n-gram, so a text meets few rows of them.
     """
-    own = _ranked(gram_counts(df, [key], text), [key], most)
+    ranked = computed_once(_one_text(df, key, text), {"_grams": text_ranks(F.col(text), most)})
+    own = ranked.select(key, F.size("_grams").alias("_size"), F.posexplode_outer("_grams").alias("rank", "gram"))
     # An n-gram that a profile lacks is out of place by `most`; hits are counted as what they save of that.
-    near = own.join(profiles.select("gram", "language", F.col("rank").alias("place")), "gram")
-    saved = near.groupBy(key, "language").agg(F.sum(most - F.abs(F.col("rank") - F.col("place"))).alias("saved"))
-    whole = own.groupBy(key).agg((F.count("*") * most).alias("whole"))
+    places = profiles.select("gram", F.col("language").alias("_language"), F.col("rank").alias("_place"))
+    near = own.join(F.broadcast(places), "gram", "left")
+    saved = near.groupBy(key, "_size", "_language").agg(F.sum(most - F.abs(F.col("rank") - F.col("_place"))).alias("_saved"))
     languages = profiles.select("language").distinct()
     # For texts that share nothing with any profile: the first language, at full distance.
     none = languages.agg(F.min("language").alias("language"))
-    best = saved.groupBy(key).agg(F.min(F.struct((-F.col("saved")).alias("less"), F.col("language"))).alias("best"))
-    best = best.select(key, F.col("best.language").alias("_language"), (-F.col("best.less")).alias("_saved"))
-    met = whole.join(best, key, "left").crossJoin(F.broadcast(none))  # one row
+    best = saved.groupBy(key, "_size").agg(
+        F.min(F.when(F.col("_language").isNotNull(), F.struct((-F.col("_saved")).alias("less"), F.col("_language").alias("language")))).alias("best")
+    )
+    met = best.crossJoin(F.broadcast(none))  # one row
     found = met.select(
-        key, F.coalesce("_language", "language").alias("language"), (F.col("whole") - F.coalesce("_saved", F.lit(0))).alias("distance")
+        key,
+        F.when(F.col("_size") > 0, F.coalesce("best.language", "language")).alias("language"),
+        F.when(F.col("_size") > 0, F.col("_size") * F.lit(most).cast("long") + F.coalesce("best.less", F.lit(0))).alias("distance"),
     )
     return df.select(key).join(found, key, "left")

@@ -41,6 +41,25 @@ def test_detection(spark):
     assert ngrams.detect(df.limit(0), "i", "t", profiles).count() == 0
 
 
+def test_detection_moves_no_words(spark):
+    """A text's words and n-grams stay in its row; repeated keys count as one text."""
+    known = [("en", "the house and the garden with the old tree"), ("de", "das haus und der garten mit dem alten baum")]
+    profiles = ngrams.learn_profiles(spark.createDataFrame(known, "l string, t string"), "t", "l").localCheckpoint()
+    rows = [(1, "the tree"), (1, "The garden"), (2, "der baum"), (2, "der baum"), (3, None), (3, "der"), (None, "the")]
+    df = spark.createDataFrame(rows, "i int, t string").localCheckpoint()
+    found = ngrams.detect(df, "i", "t", profiles)
+    merged = ngrams.detect(spark.createDataFrame([(1, "the tree The garden"), (2, "der baum der baum"), (3, "der")], "i int, t string"), "i", "t", profiles)
+    want = {tuple(r) for r in merged.collect()}
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [r for r in want for _ in range(2)] + [(None, None, None)]))
+    # Exchanged are rows of texts and languages, none of n-grams or words.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(" not in plan
+    for text, ranks in {"Tree, été été!": 300, "": 300, "a b a": 2}.items():
+        got = spark.createDataFrame([(text,)], "t string").select(ngrams.text_ranks(F.col("t"), ranks)).first()[0]
+        want = sorted(plain_grams(text).items(), key=lambda x: (-x[1], x[0].encode()))[:ranks]
+        assert got == ([g for g, _ in want] or None)
+
+
 def test_better_than_word_lists(spark):
     """On texts the profiles have not seen, cut to their first words."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
