@@ -170,22 +170,20 @@ select doc_id, status from compared""",
 def stream_updates(spark, folder):
     """The two states of updates_report as crawls of a stream: what the second one changes, and what it no longer has."""
     root, schema = work_dir(spark, "crawls"), "doc_id bigint, text string, ts timestamp"
-    for day, rows in enumerate(_states(spark, folder)):
-        dated = rows.select("doc_id", "text", F.timestamp_seconds(F.lit(_BEGIN + day * _DAY)).alias("ts"))
-        # One file for each crawl, so that it is one batch of the stream.
-        dated.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    crawls = [(rows.select("doc_id", "text"), day * _DAY) for day, rows in enumerate(_states(spark, folder))]
     # A row of another kind carries the time on, past the grace of what was there on the first day only.
-    clock = spark.createDataFrame([(None, None)], "doc_id bigint, text string")
-    clock = clock.withColumn("ts", F.timestamp_seconds(F.lit(_BEGIN + int(1.8 * _DAY))))
-    clock.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    crawls.append((spark.createDataFrame([(None, None)], "doc_id bigint, text string"), int(1.8 * _DAY)))
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_changes.PROVIDER)
     try:
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
-        stream = stream.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-        found = stream_changes.track(stream, "key", "text", "ts", "0 seconds", "36 hours")
-        out = found.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/cp")
-        out.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        # Each crawl lands in as many files as it has tasks, and the stream goes on from its checkpoint: one batch for each.
+        for rows, second in crawls:
+            rows.withColumn("ts", F.timestamp_seconds(F.lit(_BEGIN + second))).write.mode("append").parquet(f"{root}/landing")
+            stream = spark.readStream.schema(schema).parquet(f"{root}/landing")
+            stream = stream.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+            found = stream_changes.track(stream, "key", "text", "ts", "0 seconds", "36 hours")
+            out = found.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/cp")
+            out.outputMode("append").trigger(availableNow=True).start().awaitTermination()
     finally:
         if before is None:
             spark.conf.unset("spark.sql.streaming.stateStore.providerClass")

@@ -395,3 +395,12 @@ def test_totals_need_no_second_reading(spark, landed):
     assert list(folder.glob("staged-*"))
     discard_work(spark)
     assert not list(folder.glob("staged-*"))
+
+
+def test_crawls_of_a_stream_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from corpusflow.checks import update_queries
+
+    monkeypatch.setattr(update_queries, "work_dir", lambda spark, purpose: str(tmp_path / purpose))
+    update_queries.stream_updates(spark, "/root/testdata/sf0.001")
+    landed = spark.read.parquet(str(tmp_path / "crawls" / "landing")).select(F.to_date("ts").alias("day"), F.input_file_name().alias("file"))
+    assert all(r["count"] > 1 for r in landed.distinct().groupBy("day").count().collect())
