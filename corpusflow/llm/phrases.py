@@ -27,7 +27,7 @@ from corpusflow.llm.near_duplicates import bitmap_hits, bitmap_of
 from corpusflow.llm.numbering import numbered
 from corpusflow.llm.words import bounds, fold_case, groups, hash_spans, mix
 from corpusflow.session import materialize
-from corpusflow.workers import ship_by_value
+from corpusflow.workers import ship_by_value, trimmed
 
 ship_by_value(__name__)
 
@@ -180,7 +180,7 @@ def _merged_rows(least: int):
 def _frequent(blocks: DataFrame, sizes: list[int], least: int, words: int, pairs: np.ndarray | None) -> DataFrame:
     """ids, f, pair (hash of the first two words) of the phrases of these sizes that occur so often."""
     bits = max(0, (words // RANGE).bit_length())
-    filters = blocks.mapInArrow(_filter_rows(sizes, bits, pairs), "size int, range long, filter binary")
+    filters = blocks.mapInArrow(trimmed(_filter_rows(sizes, bits, pairs)), "size int, range long, filter binary")
     return filters.groupBy("size", "range").applyInArrow(_merged_rows(least), "ids array<long>, f long, pair long")
 
 
@@ -229,7 +229,7 @@ def collocations(
     read. No rows, or no phrase often enough, give no rows. Words are told apart by 64-bit hashes within a block.
     """
     source = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
-    blocks = materialize(source.mapInArrow(_block_rows, _BLOCKS), "phrase_blocks")
+    blocks = materialize(source.mapInArrow(trimmed(_block_rows), _BLOCKS), "phrase_blocks")
     entries = blocks.where(F.col("word").isNotNull())
     vocabulary = materialize(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase_vocabulary")
     totals = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
@@ -241,7 +241,7 @@ def collocations(
     own = known.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("own"))
     met = blocks.where(F.col("ids").isNotNull()).select("block", "ids").join(own.hint("shuffle_hash"), "block")
     met = met.select("ids", F.col("own.place").alias("places"), F.col("own.id").alias("numbers"))
-    runs = materialize(met.mapInArrow(_translated, "ids binary"), "phrase_runs")
+    runs = materialize(met.mapInArrow(trimmed(_translated), "ids binary"), "phrase_runs")
 
     pairs = materialize(_frequent(runs, [2], least, size, None), "phrase_pairs")
     bits = min(MOST_BITS, max(16, (PAIR_BITS * pairs.count()).bit_length()))
