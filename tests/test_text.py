@@ -121,3 +121,20 @@ def test_vectors(values):
         None, "ErrUnsupportedEmbeddingDim", "ErrNoEmbeddingVector",
     ]
     assert values([[1.0, 2.0], [1.0]], lambda c: vectors.by_dimension(c, dims)["two"], "array<float>") == [[1.0, 2.0], None]
+
+
+def test_markdown_holds_few_texts_of_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from corpusflow.functions import markdown
+
+    batch = pa.array([f"<p>{'word ' * 4000}{i}</p>" for i in range(200)] + [None])
+    tracemalloc.start()
+    out = markdown.converted(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out[7].as_py().endswith("word 7") and out[200].as_py() is None
+    # All texts are 4 MB, and as much again when converted.
+    assert peak < 1_000_000
