@@ -543,3 +543,17 @@ def test_private_names_of_lines(spark):
     got = lines.dedup_lines(docs)
     assert got.columns == ["doc_id", "text", "_doc", "_VERSION", "_dropped", "n_lines", "n_dropped"]
     assert sorted((r["doc_id"], r["n_dropped"], r["_doc"], r["_VERSION"], r["_dropped"]) for r in got.collect()) == [(0, 1, "x", "y", "z"), (1, 1, "x", "y", "z"), (2, 0, "x", "y", "z")]
+
+
+def test_toxicity_learns_from_every_label(spark, monkeypatch):
+    """More labelled texts than one part takes: all train or calibrate, the parts' models become one, and a rerun gives the same."""
+    rows = spark.range(8000).selectExpr("id as doc_id", "concat('word', id % 97, ' text', if(id % 7 = 0, ' vileword', '')) as text", "if(id % 7 = 0, 1, 0) as toxic")
+    with monkeypatch.context() as patched:
+        patched.setattr(toxicity, "fit", lambda found, *more: found.groupBy("label").count().collect())
+        assert {r["label"]: r["count"] for r in toxicity.learn(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))} == {0: 6857, 1: 1143}
+    monkeypatch.setattr(toxicity, "ROWS_PER_PART", 200)
+    some = rows.where("doc_id < 1500")
+    models = [toxicity.learn(some.select("doc_id", "text"), some.select("doc_id", "toxic")) for _ in range(2)]
+    fresh = spark.createDataFrame([(1, "word3 text"), (2, "another vileword here"), (3, "")], "doc_id long, text string")
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.score(fresh, models[0]).collect()} == {1: 0, 2: 1, 3: 0}
+    assert all((models[0].params[k] == models[1].params[k]).all() for k in models[0].params)
