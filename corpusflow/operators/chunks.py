@@ -1,7 +1,7 @@
 """Token chunks of documents.
 
 One narrow projection and one explode: no shuffle, no Python. The cut happens
-inside the row, on the token array, and only finished chunk bodies leave it, so
+inside the row, on runs of tokens or where chunks overlap on the token array, and only finished chunk bodies leave it, so
 the work is linear in the text however many chunks a document gives.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.ids import stable_id
 from corpusflow.functions.text import byte_size
-from corpusflow.functions.tokens import resolve_tokenizer, tokens
+from corpusflow.functions.tokens import resolve_tokenizer, token_marks, token_runs, tokens
 from corpusflow.operators.barrier import bound, computed_once
 from corpusflow.options import ChunkOptions
 
@@ -43,23 +43,31 @@ def token_chunks(
     """
     opts = options or ChunkOptions()
     size, step = opts.max_tokens, opts.max_tokens - opts.overlap
-    cut = (
-        df.where(F.col(text).isNotNull() & (F.col(text) != ""))
-        .select(*(keep or []), F.col(key).alias("document_id"), tokenize(F.col(text)).alias("_tokens"))
-        .withColumn("_total", chunk_total(F.size("_tokens"), size, opts.overlap))
-    )
+    there = df.where(F.col(text).isNotNull() & (F.col(text) != ""))
+    kept = [*(keep or []), F.col(key).alias("document_id")]
+    if tokenize is tokens and not opts.overlap:
+        cut = there.select(*kept, token_runs(F.col(text), size).alias("_runs"))
 
-    def one_chunk(pos: Column) -> Column:
-        part = F.slice(F.col("_tokens"), pos * step + 1, F.lit(size))
-        count = F.least(F.lit(size), F.size("_tokens") - pos * step)
-        return F.struct(
-            pos.alias("pos"),
-            (pos + 1 == F.col("_total")).alias("last"),
-            F.array_join(part, "").alias("body"),
-            count.alias("token_count"),
-        )
+        def run(body: Column, pos: Column) -> Column:
+            last = pos + 1 == F.size("_runs")
+            count = F.when(last, token_marks(body)).otherwise(size)
+            return F.struct(pos.alias("pos"), last.alias("last"), body.alias("body"), count.alias("token_count"))
 
-    pieces = F.transform(F.sequence(F.lit(0), F.col("_total") - 1), one_chunk)
+        pieces = F.transform("_runs", run)
+    else:
+        cut = there.select(*kept, tokenize(F.col(text)).alias("_tokens")).withColumn("_total", chunk_total(F.size("_tokens"), size, opts.overlap))
+
+        def one_chunk(pos: Column) -> Column:
+            part = F.slice(F.col("_tokens"), pos * step + 1, F.lit(size))
+            count = F.least(F.lit(size), F.size("_tokens") - pos * step)
+            return F.struct(
+                pos.alias("pos"),
+                (pos + 1 == F.col("_total")).alias("last"),
+                F.array_join(part, "").alias("body"),
+                count.alias("token_count"),
+            )
+
+        pieces = F.transform(F.sequence(F.lit(0), F.col("_total") - 1), one_chunk)
     rows = cut.select(*(keep or []), "document_id", F.inline(pieces))
     document, pos = F.col("document_id"), F.col("pos")
     return rows.select(

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corpusflow.functions.tokens import tokens
+from corpusflow.functions.tokens import token_count, tokens
 from corpusflow.operators.chunks import broken_links, chunk_total, empty_texts, token_chunks
 from corpusflow.options import ChunkOptions
 
@@ -150,3 +150,17 @@ def test_packing_is_greedy(spark):
             held = count if opens else held + count
             want += [at] * opens
         assert row.starts == want
+
+
+def test_runs_of_tokens(spark):
+    """Chunks cut as runs, and counts by runs, are those of the token array; a long text needs no deep stack."""
+    marks = ["a", "é", "1", "½", "Ⅷ", " ", "\n", "\r\n", "\x0b", "\x85", "!", "'s", "😀", "中", "\x00", "𝔘"]
+    rows = [(i, "".join(marks[(i * 7 + j * j) % (3 + i % 14)] for j in range(n))) for i, n in enumerate([0, 1, 2, 31, 32, 33, 64, 500, 500, 700] * 3)]
+    rows += [(100, None), (101, "a " * 50000), (102, "1" * 100001), (103, "!" * 50000)]
+    df = spark.createDataFrame(rows, "i long, text string")
+    assert df.where(~token_count(F.col("text")).eqNullSafe(F.size(tokens(F.col("text"))))).count() == 0
+    for size in (1, 3, 8191):
+        made = token_chunks(df, "i", "text", ChunkOptions(max_tokens=size))
+        assert "_runs" in made._jdf.queryExecution().analyzed().toString()
+        plain = token_chunks(df, "i", "text", ChunkOptions(max_tokens=size), tokenize=lambda text: tokens(text))
+        assert made.count() == plain.count() and made.exceptAll(plain).isEmpty() and plain.exceptAll(made).isEmpty()
