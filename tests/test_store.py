@@ -126,3 +126,10 @@ def test_a_save_that_broke_off(spark, monkeypatch, broken):
     monkeypatch.setattr(BucketTable, "change", change)
     store.save(run, roots[1])
     assert contents(spark, roots[1]) == contents(spark, roots[0])
+
+
+def test_intermediate_results_are_packed(spark):
+    from corpusflow.session import materialize
+
+    files = materialize(spark.range(10).selectExpr("cast(id as string) as body"), "packed").inputFiles()
+    assert files and all(".zstd." in f for f in files)
