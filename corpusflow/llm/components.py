@@ -2,50 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.session import materialize
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node moves to the node's smallest neighbour."""
-    both = edges.union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-    moved = both.where(F.col("b") > F.col("a")).join(least, "a")
-    return moved.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+def _ordered(edges: DataFrame) -> DataFrame:
+    """The edges as (a, b) with a larger than b, without loops and nulls."""
+    edges = edges.toDF("a", "b").where("a <> b")
+    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
 
+def star_step(edges: DataFrame) -> DataFrame:
+    """A large-star and a small-star step on written edges (a larger than b), four exchanges in all.
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours move to the smallest of them. edges: a larger than b."""
+    Large star: every larger neighbour of a node moves to the node's smallest one, which is
+    among the smaller ones or the node itself. Nodes with very many larger neighbours are keys of a
+    join only, which Spark may split. Small star: a node and its smaller neighbours move to the smallest of them.
+    """
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return moved.where("a <> b").union(least.select("a", F.col("least").alias("b"))).distinct()
+    moved = edges.join(least.toDF("b", "least"), "b", "left").select("a", F.coalesce("least", "b").alias("b"))
+    near = moved.withColumn("least", F.min("b").over(Window.partitionBy("a")))
+    return near.select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+
 
+def least_neighbours(edges: DataFrame) -> DataFrame:
+    """(node, component) of the nodes that have a smaller neighbour: connected where equal, not yet equal wherever connected."""
+    return edges.toDF("a", "b").groupBy("a").agg(F.min("b").alias("b")).toDF("node", "component")
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges as a written table; their number and sum of hashes, which stay equal when nothing moved."""
-    seen = Observation()
-    total = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
-    table = materialize(edges.observe(seen, F.count("*").alias("n"), total.alias("sum")), "components")
-    return table, (seen.get["n"], seen.get["sum"])
+
+def joined(edges: DataFrame) -> DataFrame:
+    """Edges with the same components, one step nearer to stars around the components' smallest nodes."""
+    return materialize(star_step(materialize(_ordered(edges), "components")), "components")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node has two smaller neighbours, or is a smaller one and has one."""
+    ends = edges.select("a", "b").union(edges.select("b", "b")).groupBy("a").agg((F.min("b") < F.max("b")).alias("open"))
+    return not ends.agg(F.max("open")).head()[0]
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): each node of an edge and the smallest node that it reaches.
 
     edges: two columns of ids. Loops, repeated edges and edges with nulls do not
-    matter. Every step works on edges with partial aggregates, so a node with
-    very many neighbours meets in no task as a list; each round is written to
-    the shared folder, which cuts the lineage.
+    matter. Each round is written to the shared folder, which cuts the lineage.
     """
-    edges = edges.toDF("a", "b").where("a <> b")
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, state = _written(edges)
-    while state[0]:
-        before = state
-        edges, state = _written(_small_star(_large_star(edges)))
-        if state == before:
-            break
+    edges = materialize(_ordered(edges), "components")
+    while not _settled(edges):
+        edges = materialize(star_step(edges), "components")
+    edges = edges.distinct()
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

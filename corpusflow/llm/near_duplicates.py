@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.components import connected_components
+from corpusflow.llm.components import connected_components, joined, least_neighbours
 from corpusflow.llm.words import BETWEEN_SPACES, groups, mix, shingle_hashes, shingles_of, word_hashes
 from corpusflow.session import materialize
 from corpusflow.workers import ship_by_value, trimmed
@@ -239,11 +239,12 @@ def _remaining_links(open_members: DataFrame, marks: DataFrame, sets: DataFrame,
     return _confirmed(pairs, marks, sets, percent).union(_neighbourhood_links(hoods, marks, sets, percent))
 
 
-def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members with the component of their node, for the bands that hold more than one."""
+def _still_open(members: DataFrame, middles: DataFrame, labels: DataFrame) -> DataFrame:
+    """members but the middles, with the component of their node, for the bands that hold more than one."""
     labelled = members.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return labelled.join(mixed.select("key"), "key", "left_semi")
+    rest = labelled.join(middles.select("key", "a"), "key").where("node <> a").select("key", "node", "component")
+    mixed = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return rest.join(mixed.select("key"), "key", "left_semi")
 
 
 def near_duplicates(
@@ -267,34 +268,34 @@ def near_duplicates(
     classes = materialize(known.groupBy("set_key").agg(F.min("doc").alias("rep")), "classes")
 
     heads = known.join(classes.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-    bands = heads.select(F.explode("bands").alias("key"), F.col("doc").alias("node")).distinct()
-    shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    members = materialize(bands.join(shared, "key", "left_semi"), "members")
+    bands = heads.select(F.explode("bands").alias("key"), F.col("doc").alias("node"))
+    shared = bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+    members = materialize(bands.join(shared, "key", "left_semi").distinct(), "members")
     nodes = materialize(members.select("node").distinct(), "nodes")
     marks = materialize(heads.select("doc", "signature").join(nodes, F.col("doc") == F.col("node"), "left_semi"), "marks")
     sets = source.mapInArrow(trimmed(_set_rows(shingle, bitmap_of(nodes))), "doc long, members array<long>")
     sets = materialize(sets.join(nodes, F.col("doc") == F.col("node"), "left_semi"), "sets")
 
-    # What is linked so far is kept as stars around the components' smallest nodes, which later rounds only add to.
+    # What is linked so far is kept as edges that come nearer to stars with each round. Members of one component may still
+    # have different labels then: they are compared once more, and no link is lost. The last call joins them all.
     open_members, linked = members.withColumn("component", F.col("node")), docs.sparkSession.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS + 1):
         if open_members.isEmpty():
             break
         if turn < ROUNDS:
             # The star's middle: the smallest id at first, later any that the turn's hash puts first.
-            first = F.min("node") if turn == 0 else F.min_by("node", F.struct(F.xxhash64("node", F.lit(turn)), "node"))
-            middles = open_members.groupBy("key").agg(first.alias("a"))
-            middles = middles.join(
-                open_members.select("key", F.col("node").alias("a"), F.col("component").alias("of")), ["key", "a"]
-            )
+            if turn == 0:
+                middles = open_members.groupBy("key").agg(F.min("node").alias("a")).withColumn("of", F.col("a"))
+            else:
+                first = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("a"), F.col("component").alias("of")))
+                middles = open_members.groupBy("key").agg(first.alias("first")).select("key", "first.a", "first.of")
             met = open_members.join(middles, "key").where("component <> of")
             pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-            linked = connected_components(linked.union(_confirmed(pairs, marks, sets, percent)))
+            linked = joined(linked.union(_confirmed(pairs, marks, sets, percent)))
         else:
             linked = linked.union(_remaining_links(open_members, marks, sets, percent))
             break
-        rest = open_members.join(middles.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
-        open_members = materialize(_with_components(rest, linked), "open")
+        open_members = materialize(_still_open(open_members, middles, least_neighbours(linked)), "open")
 
     several = known.groupBy("doc").agg(F.count("*").alias("rows")).where("rows > 1").select("doc")
     own = known.join(several, "doc", "left_semi").join(classes, "set_key").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
