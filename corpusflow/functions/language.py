@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow import fixed
+from corpusflow.operators.barrier import bound
 
 # Frequent short words per language, for the word-count detector.
 STOP_WORDS = {
@@ -19,16 +20,31 @@ STOP_WORDS = {
 WORD_PATTERN = r"\p{L}+"
 
 
-def french_hits(text: Column) -> Column:
-    lowered = F.lower(text)
+def _hits(lowered: Column) -> Column:
     return reduce(
         lambda a, b: a + b, [F.contains(lowered, F.lit(word)).cast("int") for word in fixed.FRENCH_INDICATORS]
     )
 
 
+def french_hits(text: Column) -> Column:
+    return bound(F.lower(text), _hits)
+
+
+#: Characters of a text that are searched first.
+_START = 2048
+
+
 def heuristic(text: Column) -> Column:
-    """``fr`` when at least three French indicators occur, else ``en``."""
-    return F.when(french_hits(text) >= fixed.FRENCH_THRESHOLD, "fr").otherwise("en")
+    """``fr`` when at least three French indicators occur, else ``en``.
+
+    What occurs in the start of a text occurs in it, so the rest is searched only where the start has too few.
+    """
+
+    def named(lowered: Column) -> Column:
+        enough = [_hits(part) >= fixed.FRENCH_THRESHOLD for part in (F.left(lowered, F.lit(_START)), lowered)]
+        return F.when(enough[0], "fr").when(enough[1], "fr").otherwise("en")
+
+    return bound(F.lower(text), named)
 
 
 def words(text: Column) -> Column:

@@ -138,3 +138,14 @@ def test_markdown_holds_few_texts_of_a_batch():
     assert out[7].as_py().endswith("word 7") and out[200].as_py() is None
     # All texts are 4 MB, and as much again when converted.
     assert peak < 1_000_000
+
+
+def test_language_heuristic_lowers_a_text_once_and_reads_all_of_it(values):
+    from pyspark.sql import functions as F
+
+    start = "x" * 2046
+    texts = [start + "le la du ", start + "xxLE LA xx", start * 3 + "OÙ AU DU ", "le la " + start + "du ", None, ""]
+    assert values(texts, language.heuristic) == ["fr", "en", "fr", "fr", "en", "en"]
+    assert values(texts, language.french_hits) == [3, 2, 3, 3, None, 0]
+    for made in (language.heuristic, language.french_hits):
+        assert str(made(F.col("text"))).count("lower(") == 1
