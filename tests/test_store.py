@@ -1,14 +1,16 @@
 """Bucketed tables: what a change rewrites, empty buckets, a save that broke off."""
 
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators.embed import hashing_embedder
+from corpusflow.operators.upsert import merge_downloads
 from corpusflow.options import ChunkOptions, IngestOptions
 from corpusflow.plans import ingest, store
-from corpusflow.session import work_dir
+from corpusflow.session import materialize, work_dir
 from corpusflow.sources import landing
 from corpusflow.sources.buckets import BUCKET, BucketTable, bucket_count
 
@@ -133,3 +135,55 @@ def test_intermediate_results_are_packed(spark):
 
     files = materialize(spark.range(10).selectExpr("cast(id as string) as body"), "packed").inputFiles()
     assert files and all(".zstd." in f for f in files)
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that the session holds."""
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")
+    return {name for path in held.split(",") if (name := path.rpartition("/")[2]).startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_what_was_shuffled_goes_when_it_is_written(spark):
+    stored = BucketTable(spark, f"{work_dir(spark, 'store')}/t", "id string, n bigint", 4)
+    counts = spark.range(1000).repartition(3).groupBy((F.col("id") % 100).cast("string").alias("id")).agg(F.count("*").alias("n"))
+    before = shuffle_files(spark)
+    assert len(materialize(counts, "counts").collect()) == 100
+    keys = stored.touched(counts.select("id"))
+    stored.change(keys, lambda old: counts.withColumn(BUCKET, stored.bucket(F.col("id"))))
+    assert keys == [0, 1, 2, 3] and len(stored.read().collect()) == 100
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_bodies_of_downloads_meet_one_join(spark):
+    """Sources a (merged), b (untouched), c (gone), and one of no name; bodies are exchanged once."""
+    row = "id string, source_id string, attempted_at timestamp, downloaded_at timestamp, status_code int, headers string, body string"
+
+    def rows(*given):
+        made = spark.createDataFrame([(i, s, f"2024-01-01 {h:02d}:00:00", 200, "{}", b) for i, s, h, b in given], "id string, source_id string, t string, status_code int, headers string, body string")
+        t = F.col("t").cast("timestamp")
+        return made.select("id", "source_id", t.alias("attempted_at"), t.alias("downloaded_at"), "status_code", "headers", "body").to(spark.createDataFrame([], row).schema)
+
+    current = rows(("a1", "a", 1, "one"), ("a2", "a", 2, "two"), ("b1", "b", 1, "b"), ("b1", "b", 1, "b"), ("c1", "c", 1, "c"), ("n1", None, 1, "n"))
+    arrived = rows(("a2", "a", 3, "two"), ("a3", "a", 4, "three"), ("n2", None, 2, "m"))
+    gone = spark.createDataFrame([("c",)], "source_id string")
+    merged = merge_downloads(current, arrived, 2, gone)
+    scans = [line for line in merged._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert len(scans) > 1 and sum("body#" in line for line in scans) == 1
+    assert sorted(r.id for r in merged.collect()) == ["a2", "a3", "b1", "b1", "n1", "n2"]
+    assert {r.downloaded_at.hour for r in merged.where("id = 'a2'").collect()} == {3}
+    assert sorted(r.id for r in merge_downloads(current, arrived, 1).collect()) == ["a3", "b1", "b1", "c1", "n1", "n2"]
+
+
+def test_bodies_on_the_way_are_deleted(spark):
+    root = work_dir(spark, "store")
+    folder = Path(root).parent
+    before = {p.name for p in folder.iterdir()}
+    store.save(first_run(spark, {1: "a b c", 2: "d e f"}), root, buckets=4)
+    left = {p.name.rpartition("-")[0] for p in folder.iterdir() if p.name not in before}
+    assert not left & {"marked_downloads", "merged_downloads", "downloads"} and "staged" in left
+    assert all(".zstd." in p.name for p in Path(root).rglob("chunks/*/*.parquet"))
