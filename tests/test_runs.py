@@ -404,3 +404,31 @@ def test_crawls_of_a_stream_are_written_by_many_tasks(spark, tmp_path, monkeypat
     update_queries.stream_updates(spark, "/root/testdata/sf0.001")
     landed = spark.read.parquet(str(tmp_path / "crawls" / "landing")).select(F.to_date("ts").alias("day"), F.input_file_name().alias("file"))
     assert all(r["count"] > 1 for r in landed.distinct().groupBy("day").count().collect())
+
+
+def test_landed_texts_are_dealt_once(spark):
+    """Posts and files of documents come from one shuffle of the texts."""
+    from corpusflow.checks import run_queries
+
+    sources, downloads = run_queries._landed(spark, "/root/testdata/sf0.001")
+    plan = downloads._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RoundRobinPartitioning") == 1
+    assert sources.select("id").exceptAll(downloads.select("source_id")).count() == 0
+
+
+def test_reembedding_shuffles_no_download_beside_chunks(spark, landed, monkeypatch):
+    """The documents to embed again are known, by their ids alone, before chunks are read."""
+    run = ingest.process_sources(landed, embedding.hashing_embedder(), stamp(), OPTIONS, dims=DIMS)
+    written = {}
+
+    def looked_at(df, purpose):
+        written[purpose] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialize(df, purpose)
+
+    materialize = ingest.materialize
+    wanted = run.documents.select("download_id")
+    run.chunks  # noqa: B018 - made before
+    monkeypatch.setattr(ingest, "materialize", looked_at)
+    rows = ingest.reembed(run.chunks, run.embeddings, run.documents, wanted, embedding.hashing_embedder("other"), stamp(), DIMS)
+    assert rows.where("model = 'other'").count() == run.chunks.count() == rows.where("model <> 'other'").count()
+    assert list(written) == ["reembedded_documents", "reembedded"] and "download_id" not in written["reembedded"]
