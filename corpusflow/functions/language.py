@@ -34,17 +34,28 @@ def french_hits(text: Column) -> Column:
 _START = 2048
 
 
+def _said_once(lowered: Column) -> Column:
+    """Every word that a space follows once, with that space: it holds an indicator if the text does, and is short.
+
+    Indicators are the end of a word and its space, so no two words that come together here make one.
+    """
+    return bound(
+        F.split(lowered, " ", -1),
+        lambda parts: F.concat(F.array_join(F.array_distinct(F.slice(parts, F.lit(1), F.size(parts) - 1)), " "), F.lit(" ")),
+    )
+
+
 def heuristic(text: Column) -> Column:
     """``fr`` when at least three French indicators occur, else ``en``.
 
-    What occurs in the start of a text occurs in it, so the rest is searched only where the start has too few.
+    What occurs in the start of a text occurs in it, so the rest is lowered and searched only where the start has too few.
+    Only the distinct words are searched for the indicators.
     """
 
-    def named(lowered: Column) -> Column:
-        enough = [_hits(part) >= fixed.FRENCH_THRESHOLD for part in (F.left(lowered, F.lit(_START)), lowered)]
-        return F.when(enough[0], "fr").when(enough[1], "fr").otherwise("en")
+    def enough(part: Column) -> Column:
+        return bound(_said_once(F.lower(part)), _hits) >= fixed.FRENCH_THRESHOLD
 
-    return bound(F.lower(text), named)
+    return F.when(F.exists(F.array(F.left(text, F.lit(_START)), text), enough), "fr").otherwise("en")
 
 
 def words(text: Column) -> Column:

@@ -149,3 +149,18 @@ def test_language_heuristic_lowers_a_text_once_and_reads_all_of_it(values):
     assert values(texts, language.french_hits) == [3, 2, 3, 3, None, 0]
     for made in (language.heuristic, language.french_hits):
         assert str(made(F.col("text"))).count("lower(") == 1
+
+
+def test_language_heuristic_searches_each_word_once(values):
+    import random
+
+    from corpusflow import fixed
+
+    long = "the la  LE garden\tun house\n" * 3000 + "la"
+    [found] = values([long], lambda c: language._said_once(c))
+    assert sorted(found.split(" ")) == sorted(["the", "la", "", "LE", "garden\tun", "house\nthe", ""])
+    draw = random.Random(3)
+    texts = ["".join(draw.choice(["le", "Des", "où", "x", "qui", " ", " ", "\n", "  ", "İ", "au"]) for _ in range(draw.choice([3, 9, 30]))) for _ in range(300)]
+    hits = [sum(word in text.lower() for word in fixed.FRENCH_INDICATORS) for text in texts]
+    assert values(texts, language.heuristic) == ["fr" if n >= fixed.FRENCH_THRESHOLD else "en" for n in hits]
+    assert {n >= fixed.FRENCH_THRESHOLD for n in hits} == {True, False}
