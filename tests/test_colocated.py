@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.checks import run_queries
 from corpusflow.operators.chunks import token_chunks
 from corpusflow.options import ChunkOptions
 from corpusflow.plans import colocated
-from corpusflow.session import work_dir
+from corpusflow.session import materialize, work_dir
 
 
 @pytest.fixture
@@ -37,3 +38,25 @@ def test_joins_without_exchange(spark, published):
     near = joins["with_neighbours"]
     assert near.where(F.col("left_chunk_id").isNotNull() & F.col("left_body").isNull()).count() == 0
     assert near.where(F.col("left_chunk_id").isNull() & F.col("left_body").isNotNull()).count() == 0
+
+
+def test_published_tables_join_bucket_by_bucket(spark, tmp_path, monkeypatch):
+    """The query shuffles no chunk body to find its neighbours, and its tables are written with zstd."""
+    made = []
+
+    def looked_at(df, purpose):
+        if purpose == "neighbours":
+            made.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, purpose)
+
+    monkeypatch.setattr(run_queries, "materialize", looked_at)
+    monkeypatch.setattr(run_queries, "work_dir", lambda spark, purpose: str(tmp_path / purpose))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run_queries.published_tables(spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(made) == 1 and "Exchange" not in made[0] and "SortMergeJoin" in made[0]
+    assert all(".zstd." in p.name for p in (tmp_path / "published").rglob("*.parquet"))
+    assert {spark.conf.get(k) for k in colocated.SUBSET_OF_KEYS} == {"true"}
