@@ -3,17 +3,23 @@
 A language's profile is its most frequent n-grams in order. A text's distance from it sums, over the text's own most
 frequent n-grams, how far each is out of place; one that the profile lacks counts as out of it by the whole
 profile. Profiles are partial aggregates: words are counted before they are cut into n-grams, so each
-task sends its distinct words on. A text's own ranks are made inside its row, by sorting, so that neither its words nor
-its n-grams are shuffled.
+task sends its distinct words on. A text's own ranks are made where it is, for some texts at a time in Python, so that neither its words nor
+its n-grams are shuffled; array expressions would make an object of every n-gram of every word and sort them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.language import words
-from corpusflow.operators.barrier import bound, computed_once
+from corpusflow.operators.barrier import bound
+from corpusflow.workers import ship_by_value, trim
 
 #: N-grams of a profile, and the lengths of an n-gram.
 PROFILE, SIZES = 300, (1, 2, 3)
@@ -44,27 +50,74 @@ def _ranked(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(first) - 1).where(F.col("rank") < most).select(*keys, "gram", "rank")
 
 
-def _counted(sorted_rows: Column) -> Column:
-    """(value, n) of every distinct value of a sorted array."""
+#: Words of the texts that are ranked at a time.
+_AT_A_TIME = 1 << 16
+
+
+def _slices(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of consecutive texts of so many words together, or of one text that has more."""
+    begin, held = 0, 0
+    for at, length in enumerate(lengths.tolist()):
+        if at > begin and (held + length > _AT_A_TIME or at - begin == _TEXTS):
+            yield begin, at
+            begin, held = at, 0
+        held += length
+    if begin < len(lengths):
+        yield begin, len(lengths)
 
-    def runs(rows: Column) -> Column:
-        ends = F.filter(F.sequence(F.lit(1), F.size(rows)), lambda i: (i == F.size(rows)) | (F.get(rows, i) != F.get(rows, i - 1)))
 
-        def counts(ends: Column) -> Column:
-            begin = lambda at: F.when(at > 0, F.get(ends, at - 1)).otherwise(0)
-            return F.transform(ends, lambda end, at: F.struct(F.get(rows, end - 1).alias("value"), (end - begin(at)).alias("n")))
+#: Texts that are ranked at a time.
+_TEXTS = 128
 
-        return bound(ends, counts)
 
-    return bound(sorted_rows, lambda rows: F.when(F.size(rows) > 0, runs(rows)))
+def _word_grams(word: str) -> list[str]:
+    """What _grams gives."""
+    chars = f" {word} "
+    return [*word, *(chars[i : i + n] for n in SIZES[1:] for i in range(len(chars) - n + 1))]
+
+
+def _ranked_texts(words: pa.ListArray, most: int) -> pa.Array:
+    """The most frequent n-grams of some texts, given their words.
+
+    N-grams are cut once for each distinct word of all the texts and numbered in the order of their bytes; what a text
+    holds of them are sums over its own distinct words.
+    """
+    lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    coded = words.flatten().dictionary_encode()
+    cut = [_word_grams(word) for word in coded.dictionary.to_pylist()]
+    grams = sorted(set().union(*cut))
+    number = {gram: at for at, gram in enumerate(grams)}
+    numbers = np.fromiter((number[gram] for own in cut for gram in own), np.int64)
+    ends = np.cumsum([len(own) for own in cut], dtype=np.int64)
+    # Distinct words of each text, and how often it has them.
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    pairs, times = np.unique(text * max(1, len(cut)) + coded.indices.to_numpy(), return_counts=True)
+    text, word = np.divmod(pairs, max(1, len(cut)))
+    out = []
+    for at, (begin, end) in enumerate(zip(np.searchsorted(text, np.arange(len(lengths))), np.searchsorted(text, np.arange(len(lengths)), "right"), strict=True)):
+        if begin == end:
+            out.append(None)
+            continue
+        own = word[begin:end]
+        sizes = np.diff(ends, prepend=0)[own]
+        places = np.arange(sizes.sum()) + np.repeat(ends[own] - np.cumsum(sizes), sizes)
+        counts = np.bincount(numbers[places], np.repeat(times[begin:end], sizes), len(grams)).astype(np.int64)
+        held = np.flatnonzero(counts)
+        out.append([grams[g] for g in held[np.argsort(-counts[held], kind="stable")[:most]].tolist()])
+    return pa.array(out, pa.list_(pa.string()))
 
 
 def text_ranks(text: Column, most: int = PROFILE) -> Column:
     """The most frequent n-grams of a text in order, ties in order of their bytes; null for a text without a letter."""
-    grams = F.flatten(F.transform(words(text), _grams))
-    counted = _counted(F.sort_array(grams))
-    ordered = F.sort_array(F.transform(counted, lambda c: F.struct((-c["n"]).alias("less"), c["value"].alias("gram"))))
-    return F.transform(F.slice(ordered, 1, most), lambda c: c["gram"])
+
+    @F.arrow_udf("array<string>")
+    def ranks(words: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+        parts = [_ranked_texts(words.slice(begin, end - begin), most) for begin, end in _slices(lengths)]
+        trim()
+        return pa.concat_arrays([pa.array([], pa.list_(pa.string())), *parts])
+
+    return ranks(words(text))
 
 
 def learn_profiles(df: DataFrame, text: str, lang: str, most: int = PROFILE) -> DataFrame:
@@ -87,7 +140,7 @@ def detect(df: DataFrame, key: str, text: str, profiles: DataFrame, most: int =
     Both are null for texts without a letter and for a null key. Texts that share a key count as one. The profiles have
     ``most`` rows a language and are joined by n-gram, so a text meets few rows of them.
     """
-    ranked = computed_once(_one_text(df, key, text), {"_grams": text_ranks(F.col(text), most)})
+    ranked = _one_text(df, key, text).withColumn("_grams", text_ranks(F.col(text), most))
     own = ranked.select(key, F.size("_grams").alias("_size"), F.posexplode_outer("_grams").alias("rank", "gram"))
     # An n-gram that a profile lacks is out of place by `most`; hits are counted as what they save of that.
     places = profiles.select("gram", F.col("language").alias("_language"), F.col("rank").alias("_place"))
@@ -106,3 +159,6 @@ def detect(df: DataFrame, key: str, text: str, profiles: DataFrame, most: int =
         F.when(F.col("_size") > 0, F.col("_size") * F.lit(most).cast("long") + F.coalesce("best.less", F.lit(0))).alias("distance"),
     )
     return df.select(key).join(found, key, "left")
+
+
+ship_by_value(__name__)

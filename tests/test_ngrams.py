@@ -70,3 +70,25 @@ def test_better_than_word_lists(spark):
     lists = language.with_profile(held, "t")
     right = ours.where("language = lang").count(), lists.where("detected = lang").count()
     assert right[0] > right[1] and right[0] >= 0.95 * held.count()
+
+
+def test_ranks_of_many_texts_at_a_time(spark, monkeypatch):
+    """Some texts at a time share the n-grams of their words; no array expression makes an object of each n-gram."""
+    import random
+
+    import pyarrow as pa
+
+    draw = random.Random(5)
+    words = ["a", "été", "haus", "жук", "𝒳y", "x" * 3000, "der", "ab", "ba"]
+    texts = [" ".join(draw.choices(words, k=draw.choice([0, 1, 5, 200]))) for _ in range(400)] + [None, "", "12"]
+    want = [[g for g, _ in sorted(plain_grams(t or "").items(), key=lambda x: (-x[1], x[0].encode()))[:40]] or None for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1).select("i", ngrams.text_ranks(F.col("t"), 40).alias("r"))
+    assert "array_sort" not in (plan := df._jdf.queryExecution().executedPlan().toString()) and "ArrowEvalPython" in plan and "lambda" not in plan
+    assert [r.r for r in df.orderBy("i").collect()] == want
+    lists = pa.array([None, [], ["ab"], ["ab", "ba", "ab"]], pa.list_(pa.string()))
+    monkeypatch.setattr(ngrams, "_AT_A_TIME", 2)
+    import numpy as np
+
+    assert list(ngrams._slices(np.array([0, 0, 1, 3, 1, 1, 1]))) == [(0, 3), (3, 4), (4, 6), (6, 7)] and not list(ngrams._slices(np.array([], int)))
+    assert ngrams._ranked_texts(lists.slice(1), 2).to_pylist() == [None, [" a", " ab"], ["a", "b"]]
+    assert ngrams._word_grams("ab") == [r[0] for r in spark.range(1).select(F.explode(ngrams._grams(F.lit("ab")))).collect()]
