@@ -432,3 +432,35 @@ def test_reembedding_shuffles_no_download_beside_chunks(spark, landed, monkeypat
     rows = ingest.reembed(run.chunks, run.embeddings, run.documents, wanted, embedding.hashing_embedder("other"), stamp(), DIMS)
     assert rows.where("model = 'other'").count() == run.chunks.count() == rows.where("model <> 'other'").count()
     assert list(written) == ["reembedded_documents", "reembedded"] and "download_id" not in written["reembedded"]
+
+
+def test_items_of_a_stream_are_followed_in_parts(spark, tmp_path):
+    """Many items share a state, and each is told of by itself: older crawls, two in a batch, a null body, one that stays away."""
+    from corpusflow.streaming import updates
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, updates.PROVIDER)
+    made = []
+    try:
+        for number, rows in enumerate(
+            [[(k, "x", 1) for k in "abcd"] + [("d", "y", 2), ("e", None, 2), (None, "z", 2)], [("a", "x", 3), ("b", "y", 3), ("e", None, 3), ("a", "w", 2)], [("b", "y", 6)], [("b", "y", 7)]]
+        ):
+            df = spark.createDataFrame(rows, "key string, body string, hour int")
+            df.select("key", "body", F.timestamp_seconds(F.lit(1704067200) + F.col("hour") * 3600).alias("ts")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            stream = spark.readStream.schema("key string, body string, ts timestamp").parquet(str(tmp_path / "in"))
+            found = updates.track(stream, "key", "body", "ts", "2 hours", "90 minutes", parts=2)
+            assert "FlatMapGroupsInPandasWithState" in found._jdf.queryExecution().analyzed().toString()
+            out = found.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+            out.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+            rows = spark.read.schema("key string, status string, seen timestamp").parquet(str(tmp_path / "out"))
+            made.append(sorted((r.key, r.status, (r.s - 1704067200) // 3600) for r in rows.select("key", "status", F.unix_seconds("seen").alias("s")).collect()))
+    finally:
+        spark.conf.unset(name)
+    first = [("a", "new", 1), ("b", "new", 1), ("c", "new", 1), ("d", "new", 1), ("d", "updated", 2), ("e", "new", 2)]
+    assert made[0] == sorted(first)
+    second = [("a", "updated", 2), ("a", "updated", 3), ("b", "updated", 3), ("e", "same", 3)]
+    assert made[1] == sorted(first + second)
+    # At six o'clock the watermark is four: c and d were last seen at one and two, at seven it is five: a and e went at three.
+    third = [("b", "same", 6), ("c", "removed", 1), ("d", "removed", 2)]
+    assert made[2] == sorted(first + second + third)
+    assert made[3] == sorted(first + second + third + [("b", "same", 7), ("a", "removed", 3), ("e", "removed", 3)])
