@@ -12,35 +12,75 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.language import words
-from corpusflow.operators.barrier import bound
+from corpusflow.operators.barrier import computed_once
 from corpusflow.workers import ship_by_value, trim
 
 #: N-grams of a profile, and the lengths of an n-gram.
 PROFILE, SIZES = 300, (1, 2, 3)
+#: Words, and texts, that are worked on at a time.
+_AT_A_TIME, _TEXTS = 1 << 16, 128
+#: Bits of a character; as many characters as an n-gram has fit into a number.
+_BITS = 21
 
 
-def _grams(word: Column) -> Column:
-    """The n-grams of a word between blanks; those of one character leave the blanks out."""
+def _numbered(words: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The n-grams of some words between blanks; those of one character leave the blanks out.
+
+    Given are the distinct ones in the order of their bytes, the places in there of those of every word, word after word,
+    and where each word's places end. An n-gram is a number, its characters from the left: numbers have the order of the texts.
+    """
+    chars = np.frombuffer("".join(f" {word} " for word in words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    of = np.repeat(np.arange(len(words)), [len(word) + 2 for word in words])
+    gram, codes, owners = np.zeros(len(chars), np.int64), [], []
+    for n in range(max(SIZES)):
+        there = len(chars) - n
+        gram = gram[:there] | chars[n:] << (_BITS * (max(SIZES) - 1 - n))
+        inside = of[:there] == of[n:] if n else chars != ord(" ")
+        codes.append(gram[inside])
+        owners.append(of[:there][inside])
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    found, present = pd.factorize(np.concatenate(codes)[order])
+    ranked = np.argsort(present)
+    place = np.empty_like(ranked)
+    place[ranked] = np.arange(len(ranked))
+    shifts = [_BITS * n for n in reversed(range(max(SIZES)))]
+    grams = ["".join(chr(c) for s in shifts if (c := code >> s & (1 << _BITS) - 1)) for code in present[ranked].tolist()]
+    return pa.array(grams, pa.string()), place[found], np.cumsum(np.bincount(owner, minlength=len(words)))
+
+
+def _word_grams(words: pa.Array) -> pa.Array:
+    """The n-grams of each of some words."""
+    parts = [pa.array([], pa.list_(pa.string()))]
+    for begin in range(0, len(words), _AT_A_TIME):
+        grams, places, ends = _numbered(words.slice(begin, _AT_A_TIME).to_pylist())
+        parts.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), grams.take(pa.array(places))))
+    return pa.concat_arrays(parts)
 
-    def cut(chars: Column) -> Column:
-        def of_size(n: int) -> Column:
-            return F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), lambda i: F.array_join(F.slice(chars, i, n), ""))
 
-        return F.filter(F.concat(*[of_size(n) for n in SIZES]), lambda g: g != " ")
+def _grams(word: Column) -> Column:
+    """The n-grams of a word, which is no null."""
+
+    @F.arrow_udf("array<string>")
+    def cut(words: pa.Array) -> pa.Array:
+        return _word_grams(words)
 
-    return bound(F.split(F.concat(F.lit(" "), word, F.lit(" ")), ""), cut)
+    return cut(word)
 
 
 def gram_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """keys, gram, n: how often the texts of a key hold an n-gram. Letters only, in lower case."""
     said = df.select(*keys, F.explode(words(F.col(text))).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("times"))
-    cut = said.select(*keys, F.explode(_grams(F.col("word"))).alias("gram"), "times")
+    # Else words would be cut where they are read, before they are counted.
+    said = computed_once(said, {"_word": F.col("word")})
+    cut = said.select(*keys, "times", _grams(F.col("_word")).alias("_grams")).select(*keys, F.explode("_grams").alias("gram"), "times")
     return cut.groupBy(*keys, "gram").agg(F.sum("times").alias("n"))
 
 
@@ -50,10 +90,6 @@ def _ranked(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(first) - 1).where(F.col("rank") < most).select(*keys, "gram", "rank")
 
 
-#: Words of the texts that are ranked at a time.
-_AT_A_TIME = 1 << 16
-
-
 def _slices(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
     """Begin and end of consecutive texts of so many words together, or of one text that has more."""
     begin, held = 0, 0
@@ -66,16 +102,6 @@ def _slices(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
         yield begin, len(lengths)
 
 
-#: Texts that are ranked at a time.
-_TEXTS = 128
-
-
-def _word_grams(word: str) -> list[str]:
-    """What _grams gives."""
-    chars = f" {word} "
-    return [*word, *(chars[i : i + n] for n in SIZES[1:] for i in range(len(chars) - n + 1))]
-
-
 def _ranked_texts(words: pa.ListArray, most: int) -> pa.Array:
     """The most frequent n-grams of some texts, given their words.
 
@@ -84,27 +110,24 @@ def _ranked_texts(words: pa.ListArray, most: int) -> pa.Array:
     """
     lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
     coded = words.flatten().dictionary_encode()
-    cut = [_word_grams(word) for word in coded.dictionary.to_pylist()]
-    grams = sorted(set().union(*cut))
-    number = {gram: at for at, gram in enumerate(grams)}
-    numbers = np.fromiter((number[gram] for own in cut for gram in own), np.int64)
-    ends = np.cumsum([len(own) for own in cut], dtype=np.int64)
+    words_there = max(1, len(coded.dictionary))
+    grams, numbers, ends = _numbered(coded.dictionary.to_pylist())
+    firsts = np.append(0, ends)
     # Distinct words of each text, and how often it has them.
     text = np.repeat(np.arange(len(lengths)), lengths)
-    pairs, times = np.unique(text * max(1, len(cut)) + coded.indices.to_numpy(), return_counts=True)
-    text, word = np.divmod(pairs, max(1, len(cut)))
-    out = []
-    for at, (begin, end) in enumerate(zip(np.searchsorted(text, np.arange(len(lengths))), np.searchsorted(text, np.arange(len(lengths)), "right"), strict=True)):
-        if begin == end:
-            out.append(None)
-            continue
+    pairs, times = np.unique(text * words_there + coded.indices.to_numpy(), return_counts=True)
+    text, word = np.divmod(pairs, words_there)
+    bounds, taken, ranked = np.searchsorted(text, np.arange(len(lengths) + 1)), [], []
+    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
         own = word[begin:end]
-        sizes = np.diff(ends, prepend=0)[own]
+        sizes = ends[own] - firsts[own]
         places = np.arange(sizes.sum()) + np.repeat(ends[own] - np.cumsum(sizes), sizes)
-        counts = np.bincount(numbers[places], np.repeat(times[begin:end], sizes), len(grams)).astype(np.int64)
+        counts = np.bincount(numbers[places], np.repeat(times[begin:end], sizes), len(grams))
         held = np.flatnonzero(counts)
-        out.append([grams[g] for g in held[np.argsort(-counts[held], kind="stable")[:most]].tolist()])
-    return pa.array(out, pa.list_(pa.string()))
+        ranked.append(held[np.argsort(-counts[held], kind="stable")[:most]])
+        taken.append(len(ranked[-1]))
+    offsets = pa.array(np.append(0, np.cumsum(taken)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, grams.take(pa.array(np.concatenate(ranked))), mask=pa.array(np.array(taken) == 0))
 
 
 def text_ranks(text: Column, most: int = PROFILE) -> Column:

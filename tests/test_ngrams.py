@@ -91,4 +91,9 @@ def test_ranks_of_many_texts_at_a_time(spark, monkeypatch):
 
     assert list(ngrams._slices(np.array([0, 0, 1, 3, 1, 1, 1]))) == [(0, 3), (3, 4), (4, 6), (6, 7)] and not list(ngrams._slices(np.array([], int)))
     assert ngrams._ranked_texts(lists.slice(1), 2).to_pylist() == [None, [" a", " ab"], ["a", "b"]]
-    assert ngrams._word_grams("ab") == [r[0] for r in spark.range(1).select(F.explode(ngrams._grams(F.lit("ab")))).collect()]
+    cut = ngrams._word_grams(pa.array(["ab", "жж", "c"])).to_pylist()
+    assert [sorted(c) for c in cut] == [sorted(plain_grams(w).elements()) for w in ("ab", "жж", "c")]
+    assert ngrams._word_grams(pa.array([], pa.string())).to_pylist() == []
+    plan = ngrams.gram_counts(spark.createDataFrame([("a", "b c")], "l string, t string"), ["l"], "t")._jdf.queryExecution().executedPlan().toString()
+    # From the end of the job to its begin: words are counted, in both steps, before they are cut.
+    assert plan.index("ArrowEvalPython") < plan.index("count(1)")
