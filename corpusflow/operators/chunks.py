@@ -26,6 +26,15 @@ def chunk_total(token_total: Column, max_tokens: int, overlap: int = 0) -> Colum
     return F.when(token_total <= max_tokens, F.lit(1)).otherwise(further + 1)
 
 
+#: Chunks of so many tokens at most are counted in runs of so many.
+_LONG, _RUN = 1024, 128
+
+
+def _count(body: Column) -> Column:
+    """Tokens of a text that is not empty; only its last run is looked into."""
+    return bound(token_runs(body, _RUN), lambda runs: (F.size(runs) - 1) * _RUN + token_marks(F.element_at(runs, -1)))
+
+
 def token_chunks(
     df: DataFrame,
     key: str,
@@ -50,7 +59,7 @@ def token_chunks(
 
         def run(body: Column, pos: Column) -> Column:
             last = pos + 1 == F.size("_runs")
-            count = F.when(last, token_marks(body)).otherwise(size)
+            count = F.when(last, _count(body) if size >= _LONG else token_marks(body)).otherwise(size)
             return F.struct(pos.alias("pos"), last.alias("last"), body.alias("body"), count.alias("token_count"))
 
         pieces = F.transform("_runs", run)

@@ -164,3 +164,15 @@ def test_runs_of_tokens(spark):
         assert "_runs" in made._jdf.queryExecution().analyzed().toString()
         plain = token_chunks(df, "i", "text", ChunkOptions(max_tokens=size), tokenize=lambda text: tokens(text))
         assert made.count() == plain.count() and made.exceptAll(plain).isEmpty() and plain.exceptAll(made).isEmpty()
+
+
+def test_long_chunks_are_counted_in_runs(spark):
+    """Of the last chunk of a long limit only the last run is looked into, also where it ends with a whole run."""
+    lengths = [1, 127, 128, 129, 2000, 2001, 2128, 4500]
+    df = spark.createDataFrame([(n, "a" + " b" * (n - 1)) for n in lengths], "i int, t string")
+    made = token_chunks(df, "i", "t", ChunkOptions(max_tokens=2000))
+    got = {}
+    for r in made.orderBy("document_id", "pos").collect():
+        got.setdefault(r.document_id, []).append(r.token_count)
+    assert got == {n: [2000] * ((n - 1) // 2000) + [(n - 1) % 2000 + 1] for n in lengths}
+    assert "{1,128}+" in made._jdf.queryExecution().optimizedPlan().toString()
